@@ -177,6 +177,14 @@ def not_stored(candidates: DataFrame, stored: DataFrame | None) -> DataFrame:
     return candidates.join(stored.select("id"), "id", "left_anti")
 
 
+def search_order(cfg: CurationConfig) -> list[Column]:
+    """The order in which results come up: style by style, year by year, page by page."""
+    return [
+        _style_position(F.col("style_query"), cfg.enabled_styles),
+        F.col("found_year").cast("int"), F.col("page"), F.col("position"),
+    ]
+
+
 def first_seen(candidates: DataFrame, order: list[Column], key: str = "id") -> DataFrame:
     """One row per key, the least in the given order; combines before the shuffle."""
     rest = [c for c in candidates.columns if c != key]
@@ -233,26 +241,50 @@ def album_players(albums: DataFrame, releases: DataFrame, cfg: CurationConfig) -
     )
 
 
-def album_leaders(albums: DataFrame, artist_details: DataFrame) -> DataFrame:
-    """Adds ``leaders``: players named in the credit, else group members, else the ensemble."""
-    group = F.get(F.col("release.artists"), 0)
-    credit = F.coalesce(F.nullif(group["name"], F.lit("")), group["anv"])
-    group_name = F.regexp_replace(credit, r"(?Ud)^\s+|\s+$", "")
-    url = F.when(
-        (F.size("_credited") == 0) & (F.length(group_name) > 0),
-        F.nullif(group["resource_url"], F.lit("")),
+def credited_group(artists: Column) -> Column:
+    """First credited artist as a struct of ``group_name`` (name, else variation) and its URL."""
+    first = F.get(artists, 0)
+    name = F.coalesce(F.nullif(first["name"], F.lit("")), first["anv"])
+    return F.struct(
+        F.regexp_replace(name, r"(?Ud)^\s+|\s+$", "").alias("group_name"),
+        F.nullif(first["resource_url"], F.lit("")).alias("group_url"),
     )
+
+
+def member_leaders(
+    groups: DataFrame, artist_details: DataFrame, wanted: Column | None = None
+) -> DataFrame:
+    """Adds ``members_found``: members of the group that its own name mentions.
+
+    Needs ``group_name`` and ``group_url``; rows not wanted are not looked up.
+    """
+    asked = F.length("group_name") > 0
+    if wanted is not None:
+        asked = asked & wanted
+    row_id = F.xxhash64("group_name", "group_url", *[c for c in ("id", "url") if c in groups.columns])
     details = artist_details.select(
         F.col("url").alias("_url"), F.transform("members", lambda m: m["name"]).alias("_members")
     )
-    members = cr.members_named_in(group_name, F.col("_members"))
-    found = F.when(F.size("_credited") > 0, F.col("_credited")).otherwise(members)
     return (
-        albums.withColumn("_credited", cr.named_in(F.col("artists"), F.col("musicians")))
-        .withColumn("_key", _or_unmatched(url, F.col("id")))
+        groups.withColumn("_key", _or_unmatched(F.when(asked, F.col("group_url")), row_id))
         .join(details, F.col("_key") == F.col("_url"), "left")
+        .withColumn("members_found", cr.members_named_in(F.col("group_name"), F.col("_members")))
+        .drop("_key", "_url", "_members")
+    )
+
+
+def album_leaders(albums: DataFrame, artist_details: DataFrame) -> DataFrame:
+    """Adds ``leaders``: players named in the credit, else group members, else the ensemble."""
+    credited = albums.withColumn("_credited", cr.named_in(F.col("artists"), F.col("musicians")))
+    groups = credited.withColumn("_group", credited_group(F.col("release.artists"))).select(
+        *credited.columns, "_group.*"
+    )
+    none_credited = F.size("_credited") == 0
+    found = F.when(none_credited, F.col("members_found")).otherwise(F.col("_credited"))
+    return (
+        member_leaders(groups, artist_details, none_credited)
         .withColumn("leaders", cr.leaders_or_ensemble(found, F.col("artists")))
-        .drop("_credited", "_key", "_url", "_members")
+        .drop("_credited", "group_name", "group_url", "members_found")
     )
 
 
@@ -275,11 +307,7 @@ def curate(
     candidates = to_masters(accept_results(catalogue.search, cfg), catalogue, cfg)
     in_years = candidates.where(master_year_ok(F.col("year"), cfg.first_year))
     accepted = without_compilations(not_stored(in_years, stored), catalogue.releases)
-    order = [
-        _style_position(F.col("style_query"), cfg.enabled_styles),
-        F.col("found_year").cast("int"), F.col("page"), F.col("position"),
-    ]
-    unique = first_seen(accepted, order)
+    unique = first_seen(accepted, search_order(cfg))
     albums = main_release(unique, catalogue.releases)
     albums = album_players(albums, catalogue.releases, cfg)
     albums = album_leaders(albums, catalogue.artist_details)

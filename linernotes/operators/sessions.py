@@ -43,6 +43,11 @@ def distinct_ids(ids: list[str], at_least: int = 1) -> list[str]:
     return unique
 
 
+def distinct_id_lists(requests: DataFrame, ids: str, at_least: int = 1) -> DataFrame:
+    """The same for a column of id lists; requests with too few different ids are left out."""
+    return requests.withColumn(ids, F.array_distinct(ids)).where(F.size(ids) >= at_least)
+
+
 def _only(edges: DataFrame, albums: DataFrame | None) -> DataFrame:
     return edges if albums is None else edges.join(albums, "album_id", "left_semi")
 
@@ -90,7 +95,8 @@ def album_cards(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     lists = album_lists(graph, wanted)
     empty = F.array().cast("array<string>")
     return (
-        chosen.join(lists, "album_id", "left")
+        chosen.drop("label")
+        .join(lists, "album_id", "left")
         .join(album_labels(graph, wanted), "album_id", "left")
         .select(
             "album_id", "ensemble", "title",

@@ -246,3 +246,75 @@ def catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
         search_results(spark, sf_dir), masters(spark, sf_dir), releases(spark, sf_dir),
         artist_details(spark, sf_dir),
     )
+
+
+# Records shipped before this date are the first graph load, the others the second.
+SECOND_LOAD = "1998-01-01 00:00:00"
+
+# Search texts of the containment and prefix queries, and of the suggestions.
+SEARCH_TEXTS = {"the": "The ", "percent": "%", "underscore": "_", "ring": "RING", "que": "QUE"}
+SUGGEST = {
+    "q1_suggest_artists": "R#00000000",
+    "q2_suggest_works": "R",
+    "q3_suggest_albums": "5-low",
+}
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All text the given tables hold: (kind, key, text)."""
+    sources = [
+        ("documents", "'document'", "cast(doc_id AS string)", "text"),
+        ("conversations", "'turn'", "concat(conv_id, '-', turn)", "text"),
+        ("part", "'part'", "cast(p_partkey AS string)", "p_name"),
+        ("pages", "'page'", "cast(page_id AS string)", "html"),
+    ]
+    parts = [
+        table(spark, sf_dir, t).selectExpr(f"{kind} AS kind", f"{key} AS key", f"{text} AS text")
+        for t, kind, key, text in sources
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def year_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        """CASE o_orderkey % 9
+             WHEN 0 THEN 'abc' WHEN 1 THEN concat(year(o_orderdate), '.0') WHEN 2 THEN ''
+             WHEN 3 THEN concat(' ', year(o_orderdate), ' ') WHEN 4 THEN '99999999999'
+             WHEN 5 THEN NULL WHEN 6 THEN concat('-', o_orderkey)
+             ELSE cast(year(o_orderdate) AS string) END AS year""",
+    )
+
+
+def landed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        """concat('/landing/', l_returnflag, '/', l_orderkey,
+             CASE WHEN l_linestatus = 'O' THEN '.json' WHEN l_returnflag = 'N' THEN '.JSON'
+                  ELSE '.txt' END) AS path"""
+    )
+
+
+def raw_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").selectExpr(
+        "concat('/raw/albums/', o_orderkey, '.json') AS path"
+    )
+
+
+def stored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").selectExpr("o_orderkey AS id")
+
+
+def collab_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per supplier: itself, the next one, and one fixed other."""
+    from linernotes.functions.text import content_id, norm_text
+
+    suppliers = table(spark, sf_dir, "supplier").select(
+        "s_suppkey", content_id(norm_text(F.col("s_name"))).alias("artist_id")
+    )
+    fixed = content_id(F.lit("supplier 000000003"))
+    asked = F.explode(F.array(
+        F.struct(F.col("s_suppkey").alias("request_id"), F.col("artist_id")),
+        F.struct((F.col("s_suppkey") - 1).alias("request_id"), F.col("artist_id")),
+        F.struct(F.col("s_suppkey").alias("request_id"), fixed.alias("artist_id")),
+    ))
+    return suppliers.select(asked.alias("r")).select("r.*")
