@@ -8,15 +8,45 @@ from linernotes import fixed_values as fv
 
 
 def norm_text(c: Column) -> Column:
-    """Form under which names and titles are compared; null stays null."""
-    folded = F.translate(F.lower(F.trim(c)), fv.FOLD_FROM, fv.FOLD_TO)
-    words = F.regexp_replace(folded, fv.NON_WORD, " ")
-    return F.trim(F.regexp_replace(words, fv.SPACES, " "))
+    """Form under which names and titles are compared; null stays null.
+
+    Trimmed, lower case, accents folded, every run of anything but letters, digits and "_" one
+    blank. One pattern does the last step: punctuation and white space both end up as that blank.
+    """
+    low = F.lower(F.trim(c))
+    # Only text with multi-byte letters can hold an accent; the others skip the lookup.
+    accented = F.octet_length(low) > F.length(low)
+    folded = F.when(accented, F.translate(low, fv.FOLD_FROM, fv.FOLD_TO)).otherwise(low)
+    return F.trim(F.regexp_replace(folded, fv.NON_WORDS, " "))
+
+
+def _without_takes(c: Column) -> Column:
+    # Most titles have no parenthesis at all; looking for one is far cheaper than the pattern.
+    bare = F.regexp_replace(c, fv.TAKE_PARENTHETICAL, "")
+    return F.when(F.contains(c, F.lit("(")), bare).otherwise(c)
 
 
 def strip_takes(c: Column) -> Column:
     """Title without its "(… take …)" parentheticals."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, fv.TAKE_PARENTHETICAL, ""), fv.SPACES, " "))
+    return F.trim(F.regexp_replace(_without_takes(c), fv.SPACES, " "))
+
+
+def has_words(c: Column) -> Column:
+    """True when ``norm_text(c)`` is not empty; null for null.
+
+    A filter on the normalised form itself would be pushed to the scan and run the normaliser on
+    every row a second time; this looks no further than the first letter.
+    """
+    return F.lower(c).rlike(fv.WORD)
+
+
+def title_has_words(c: Column) -> Column:
+    return has_words(_without_takes(c))
+
+
+def norm_title(c: Column) -> Column:
+    """``norm_text(strip_takes(c))``; the normaliser tidies the blanks by itself."""
+    return norm_text(_without_takes(c))
 
 
 def content_id(c: Column) -> Column:

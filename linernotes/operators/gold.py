@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linernotes import fixed_values as fv
 from linernotes.functions.text import (
-    content_id, has_text, label_key, norm_text, strip_takes, year_number,
+    content_id, has_text, has_words, label_key, norm_text, norm_title, strip_takes, title_has_words,
+    year_number,
 )
 
 
@@ -55,26 +56,24 @@ def _most_used(spellings: DataFrame, key: str, shown: str, n: str) -> DataFrame:
 
 def _spelling_counts(texts: DataFrame, text: str) -> DataFrame:
     """Distinct trimmed texts with their number of rows: later text work runs once per spelling."""
-    trimmed = texts.select(F.trim(text).alias(text)).where(has_text(F.col(text)))
-    return trimmed.groupBy(text).agg(F.count(F.lit(1)).alias("n"))
+    return texts.groupBy(F.trim(text).alias(text)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def artists(bronze: DataFrame) -> DataFrame:
     """One row per normalised name over musicians and leaders."""
-    names = bronze.select(F.explode(F.concat(*[_list(c) for c in ("musicians", "leaders")]))
-                          .alias("name"))
-    counts = _spelling_counts(names, "name").withColumn("norm", norm_text(F.col("name")))
-    chosen = _most_used(counts.where(has_text(F.col("norm"))), "norm", "name", "n")
+    names = bronze.select(F.explode(F.concat(_list("musicians"), _list("leaders"))).alias("name"))
+    counts = _spelling_counts(names.where(has_words(F.col("name"))), "name")
+    chosen = _most_used(counts.withColumn("norm", norm_text(F.col("name"))), "norm", "name", "n")
     return chosen.select(content_id(F.col("norm")).alias("artist_id"), "name")
 
 
 def works(bronze: DataFrame) -> DataFrame:
     """One row per normalised track title, takes stripped."""
     titles = bronze.select(F.explode("tracklist").alias("title"))
-    counts = _spelling_counts(titles, "title").select(
-        strip_takes(F.col("title")).alias("work_title"), "n"
-    ).withColumn("norm", norm_text(F.col("work_title")))
-    chosen = _most_used(counts.where(has_text(F.col("norm"))), "norm", "work_title", "n")
+    counts = _spelling_counts(titles.where(title_has_words(F.col("title"))), "title").select(
+        strip_takes(F.col("title")).alias("work_title"), norm_title(F.col("title")).alias("norm"), "n"
+    )
+    chosen = _most_used(counts, "norm", "work_title", "n")
     return chosen.select(content_id(F.col("norm")).alias("work_id"), "work_title")
 
 
@@ -84,17 +83,14 @@ def _list(name: str) -> Column:
 
 def album_artist(bronze: DataFrame) -> DataFrame:
     """Distinct (album, artist, role)."""
-
-    def credit(column: str, role: str) -> Column:
-        return F.transform(
-            _list(column), lambda n: F.struct(n.alias("name"), F.lit(role).alias("role"))
-        )
-
-    both = F.concat(credit("leaders", fv.LEADER), credit("musicians", fv.MUSICIAN))
-    credits = bronze.select(F.col("id").alias("album_id"), F.explode(both).alias("credit"))
-    normed = credits.select(
-        "album_id", norm_text(F.col("credit.name")).alias("norm"), F.col("credit.role").alias("role")
-    ).where(has_text(F.col("norm")))
+    # One list, leaders first: the position tells the role.
+    both = F.posexplode(F.concat(_list("leaders"), _list("musicians"))).alias("pos", "name")
+    leader = F.col("pos") < F.size(_list("leaders"))
+    credits = bronze.select(F.col("id").alias("album_id"), "leaders", both)
+    normed = credits.where(has_words(F.col("name"))).select(
+        "album_id", norm_text(F.col("name")).alias("norm"),
+        F.when(leader, fv.LEADER).otherwise(fv.MUSICIAN).alias("role"),
+    )
     return normed.distinct().select(
         "album_id", content_id(F.col("norm")).alias("artist_id"), "role"
     )
@@ -103,10 +99,10 @@ def album_artist(bronze: DataFrame) -> DataFrame:
 def album_work(bronze: DataFrame) -> DataFrame:
     """Distinct (album, work): takes of one title on one album collapse."""
     titles = bronze.select(F.col("id").alias("album_id"), F.explode("tracklist").alias("title"))
-    normed = titles.select("album_id", norm_text(strip_takes(F.col("title"))).alias("norm"))
-    return normed.where(has_text(F.col("norm"))).distinct().select(
-        "album_id", content_id(F.col("norm")).alias("work_id")
+    normed = titles.where(title_has_words(F.col("title"))).select(
+        "album_id", norm_title(F.col("title")).alias("norm")
     )
+    return normed.distinct().select("album_id", content_id(F.col("norm")).alias("work_id"))
 
 
 def album_label(bronze: DataFrame) -> DataFrame:
@@ -120,13 +116,13 @@ def album_label(bronze: DataFrame) -> DataFrame:
 def tracks(bronze: DataFrame) -> DataFrame:
     """An album's distinct tracks by normalised title, each with its first cleaned name."""
     titles = bronze.select(F.col("id").alias("album_id"), F.posexplode("tracklist"))
-    cleaned = titles.select("album_id", "pos", strip_takes(F.col("col")).alias("name")).withColumn(
-        "norm", norm_text(F.col("name"))
+    named = titles.where(title_has_words(F.col("col"))).select(
+        "album_id", "pos", strip_takes(F.col("col")).alias("name"),
+        norm_title(F.col("col")).alias("norm"),
     )
     first = F.min_by("name", F.struct("pos", "name"))
     return (
-        cleaned.where(has_text(F.col("norm")))
-        .groupBy("album_id", "norm")
+        named.groupBy("album_id", "norm")
         .agg(first.alias("name"))
         .select(
             content_id(F.concat_ws("#", F.col("album_id").cast("string"), "norm")).alias("track_id"),

@@ -111,7 +111,7 @@ def n8_prefix_rank(spark, sf_dir):
 
 @query
 def c1_enabled_values(spark, sf_dir):
-    search = v.search_results(spark, sf_dir)
+    search = ws.catalogue(spark, sf_dir).search
     known = lb.first_known_label(F.col("label"), v.CURATION.enabled_labels)
 
     def counted(values: DataFrame, kind: str, value: Column) -> DataFrame:
@@ -130,7 +130,7 @@ def c1_enabled_values(spark, sf_dir):
 def c2_search_scope(spark, sf_dir):
     cfg = v.CURATION
     scope = cu.search_scope(cu.enabled_styles(spark, cfg), cfg.first_year, cfg.last_year)
-    found = v.search_results(spark, sf_dir).groupBy(
+    found = ws.catalogue(spark, sf_dir).search.groupBy(
         F.col("style_query").alias("style"), F.col("year").try_cast("int").alias("year")
     ).agg(F.count(F.lit(1)).alias("n"))
     return scope.join(found, ["style", "year"], "left").select(
@@ -140,7 +140,7 @@ def c2_search_scope(spark, sf_dir):
 
 @query
 def c2_in_scope(spark, sf_dir):
-    return cu.in_scope(v.search_results(spark, sf_dir), v.CURATION).select("type", "id", "style_query")
+    return cu.in_scope(ws.catalogue(spark, sf_dir).search, v.CURATION).select("type", "id", "style_query")
 
 
 @query
@@ -148,7 +148,7 @@ def c3_valid_year(spark, sf_dir):
     years = v.year_texts(spark, sf_dir).select(
         F.lit("text").alias("kind"), F.col("o_orderkey").alias("id"), "year"
     )
-    found = v.search_results(spark, sf_dir).select(F.lit("search").alias("kind"), "id", "year")
+    found = ws.catalogue(spark, sf_dir).search.select(F.lit("search").alias("kind"), "id", "year")
     valid = cu.valid_year(F.col("year"), v.CURATION.first_year, v.CURATION.last_year)
     return found.unionByName(years).select(
         "kind", "id", F.coalesce(valid, F.lit(False)).alias("valid")
@@ -157,20 +157,20 @@ def c3_valid_year(spark, sf_dir):
 
 @query
 def c4_master_year(spark, sf_dir):
-    masters = v.masters(spark, sf_dir).select("id", "year")
+    masters = ws.catalogue(spark, sf_dir).masters.select("id", "year")
     return masters.where(cu.master_year_ok(F.col("year"), v.CURATION.first_year))
 
 
 @query
 def c5_album_format(spark, sf_dir):
     ok = lb.is_album_format(F.col("format"), F.col("format_descriptions"))
-    return v.search_results(spark, sf_dir).where(ok).select("type", "id")
+    return ws.catalogue(spark, sf_dir).search.where(ok).select("type", "id")
 
 
 @query
 def c6_label_match(spark, sf_dir):
     hint = lb.first_known_label(F.col("label"), v.CURATION.enabled_labels)
-    hits = v.search_results(spark, sf_dir).select("type", "id", hint.alias("label_hint"))
+    hits = ws.catalogue(spark, sf_dir).search.select("type", "id", hint.alias("label_hint"))
     return hits.where(F.col("label_hint").isNotNull())
 
 
@@ -178,20 +178,20 @@ def c6_label_match(spark, sf_dir):
 def c7_release_label(spark, sf_dir):
     names = F.transform("labels", lambda x: x["name"])
     label = lb.release_label(names, F.lit("Hint"), v.CURATION.enabled_labels)
-    return v.releases(spark, sf_dir).select("url", label.alias("label"))
+    return ws.catalogue(spark, sf_dir).releases.select("url", label.alias("label"))
 
 
 @query
 def c8_label_number(spark, sf_dir):
-    names = v.releases(spark, sf_dir).select("url", F.explode("labels.name").alias("raw"))
+    names = ws.catalogue(spark, sf_dir).releases.select("url", F.explode("labels.name").alias("raw"))
     return names.select("url", lb.drop_label_number(F.col("raw")).alias("label"))
 
 
 @query
 def c9_release_masters(spark, sf_dir):
-    found = v.search_results(spark, sf_dir)
-    urls = cu.release_master_urls(found, v.releases(spark, sf_dir), v.CURATION)
-    masters = v.masters(spark, sf_dir).select(
+    found = ws.catalogue(spark, sf_dir).search
+    urls = cu.release_master_urls(found, ws.catalogue(spark, sf_dir).releases, v.CURATION)
+    masters = ws.catalogue(spark, sf_dir).masters.select(
         F.col("url").alias("master_url"), F.col("id").alias("master_id"),
         F.col("year").alias("master_year"), "styles",
     )
@@ -203,7 +203,7 @@ def c9_release_masters(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir) -> tuple[DataFrame, cu.Catalogue]:
-    cat = v.catalogue(spark, sf_dir)
+    cat = ws.catalogue(spark, sf_dir)
     return cu.to_masters(cu.accept_results(cat.search, v.CURATION), cat, v.CURATION), cat
 
 
@@ -234,7 +234,7 @@ def c11_main_release(spark, sf_dir):
 @query
 def c12_clean_tracks(spark, sf_dir):
     titles = F.transform("tracklist", lambda t: t["title"])
-    cleaned = v.releases(spark, sf_dir).select("url", clean_tracklist(titles).alias("tracklist"))
+    cleaned = ws.catalogue(spark, sf_dir).releases.select("url", clean_tracklist(titles).alias("tracklist"))
     return flat(cleaned, "tracklist")
 
 
@@ -244,7 +244,7 @@ def _players(c: Column) -> Column:
 
 @query
 def c13_players(spark, sf_dir):
-    rows = v.releases(spark, sf_dir).select("url", _players(F.col("extraartists")).alias("players"))
+    rows = ws.catalogue(spark, sf_dir).releases.select("url", _players(F.col("extraartists")).alias("players"))
     return flat(rows, "players")
 
 
@@ -263,7 +263,7 @@ def c14_player_fallback(spark, sf_dir):
 @query
 def c15_clean_players(spark, sf_dir):
     names = F.transform("extraartists", lambda x: x["name"])
-    rows = v.releases(spark, sf_dir).select("url", cr.clean_players(names).alias("names"))
+    rows = ws.catalogue(spark, sf_dir).releases.select("url", cr.clean_players(names).alias("names"))
     return flat(rows, "names")
 
 
@@ -276,8 +276,8 @@ def c16_leaders_in_credit(spark, sf_dir):
 
 @query
 def c17_leaders_from_members(spark, sf_dir):
-    groups = v.releases(spark, sf_dir).select("url", cu.credited_group(F.col("artists")).alias("g"))
-    found = cu.member_leaders(groups.select("url", "g.*"), v.artist_details(spark, sf_dir))
+    groups = ws.catalogue(spark, sf_dir).releases.select("url", cu.credited_group(F.col("artists")).alias("g"))
+    found = cu.member_leaders(groups.select("url", "g.*"), ws.catalogue(spark, sf_dir).artist_details)
     return flat(found.select("url", F.col("members_found").alias("leaders")), "leaders")
 
 
@@ -290,8 +290,8 @@ def c18_leader_fallback(spark, sf_dir):
 
 @query
 def c19_drop_compilations(spark, sf_dir):
-    masters = v.masters(spark, sf_dir).select("id", "main_release_url")
-    return cu.without_compilations(masters, v.releases(spark, sf_dir)).select("id")
+    masters = ws.catalogue(spark, sf_dir).masters.select("id", "main_release_url")
+    return cu.without_compilations(masters, ws.catalogue(spark, sf_dir).releases).select("id")
 
 
 @query
@@ -308,7 +308,7 @@ def c21_not_stored(spark, sf_dir):
 
 
 def _curated(spark, sf_dir) -> DataFrame:
-    return cu.curate(v.catalogue(spark, sf_dir), v.CURATION, v.stored_ids(spark, sf_dir))
+    return cu.curate(ws.catalogue(spark, sf_dir), v.CURATION, v.stored_ids(spark, sf_dir))
 
 
 @query

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linernotes.config import CurationConfig
-from linernotes.operators.curation import Catalogue
 
 BASE = "https://catalogue.test"
 
@@ -241,13 +240,6 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_masters.unionByName(found_releases)
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
-    return Catalogue(
-        search_results(spark, sf_dir), masters(spark, sf_dir), releases(spark, sf_dir),
-        artist_details(spark, sf_dir),
-    )
-
-
 # Records shipped before this date are the first graph load, the others the second.
 SECOND_LOAD = "1998-01-01 00:00:00"
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from linernotes.config import BronzeConfig, GoldConfig
 from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
-from linernotes.operators.graph import EDGES, NODES, Graph, upsert_edges, upsert_nodes
-from linernotes.plans.refresh import read_graph, write_graph
+from linernotes.operators.curation import Catalogue
+from linernotes.operators.graph import Graph
+from linernotes.plans.refresh import load_in_steps, read_gold_tables, read_graph
 from linernotes.session import shared_folder
 from linernotes.sources.landing import write_albums
 from linernotes.sources.tables import write_gold
@@ -44,12 +45,7 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The graph of all album records."""
 
     def build(folder: str) -> None:
-        gold = {n: lambda n=n: g.TABLES[n](views.bronze(spark, sf_dir, *GOLD_INPUT[n])) for n in GOLD_INPUT}
-        nodes = {s.name: upsert_nodes(gold[s.table](), s.key, s.props) for s in NODES}
-        write_graph(Graph(nodes, {}), folder)
-        nodes = read_graph(spark, folder).nodes
-        edges = {s.name: upsert_edges(gold[s.table](), s, nodes) for s in EDGES}
-        write_graph(Graph({}, edges), folder)
+        load_in_steps(spark, read_gold_tables(spark, gold_tables(spark, sf_dir)), folder)
 
     return read_graph(spark, _once(spark, sf_dir, "graph", build))
 
@@ -68,6 +64,21 @@ GOLD_INPUT = {
 }
 
 
+def catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
+    """The landed catalogue documents: four tables."""
+    makers = {
+        "search": views.search_results, "masters": views.masters, "releases": views.releases,
+        "artist_details": views.artist_details,
+    }
+
+    def build(folder: str) -> None:
+        for name, make in makers.items():
+            make(spark, sf_dir).write.parquet(f"{folder}/{name}")
+
+    folder = _once(spark, sf_dir, "catalogue", build)
+    return Catalogue(**{n: spark.read.parquet(f"{folder}/{n}") for n in makers})
+
+
 ALBUM_COLUMNS = [c for c in views.BRONZE if not c.startswith("_")]
 
 
