@@ -19,7 +19,9 @@ def suggestions(
     hits = nodes.select(F.col(key).alias("id"), F.col(name).alias("name")).where(
         contains_text(F.col("name"), q)
     )
-    hits = hits.orderBy(prefix_rank(F.col("name"), q), low.asc_nulls_last(), "id")
+    # A constant rank would be read as a column number.
+    rank = [prefix_rank(F.col("name"), q)] if q else []
+    hits = hits.orderBy(*rank, low.asc_nulls_last(), "id")
     return hits if limit is None else hits.limit(limit)
 
 

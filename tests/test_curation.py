@@ -1,0 +1,209 @@
+import pytest
+from pyspark.sql import functions as F
+
+from linernotes.config import CurationConfig
+from linernotes.functions import credits as cr, labels as lb
+from linernotes.functions.titles import clean_title, clean_tracklist
+from linernotes.operators import curation as cu, report
+
+U = "https://x.test"
+CFG = CurationConfig(
+    first_year=1955, last_year=1962,
+    styles={"hard bop": True, "swing": False, "modal": True},
+    labels={"star": ("Star Records", True), "argo": ("Argo", True), "moon": ("Moon", False)},
+    url_base=U,
+)
+SEARCH = ("type STRING, id LONG, year STRING, format ARRAY<STRING>, "
+          "format_descriptions ARRAY<STRING>, label ARRAY<STRING>, style ARRAY<STRING>, "
+          "cover_image STRING, master_url STRING, resource_url STRING, style_query STRING, "
+          "page INT, position LONG")
+MASTERS = ("url STRING, id LONG, year INT, title STRING, styles ARRAY<STRING>, "
+           "main_release_url STRING, most_recent_release_url STRING")
+RELEASES = ("url STRING, title STRING, master_id LONG, master_url STRING, "
+            "labels ARRAY<STRUCT<name: STRING>>, tracklist ARRAY<STRUCT<title: STRING>>, "
+            "extraartists ARRAY<STRUCT<name: STRING, role: STRING>>, "
+            "artists ARRAY<STRUCT<name: STRING, anv: STRING, resource_url: STRING>>")
+DETAILS = "url STRING, members ARRAY<STRUCT<name: STRING>>"
+
+
+@pytest.mark.parametrize("raw,clean", [
+    ("Another One - Short-Take 1", "Another One"),
+    ("Bloom - Mistake", "Bloom"),
+    ("Bloom - 2 - take 3", "Bloom"),
+    ("Bloom - (The Original Master)", "Bloom"),
+    ("Bloom (original)", "Bloom"),
+    ("Band #10: Bloom", "Bloom"),
+    ("band#3 Bloom", "Bloom"),
+    ("Bloom D831-1", "Bloom"),
+    ("Bloom (S5710-1) extra", "Bloom"),
+    ("bloom d831-1", "bloom d831"),
+    ("Home - 1", "Home"),
+    ("Opus-5", "Opus"),
+    ("Bloom (alt. take)", "Bloom"),
+    ("Bloom (take) more", "Bloom (take) more"),
+    ("Bloom — Orig. Take #4", "Bloom"),
+    ("Bloom New Take 2", "Bloom"),
+    ('"Bloom"', "Bloom"),
+    ("“Bloom”", "“Bloom”"),
+    ("'Bloom'", "Bloom"),
+    ("  two   blanks ", "two blanks"),
+    ("-", None),
+    ("", None),
+    (None, None),
+])
+def test_clean_title(spark, raw, clean):
+    df = spark.createDataFrame([(raw,)], "t STRING")
+    assert df.select(clean_title(F.col("t"))).first()[0] == clean
+
+
+def test_clean_tracklist_drops_empty_and_keeps_order(spark):
+    df = spark.createDataFrame([(["B", "-", " - 3", None, "A"],), (None,)], "t ARRAY<STRING>")
+    assert [r[0] for r in df.select(clean_tracklist(F.col("t"))).collect()] == [["B", "A"], []]
+
+
+@pytest.mark.parametrize("formats,descriptions,ok", [
+    (["LP"], None, True), (['7"'], None, False), (None, ["45 RPM"], False),
+    (["78 rpm, Shellac"], [], False), (["LP"], ["Mono", "7 Inch"], False), (None, None, True),
+])
+def test_album_format(spark, formats, descriptions, ok):
+    df = spark.createDataFrame([(formats, descriptions)], "a ARRAY<STRING>, b ARRAY<STRING>")
+    assert df.select(lb.is_album_format(F.col("a"), F.col("b"))).first()[0] is ok
+
+
+def test_labels(spark):
+    df = spark.createDataFrame(
+        [(["Random", "Margo (6)", "Star"],), (["Random"],), ([],), (None,), (["", "x"],)],
+        "l ARRAY<STRING>",
+    )
+    known = {"star": "Star Records", "argo": "Argo"}
+    assert [r[0] for r in df.select(lb.first_known_label(F.col("l"), known)).collect()] == [
+        "Argo", None, None, None, None]
+    picked = lb.drop_label_number(lb.release_label(F.col("l"), F.lit("Hint (2)"), known))
+    assert [r[0] for r in df.select(picked).collect()] == ["Argo", "Random", "Hint", "Hint", "Hint"]
+    two = spark.createDataFrame([("Argo  (6)",)], "l STRING")
+    assert two.select(lb.drop_label_number(F.col("l"))).first()[0] == "Argo "
+
+
+def test_players(spark):
+    credits = [("A", "Tenor Saxophone"), ("B", "Engineer"), ("C", "Producer, Piano"),
+               ("D", "Piano Technician"), ("E", None), ("", "Drums"), (None, "Drums"),
+               ("F", "Xyz"), ("A", "Flute")]
+    df = spark.createDataFrame([(credits,)], "c ARRAY<STRUCT<name: STRING, role: STRING>>")
+    got = df.select(cr.players(F.col("c"), CFG.performing_roles, CFG.excluded_roles)).first()[0]
+    assert got == ["A", "C", "D", "E", "F", "A"]
+
+
+def test_clean_players_is_distinct_before_the_number_goes(spark):
+    df = spark.createDataFrame([(["A (1)", "B", "A (2)", "A (1)"],)], "n ARRAY<STRING>")
+    assert df.select(cr.clean_players(F.col("n"))).first()[0] == ["A", "A", "B"]
+
+
+def test_named_in_and_fallback(spark):
+    df = spark.createDataFrame(
+        [("Bo Lind Four", ["bo lind", "Al"]), ("", ["Bo"]), (None, ["Bo"]), ("X", [])],
+        "e STRING, n ARRAY<STRING>",
+    )
+    named = cr.named_in(F.col("e"), F.col("n"))
+    rows = df.select(named, cr.leaders_or_ensemble(named, F.col("e"))).collect()
+    assert [tuple(r) for r in rows] == [
+        (["bo lind"], ["bo lind"]), ([], []), ([], []), ([], ["X"])]
+
+
+def test_year_rules(spark):
+    years = ["1955", "1962", "1963", "1954", "", "19 60", "n/a", "1960\n", None]
+    df = spark.createDataFrame([(y,) for y in years], "y STRING")
+    ok = [r[0] for r in df.where(cu.valid_year(F.col("y"), 1955, 1962)).collect()]
+    assert ok == ["1955", "1962"]
+    masters = spark.createDataFrame([(0,), (None,), (1954,), (1955,), (2024,)], "y INT")
+    assert [r[0] for r in masters.where(cu.master_year_ok(F.col("y"), 1955)).collect()] == [1955, 2024]
+
+
+def test_scope(spark):
+    scope = cu.search_scope(cu.enabled_styles(spark, CFG), 1960, 1962)
+    assert sorted((r.style, r.year) for r in scope.collect()) == [
+        (s, y) for s in ("hard bop", "modal") for y in (1960, 1961, 1962)]
+
+
+def search_row(**v):
+    base = dict(type="master", id=1, year="1960", format=["LP"], format_descriptions=None,
+                label=["Star"], style=["Hard Bop"], cover_image="http://i", master_url=f"{U}/masters/1",
+                resource_url=None, style_query="hard bop", page=1, position=1)
+    base.update(v)
+    return tuple(base.values())
+
+
+@pytest.fixture(scope="module")
+def catalogue(spark):
+    search = [
+        search_row(),
+        search_row(position=2, style_query="modal"),                      # same master again
+        search_row(id=2, master_url=f"{U}/masters/2", position=3),        # compilation
+        search_row(id=3, master_url=None, position=4),                    # no link: empty album
+        search_row(id=4, master_url=f"{U}/masters/4", position=5, year="1963"),   # out of years
+        search_row(id=5, master_url=f"{U}/masters/5", position=6, format=['7"']),  # single
+        search_row(id=6, master_url=f"{U}/masters/6", position=7, label=["Moon"]),  # disabled label
+        search_row(type="release", id=70, master_url=None, resource_url=None, position=8,
+                   cover_image="http://rel", style=["Own"]),              # by built URLs
+        search_row(type="release", id=71, master_url=None, position=9,
+                   resource_url=f"{U}/releases/71"),                      # release without master
+        search_row(type="artist", id=8, position=10),
+        search_row(id=9, master_url=f"{U}/masters/9", position=11, style=None),  # via members
+        search_row(id=10, master_url=f"{U}/masters/10", position=12),     # stored already
+    ]
+    masters = [
+        (f"{U}/masters/1", 1, 1960, "M1", ["Bop"], f"{U}/releases/11", f"{U}/releases/12"),
+        (f"{U}/masters/2", 2, 1960, "M2", None, f"{U}/releases/21", None),
+        (f"{U}/masters/7", 7, 1959, "M7", None, f"{U}/releases/72", f"{U}/releases/72"),
+        (f"{U}/masters/9", 9, 1960, "M9", None, f"{U}/releases/91", None),
+        (f"{U}/masters/10", 10, 1960, "M10", None, f"{U}/releases/11", None),
+    ]
+    group = [("Cool Four", None, f"{U}/artists/4")]
+    releases = [
+        (f"{U}/releases/11", "Album One", 1, None, [("Random (3)",)], [("T1 - 2",), ("-",)],
+         [("Rudy", "Engineer")], [("Bo Lind Trio", None, f"{U}/artists/1")]),
+        (f"{U}/releases/12", "Later", 1, None, [], [], [("Bo Lind (2)", "Piano"), ("Z", "Mixed By")], []),
+        (f"{U}/releases/21", "Comp", 2, None, [], [], [], [("VARIOUS", None, None)]),
+        (f"{U}/releases/70", "R70", 7, "", [], [], [], []),
+        (f"{U}/releases/71", "R71", 0, None, [], [], [], []),
+        (f"{U}/releases/72", "R72", 7, None, [("Argo",)], [("X",)], [], [("Al", None, None)]),
+        (f"{U}/releases/91", "R91", 9, None, None, None, [("Ed", "Bass")], group),
+    ]
+    details = [(f"{U}/artists/4", [("cool",), ("Four",), ("Else",), ("cool",)])]
+    make = spark.createDataFrame
+    return cu.Catalogue(make(search, SEARCH), make(masters, MASTERS), make(releases, RELEASES),
+                        make(details, DETAILS))
+
+
+def test_curate_end_to_end(spark, catalogue):
+    stored = spark.createDataFrame([(10,)], "id LONG")
+    albums = {r.id: r for r in cu.curate(catalogue, CFG, stored).collect()}
+    assert sorted(albums) == [1, 3, 7, 9]
+    one = albums[1]
+    assert one.asDict() == dict(
+        artists="Bo Lind Trio", title="Album One", id=1, year="1960", label="Random",
+        tracklist=["T1"], musicians=["Bo Lind"], leaders=["Bo Lind"], style=["Hard Bop"],
+        cover_url="http://i")
+    empty = albums[3]
+    assert (empty.artists, empty.title, empty.tracklist, empty.musicians, empty.leaders) == (
+        "", "", [], [], [])
+    assert empty.label == "Star Records"
+    resolved = albums[7]
+    assert (resolved.year, resolved.style, resolved.cover_url, resolved.leaders) == (
+        "1959", [], "http://rel", ["Al"])
+    assert resolved.label == "Argo"
+    group = albums[9]
+    assert (group.leaders, group.style, group.label) == (["Four", "cool"], [], "Star Records")
+
+
+def test_first_seen_takes_least_order(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 5, "c")], "id LONG, o INT, v STRING")
+    assert sorted(tuple(r) for r in cu.first_seen(df, [F.col("o")]).collect()) == [
+        (1, 1, "a"), (2, 5, "c")]
+
+
+def test_album_listing(spark, bronze):
+    rows = {r.id: r for r in report.album_listing(bronze).collect()}
+    assert rows[2].tracklist == "1. Sea  Song (Master Take)\n2. Harbour"
+    assert rows[2].musicians == "- Bo Lind\n- Cy Young\n- Ana Sánchez"
+    assert rows[3].tracklist == "(Not available)"
+    assert rows[1].leaders == "Ana Sánchez"
