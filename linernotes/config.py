@@ -47,6 +47,7 @@ class BronzeConfig:
     mode: str = "append"
     partition_by: tuple[str, ...] = ()
     writer_options: dict[str, str] = field(default_factory=dict)
+    # None lets Spark choose files of its advisory size, for batches too big for a few tasks.
     files_per_batch: int | None = fv.FILES_PER_BATCH
 
     @property

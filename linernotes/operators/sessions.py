@@ -3,11 +3,15 @@
 All of them show an album as a "card": its tracks, leaders and participants as distinct sorted
 names, and its label, with one row per label. A card is aggregated per edge type before anything
 is joined, and only for the albums asked for.
+
+A bulk question repeats an album's lists in every row that album is part of. ``with_lists=False``
+leaves them out and keeps the result as long as the edges are; the lists are then one
+``album_cards`` row per album, or one ``album_names`` row per name for albums of any size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linernotes import fixed_values as fv
 from linernotes.operators.graph import Graph
@@ -85,25 +89,23 @@ def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     return edges.select("album_id", F.col("name").alias("label"))
 
 
-def album_cards(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
+def album_cards(
+    graph: Graph, albums: DataFrame | None = None, with_lists: bool = True
+) -> DataFrame:
     """The cards of the given albums (rows of the album node table), or of all.
 
     Columns: album_id, ensemble, title, tracks, leaders, participants, year, label, cover.
     """
     wanted = None if albums is None else albums.select("album_id")
-    chosen = graph.albums if albums is None else albums
-    lists = album_lists(graph, wanted)
-    empty = F.array().cast("array<string>")
-    return (
-        chosen.drop("label")
-        .join(lists, "album_id", "left")
-        .join(album_labels(graph, wanted), "album_id", "left")
-        .select(
-            "album_id", "ensemble", "title",
-            *[F.coalesce(c, empty).alias(c) for c in LISTS],
-            "year", "label", F.col("cover_url").alias("cover"),
-        )
-    )
+    cards = (graph.albums if albums is None else albums).drop("label")
+    cards = cards.join(album_labels(graph, wanted), "album_id", "left")
+    lists: list[Column] = []
+    if with_lists:
+        cards = cards.join(album_lists(graph, wanted), "album_id", "left")
+        empty = F.array().cast("array<string>")
+        lists = [F.coalesce(c, empty).alias(c) for c in LISTS]
+    cover = F.col("cover_url").alias("cover")
+    return cards.select("album_id", "ensemble", "title", *lists, "year", "label", cover)
 
 
 def _ids(column: str, ids: str | int | DataFrame):
@@ -122,7 +124,13 @@ def _ordered(result: DataFrame, single: bool, title: str, limit: int | None) ->
     return result if limit is None else result.limit(limit)
 
 
-def _artist_albums(graph, edges, artist, year_min, year_max, limit, columns) -> DataFrame:
+def _shown(columns: list[str], with_lists: bool) -> list[str]:
+    return columns if with_lists else [c for c in columns if c not in LISTS]
+
+
+def _artist_albums(
+    graph, edges, artist, year_min, year_max, limit, with_lists, columns
+) -> DataFrame:
     single = not isinstance(artist, DataFrame)
     keep = _ids("artist_id", artist)
     mine = keep(edges)
@@ -131,10 +139,10 @@ def _artist_albums(graph, edges, artist, year_min, year_max, limit, columns) ->
         chosen = chosen.join(mine.select("album_id"), "album_id", "left_semi")
     names = keep(graph.artists).withColumnRenamed("name", "artist")
     restricted = single or year_min is not None or year_max is not None
-    cards = album_cards(graph, chosen if restricted else None)
+    cards = album_cards(graph, chosen if restricted else None, with_lists)
     result = mine.join(names, "artist_id").join(cards, "album_id")
     keys = [] if single else ["artist_id"]
-    return _ordered(result.select(*keys, *columns), single, "title", limit)
+    return _ordered(result.select(*keys, *_shown(columns, with_lists)), single, "title", limit)
 
 
 def artist_sessions(
@@ -143,10 +151,13 @@ def artist_sessions(
     year_min: int | None = None,
     year_max: int | None = None,
     limit: int | None = None,
+    with_lists: bool = True,
 ) -> DataFrame:
     """Albums an artist plays on. A DataFrame of ``artist_id`` asks for many at once."""
     columns = ["artist", "album_id", "ensemble", "title", *LISTS, "year", "label", "cover"]
-    return _artist_albums(graph, graph.plays_in, artist, year_min, year_max, limit, columns)
+    return _artist_albums(
+        graph, graph.plays_in, artist, year_min, year_max, limit, with_lists, columns
+    )
 
 
 def leader_sessions(
@@ -155,10 +166,11 @@ def leader_sessions(
     year_min: int | None = None,
     year_max: int | None = None,
     limit: int | None = None,
+    with_lists: bool = True,
 ) -> DataFrame:
     """Albums an artist leads."""
     columns = ["artist", "ensemble", "title", *LISTS, "year", "label", "cover"]
-    return _artist_albums(graph, graph.leads, artist, year_min, year_max, limit, columns)
+    return _artist_albums(graph, graph.leads, artist, year_min, year_max, limit, with_lists, columns)
 
 
 COLLAB_COLUMNS = [
@@ -223,11 +235,13 @@ def collab_albums_bulk(
     requests: DataFrame,
     year_min: int | None = None,
     year_max: int | None = None,
+    with_lists: bool = True,
 ) -> DataFrame:
     """Shared albums for many requests; requests of fewer than two artists give no row."""
     shared = shared_albums(graph, requests)
-    cards = album_cards(graph, in_years(graph.albums, year_min, year_max))
-    return shared.join(cards, "album_id").select("request_id", *COLLAB_COLUMNS)
+    cards = album_cards(graph, in_years(graph.albums, year_min, year_max), with_lists)
+    columns = ["request_id", *_shown(COLLAB_COLUMNS, with_lists)]
+    return shared.join(cards, "album_id").select(*columns)
 
 
 def album_detail(graph: Graph, album: int | DataFrame) -> DataFrame:
@@ -238,7 +252,7 @@ def album_detail(graph: Graph, album: int | DataFrame) -> DataFrame:
 
 
 def work_appearances(
-    graph: Graph, work: str | DataFrame, limit: int | None = None
+    graph: Graph, work: str | DataFrame, limit: int | None = None, with_lists: bool = True
 ) -> DataFrame:
     """Albums that contain a work, each with all its tracks and people."""
     single = not isinstance(work, DataFrame)
@@ -246,16 +260,17 @@ def work_appearances(
     mine = keep(graph.contains)
     works = keep(graph.works)
     chosen = graph.albums.join(mine.select("album_id"), "album_id", "left_semi") if single else None
-    cards = album_cards(graph, chosen).withColumnRenamed("title", "album_title")
+    cards = album_cards(graph, chosen, with_lists).withColumnRenamed("title", "album_title")
     result = mine.join(works, "work_id").join(cards, "album_id")
     keys = [] if single else ["work_id"]
     columns = ["work_title", "ensemble", "album_title", *LISTS, "year", "label", "cover"]
-    return _ordered(result.select(*keys, *columns), single, "album_title", limit)
+    shown = result.select(*keys, *_shown(columns, with_lists))
+    return _ordered(shown, single, "album_title", limit)
 
 
-def led_sessions_of(graph: Graph, names: str | DataFrame) -> DataFrame:
-    """Players found by display name, the albums they play on, and those albums' leaders."""
-    players = _ids("name", names)(graph.artists).select(
+def led_sessions_of(graph: Graph, name: str) -> DataFrame:
+    """Players of one display name, the albums they play on, and those albums' leaders."""
+    players = graph.artists.where(F.col("name") == name).select(
         F.col("artist_id").alias("player_id"), F.col("name").alias("player")
     )
     plays = graph.plays_in.select(F.col("artist_id").alias("player_id"), "album_id")

@@ -11,13 +11,14 @@ from linernotes.operators.report import row_counts
 from linernotes.sources.tables import open_tables, read_bronze, write_gold, write_sorted
 from linernotes.streaming.bronze import run_bronze
 
-# What each graph table is looked up by most.
-LOOKUP_KEYS = {
-    **{n.name: n.key for n in NODES},
-    "leads": "artist_id",
-    "plays_in": "artist_id",
-    "contains": "work_id",
-    "released_by": "album_id",
+# Each graph table is written in the order of the key it is looked up by. The second key lets the
+# rows of an artist, work or label with very many edges spread over several files and tasks.
+SORT_KEYS = {
+    **{n.name: (n.key,) for n in NODES},
+    "leads": ("artist_id", "album_id"),
+    "plays_in": ("artist_id", "album_id"),
+    "contains": ("work_id", "album_id"),
+    "released_by": ("album_id", "label_id"),
 }
 
 
@@ -34,7 +35,7 @@ def read_gold_tables(spark: SparkSession, cfg: GoldConfig) -> dict[str, DataFram
 def write_graph(graph: Graph, folder: str) -> None:
     """Write a graph to a folder of its own; an upsert reads one version and writes the next."""
     for name, df in {**graph.nodes, **graph.edges}.items():
-        write_sorted(df, f"{folder}/{name}", LOOKUP_KEYS.get(name, df.columns[0]))
+        write_sorted(df, f"{folder}/{name}", *SORT_KEYS.get(name, df.columns))
 
 
 def read_graph(spark: SparkSession, folder: str) -> Graph:

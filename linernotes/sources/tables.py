@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import LongType, StructField, StructType
 
+from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig, GoldConfig
 from linernotes.functions.text import table_name
 
@@ -31,9 +33,25 @@ def open_tables(
     return {n: df for n, df in found.items() if df is not None}
 
 
+def bronze_schema(cfg: BronzeConfig) -> StructType | None:
+    """Columns of a bronze table as configured; None when they are left to the files."""
+    if cfg.schema is None:
+        return None
+    landed = StructType.fromDDL(cfg.schema)
+    if fv.CORRUPT_COLUMN not in landed.names:
+        landed = landed.add(fv.CORRUPT_COLUMN, "string")
+    schema = StructType.fromDDL("_ingested_at TIMESTAMP, _ingested_filename STRING")
+    return StructType([*schema, *landed, StructField(fv.BATCH_COLUMN, LongType())])
+
+
 def read_bronze(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
-    """Bronze rows. Columns added by later batches are null in the earlier ones."""
-    return spark.read.format(cfg.format).option("mergeSchema", True).load(cfg.path)
+    """Bronze rows. Columns added by later batches are null in the earlier ones.
+
+    With a configured schema that costs nothing; without one the footers of all files are merged.
+    """
+    schema, reader = bronze_schema(cfg), spark.read.format(cfg.format)
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    return reader.load(cfg.path)
 
 
 def register(

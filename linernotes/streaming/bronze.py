@@ -10,9 +10,6 @@ from linernotes.config import BronzeConfig
 from linernotes.sources.landing import JSON_FILES
 from linernotes.sources.tables import ensure_bronze, open_table
 
-BATCH_COLUMN = "_batch_id"
-
-
 def _schema(spark: SparkSession, cfg: BronzeConfig, options: dict[str, str]):
     if cfg.schema is None:
         return spark.read.options(**options).json(cfg.landing).schema
@@ -57,23 +54,26 @@ def with_ingestion_columns(df: DataFrame) -> DataFrame:
 def append_batch(batch: DataFrame, batch_id: int, cfg: BronzeConfig) -> None:
     """Write one batch into its own partition: a replayed batch replaces itself.
 
-    The first write clears whatever lies at the path.
+    The first write clears whatever lies at the path. Only batch 0 can be the first, so the later
+    ones do not look.
     """
-    if cfg.files_per_batch is not None:
+    if cfg.files_per_batch is None:
+        batch = batch.hint("rebalance")
+    else:
         # Not coalesce: that would also read the batch with so few tasks.
         batch = batch.repartition(cfg.files_per_batch)
-    started = open_table(batch.sparkSession, cfg.path, cfg.format) is not None
+    started = batch_id > 0 or open_table(batch.sparkSession, cfg.path, cfg.format) is not None
     dynamic = started and cfg.mode == "append"
     options = dict(cfg.writer_options)
     if cfg.format == "delta":
         options.setdefault("mergeSchema", "true")
     (
-        batch.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
+        batch.withColumn(fv.BATCH_COLUMN, F.lit(batch_id).cast("long"))
         .write.format(cfg.format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .options(**options)
-        .partitionBy(BATCH_COLUMN, *cfg.partition_by)
+        .partitionBy(fv.BATCH_COLUMN, *cfg.partition_by)
         .save(cfg.path)
     )
 

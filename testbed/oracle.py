@@ -365,6 +365,7 @@ ARTIST_2 = hashlib.sha256(b"supplier 000000002").hexdigest()
 WORK = hashlib.sha256(b"blue anvil").hexdigest()
 
 _CARD = "ensemble, title, tracks, leaders, participants, year, label, cover"
+_BARE_CARD = "ensemble, title, year, label, cover"
 _TEXTS = """
 texts AS (
   SELECT 'document' AS kind, doc_id::VARCHAR AS key, text FROM documents
@@ -544,12 +545,12 @@ def sql() -> dict[str, str]:
     q["q4_artist_sessions"] = f"""WITH {GRAPH} SELECT name AS artist, album_id, {_CARD}
       FROM plays_in JOIN artists USING (artist_id) JOIN cards USING (album_id)
       WHERE artist_id = '{ARTIST}' AND year BETWEEN 1996 AND 1999"""
-    q["q4_bulk"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, album_id, {_CARD}
+    q["q4_bulk"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, album_id, {_BARE_CARD}
       FROM plays_in JOIN artists USING (artist_id) JOIN cards USING (album_id)"""
     q["q5_leader_sessions"] = f"""WITH {GRAPH} SELECT name AS artist, {_CARD}
       FROM leads JOIN artists USING (artist_id) JOIN cards USING (album_id)
       WHERE artist_id = '{ARTIST}'"""
-    q["q5_bulk"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, {_CARD}
+    q["q5_bulk"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, {_BARE_CARD}
       FROM leads JOIN artists USING (artist_id) JOIN cards USING (album_id) WHERE year >= 1997"""
     collab = "ensemble, title, leaders, participants, year, label, cover"
     q["q6_collab_albums"] = f"""WITH {GRAPH} SELECT album_id, {collab} FROM cards WHERE album_id IN (
@@ -563,15 +564,22 @@ def sql() -> dict[str, str]:
       sizes AS (SELECT request_id, count(*) AS k FROM wanted GROUP BY request_id HAVING count(*) >= 2),
       hits AS (SELECT request_id, album_id, count(*) AS n FROM wanted JOIN plays_in USING (artist_id)
         GROUP BY request_id, album_id)
-      SELECT request_id, album_id, {collab} FROM hits JOIN sizes USING (request_id)
+      SELECT request_id, album_id, {_BARE_CARD} FROM hits JOIN sizes USING (request_id)
       JOIN cards USING (album_id) WHERE n = k"""
     q["q7_album_detail"] = f"WITH {GRAPH} SELECT album_id, {_CARD} FROM cards WHERE album_id = 1"
     q["q7_bulk"] = f"WITH {GRAPH} SELECT album_id, {_CARD} FROM cards"
+    q["q7_names"] = f"""WITH {GRAPH}
+      SELECT DISTINCT album_id, 'leaders' AS kind, name FROM leads JOIN artists USING (artist_id)
+      UNION ALL SELECT DISTINCT album_id, 'participants', name
+      FROM plays_in JOIN artists USING (artist_id)
+      UNION ALL SELECT DISTINCT album_id, 'tracks', work_title
+      FROM album_work JOIN works USING (work_id)"""
     appearance = "ensemble, title AS album_title, tracks, leaders, participants, year, label, cover"
     q["q8_work_appearances"] = f"""WITH {GRAPH} SELECT work_title, {appearance}
       FROM album_work JOIN works USING (work_id) JOIN cards USING (album_id)
       WHERE work_id = '{WORK}'"""
-    q["q8_bulk"] = f"""WITH {GRAPH} SELECT work_id, work_title, {appearance}
+    q["q8_bulk"] = f"""WITH {GRAPH} SELECT work_id, work_title, ensemble, title AS album_title, year,
+        label, cover
       FROM album_work JOIN works USING (work_id) JOIN cards USING (album_id)"""
     q["q9_led_sessions_of"] = f"""WITH {GRAPH}
       SELECT p.artist_id AS player_id, p.name AS player, al.album_id, al.title,

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from linernotes import fixed_values as fv
 from linernotes.functions import credits as cr, labels as lb, text as tx
 from linernotes.functions.titles import clean_tracklist
 from linernotes.operators import curation as cu, gold as g, graph as gr, report, sessions as se
@@ -484,7 +485,7 @@ def q4_artist_sessions(spark, sf_dir):
 @query
 def q4_bulk(spark, sf_dir):
     graph = ws.graph(spark, sf_dir)
-    return flat_cards(se.artist_sessions(graph, graph.artists))
+    return se.artist_sessions(graph, graph.artists, with_lists=False)
 
 
 @query
@@ -495,7 +496,7 @@ def q5_leader_sessions(spark, sf_dir):
 @query
 def q5_bulk(spark, sf_dir):
     graph = ws.graph(spark, sf_dir)
-    return flat_cards(se.leader_sessions(graph, graph.artists, year_min=1997))
+    return se.leader_sessions(graph, graph.artists, year_min=1997, with_lists=False)
 
 
 @query
@@ -507,7 +508,7 @@ def q6_collab_albums(spark, sf_dir):
 @query
 def q6_bulk(spark, sf_dir):
     requests = v.collab_requests(spark, sf_dir)
-    return flat_cards(se.collab_albums_bulk(ws.graph(spark, sf_dir), requests))
+    return se.collab_albums_bulk(ws.graph(spark, sf_dir), requests, with_lists=False)
 
 
 @query
@@ -521,6 +522,11 @@ def q7_bulk(spark, sf_dir):
     return flat_cards(se.album_detail(graph, graph.albums).select("album.*"))
 
 
+@query
+def q7_names(spark, sf_dir):
+    return se.album_names(ws.graph(spark, sf_dir))
+
+
 @query
 def q8_work_appearances(spark, sf_dir):
     return flat_cards(se.work_appearances(ws.graph(spark, sf_dir), WORK))
@@ -529,7 +535,7 @@ def q8_work_appearances(spark, sf_dir):
 @query
 def q8_bulk(spark, sf_dir):
     graph = ws.graph(spark, sf_dir)
-    return flat_cards(se.work_appearances(graph, graph.works))
+    return se.work_appearances(graph, graph.works, with_lists=False)
 
 
 @query
@@ -633,10 +639,11 @@ def s4_ingestion_columns(spark, sf_dir):
 
 @query
 def s5_batch_files(spark, sf_dir):
-    cfg = ws.ingested(spark, sf_dir)
+    cfg = ws.bronze_config(spark, ws.landing(spark, sf_dir), files_per_batch=4)
+    br.run_bronze(spark, cfg)
     rows = tb.read_bronze(spark, cfg)
-    per_file = rows.groupBy(br.BATCH_COLUMN, F.col("_metadata.file_name").alias("file")).count()
-    per_batch = per_file.groupBy(br.BATCH_COLUMN).agg(
+    per_file = rows.groupBy(fv.BATCH_COLUMN, F.col("_metadata.file_name").alias("file")).count()
+    per_batch = per_file.groupBy(fv.BATCH_COLUMN).agg(
         F.count(F.lit(1)).alias("files"), F.sum("count").alias("rows")
     )
     return per_batch.agg(
@@ -650,8 +657,7 @@ def s6_incremental(spark, sf_dir):
     cfg = ws.bronze_config(spark, ws.landing(spark, sf_dir), max_files_per_trigger=4)
     br.run_bronze(spark, cfg)
     br.run_bronze(spark, cfg)
-    rows = spark.read.option("mergeSchema", True).parquet(cfg.path)
-    copy = rows.where(F.col(br.BATCH_COLUMN) == 0).drop(br.BATCH_COLUMN)
+    copy = tb.read_bronze(spark, cfg).where(F.col(fv.BATCH_COLUMN) == 0).drop(fv.BATCH_COLUMN)
     folder = ws.new_folder(spark, "replay")
     copy.write.parquet(folder)
     br.append_batch(spark.read.parquet(folder), 0, cfg)
@@ -665,7 +671,7 @@ def s7_append(spark, sf_dir):
     rows = v.bronze(spark, sf_dir, *ws.ALBUM_COLUMNS, "_ingested_at")
     for i, part in enumerate((EARLY, LATE)):
         br.append_batch(rows.where(part).drop("_ingested_at"), i, cfg)
-    return flat_records(tb.read_bronze(spark, cfg).withColumn("year", F.col("year").cast("string")))
+    return flat_records(tb.read_bronze(spark, cfg))
 
 
 @query

@@ -102,12 +102,13 @@ def gold_config(spark: SparkSession) -> GoldConfig:
 
 
 def ingested(spark: SparkSession, sf_dir: str) -> BronzeConfig:
-    """A bronze table streamed from the landed JSON, several files to a batch."""
+    """A bronze table streamed from the landed JSON in big batches."""
     landed = landing(spark, sf_dir)
 
     def config(folder: str) -> BronzeConfig:
         return BronzeConfig(
-            landing=landed, bronze=f"{folder}/bronze", checkpoint=f"{folder}/checkpoint"
+            landing=landed, bronze=f"{folder}/bronze", checkpoint=f"{folder}/checkpoint",
+            max_files_per_trigger=10_000, files_per_batch=None,
         )
 
     folder = _once(spark, sf_dir, "ingested", lambda f: run_bronze(spark, config(f)))

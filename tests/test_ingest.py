@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linernotes.config import BronzeConfig, GoldConfig, load
+from linernotes import fixed_values as fv
 from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
 from linernotes.plans.refresh import read_graph, refresh
@@ -90,7 +91,7 @@ def test_replayed_batch_replaces_itself(spark, cfg):
     br.run_bronze(spark, c)
     assert ids(spark, c) == [1, 2, 3]
     for batch in (0, 1):
-        rows = tb.read_bronze(spark, c).where(F.col(br.BATCH_COLUMN) == batch).drop(br.BATCH_COLUMN)
+        rows = tb.read_bronze(spark, c).where(F.col(fv.BATCH_COLUMN) == batch).drop(fv.BATCH_COLUMN)
         copy = spark.createDataFrame(rows.collect(), rows.schema)
         br.append_batch(copy, batch, c)
         br.append_batch(copy, batch, c)
@@ -130,8 +131,11 @@ def test_first_write_clears_leftovers_and_later_ones_append(spark, cfg, tmp_path
     one = spark.createDataFrame([(1,)], "id LONG")
     br.append_batch(one, 0, c)
     assert not (tmp_path / "bronze" / "albums" / "_left").exists()
-    br.append_batch(spark.createDataFrame([(2, "new")], "id LONG, extra STRING"), 1, c)
-    assert sorted((r.id, r.extra) for r in tb.read_bronze(spark, c).collect()) == [(1, None), (2, "new")]
+    br.append_batch(spark.createDataFrame([(2, "new")], "id LONG, label STRING"), 1, c)
+    assert sorted((r.id, r.label) for r in tb.read_bronze(spark, c).collect()) == [(1, None), (2, "new")]
+    free = cfg(schema=None, files_per_batch=None)
+    br.append_batch(spark.createDataFrame([(3, "more")], "id LONG, extra STRING"), 2, free)
+    assert sorted(r.extra or "" for r in tb.read_bronze(spark, free).collect()) == ["", "", "more"]
     over = cfg(mode="overwrite")
     br.append_batch(one, 2, over)
     assert ids(spark, over) == [1]

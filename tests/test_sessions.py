@@ -65,12 +65,15 @@ def test_bulk_forms_agree_with_single_ones(spark, graph):
     for who in (ANA, BO, CY):
         one = sorted(map(repr, se.artist_sessions(graph, who).collect()))
         assert sorted(map(repr, bulk.where(F.col("artist_id") == who).drop("artist_id").collect())) == one
+    bare = se.artist_sessions(graph, graph.artists, with_lists=False)
+    assert sorted(map(repr, bare.collect())) == sorted(map(repr, bulk.drop(*se.LISTS).collect()))
     led = se.leader_sessions(graph, graph.artists, year_min=1962)
     assert [r.title for r in led.collect()] == ["Harbour"]
     pairs = [("r1", [ANA, BO, ANA]), ("r2", [ANA, BO, CY]), ("r3", [ANA, "nobody"]), ("r4", [ANA]),
              ("r5", [CY, BO])]
     requests = spark.createDataFrame(
         [(r, a) for r, ids in pairs for a in ids], "request_id STRING, artist_id STRING")
+    assert "leaders" in se.collab_albums_bulk(graph, requests).columns
     got = sorted((r.request_id, r.album_id) for r in se.collab_albums_bulk(graph, requests).collect())
     want = [(r, x.album_id) for r, ids in pairs if len(set(ids)) > 1
             for x in se.collab_albums(graph, ids).collect()]
