@@ -52,6 +52,20 @@ def distinct_id_lists(requests: DataFrame, ids: str, at_least: int = 1) -> DataF
     return requests.withColumn(ids, F.array_distinct(ids)).where(F.size(ids) >= at_least)
 
 
+# Most album ids that are broadcast: about 16 MB of them.
+FEW_ALBUMS = 1_000_000
+
+
+def few_albums(ids: DataFrame) -> DataFrame | None:
+    """The distinct album ids, marked for broadcast, if a count shows that they are few.
+
+    Edges are then cut down while they are scanned. With more ids (an artist on a third of all
+    albums, say) the answer is None: edges are aggregated unfiltered and joined to the ids after.
+    """
+    keys = ids.select("album_id").distinct()
+    return F.broadcast(keys) if keys.count() <= FEW_ALBUMS else None
+
+
 def _only(edges: DataFrame, albums: DataFrame | None) -> DataFrame:
     return edges if albums is None else edges.join(albums, "album_id", "left_semi")
 
@@ -90,18 +104,21 @@ def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
 
 
 def album_cards(
-    graph: Graph, albums: DataFrame | None = None, with_lists: bool = True
+    graph: Graph,
+    albums: DataFrame | None = None,
+    with_lists: bool = True,
+    few: DataFrame | None = None,
 ) -> DataFrame:
     """The cards of the given albums (rows of the album node table), or of all.
 
+    ``few`` holds the ids of those albums when they are few enough to cut the edges down first.
     Columns: album_id, ensemble, title, tracks, leaders, participants, year, label, cover.
     """
-    wanted = None if albums is None else albums.select("album_id")
     cards = (graph.albums if albums is None else albums).drop("label")
-    cards = cards.join(album_labels(graph, wanted), "album_id", "left")
+    cards = cards.join(album_labels(graph, few), "album_id", "left")
     lists: list[Column] = []
     if with_lists:
-        cards = cards.join(album_lists(graph, wanted), "album_id", "left")
+        cards = cards.join(album_lists(graph, few), "album_id", "left")
         empty = F.array().cast("array<string>")
         lists = [F.coalesce(c, empty).alias(c) for c in LISTS]
     cover = F.col("cover_url").alias("cover")
@@ -134,12 +151,10 @@ def _artist_albums(
     single = not isinstance(artist, DataFrame)
     keep = _ids("artist_id", artist)
     mine = keep(edges)
-    chosen = in_years(graph.albums, year_min, year_max)
-    if single:
-        chosen = chosen.join(mine.select("album_id"), "album_id", "left_semi")
+    few = few_albums(mine) if single or with_lists else None
+    chosen = _only(in_years(graph.albums, year_min, year_max), few)
     names = keep(graph.artists).withColumnRenamed("name", "artist")
-    restricted = single or year_min is not None or year_max is not None
-    cards = album_cards(graph, chosen if restricted else None, with_lists)
+    cards = album_cards(graph, chosen, with_lists, few)
     result = mine.join(names, "artist_id").join(cards, "album_id")
     keys = [] if single else ["artist_id"]
     return _ordered(result.select(*keys, *_shown(columns, with_lists)), single, "title", limit)
@@ -193,9 +208,10 @@ def collab_albums(
         .agg(F.count_distinct("artist_id").alias("n"))
         .where(F.col("n") == len(wanted))
     )
-    chosen = in_years(graph.albums, year_min, year_max)
-    chosen = chosen.join(together.select("album_id"), "album_id", "left_semi")
-    cards = album_cards(graph, chosen).select(*COLLAB_COLUMNS)
+    few = few_albums(together)
+    albums = in_years(graph.albums, year_min, year_max)
+    chosen = _only(albums, together.select("album_id") if few is None else few)
+    cards = album_cards(graph, chosen, few=few).select(*COLLAB_COLUMNS)
     return _ordered(cards, True, "title", limit)
 
 
@@ -239,14 +255,17 @@ def collab_albums_bulk(
 ) -> DataFrame:
     """Shared albums for many requests; requests of fewer than two artists give no row."""
     shared = shared_albums(graph, requests)
-    cards = album_cards(graph, in_years(graph.albums, year_min, year_max), with_lists)
+    # Lists are worth a count of the shared albums; without them there is little to cut down.
+    few = few_albums(shared) if with_lists else None
+    cards = album_cards(graph, in_years(graph.albums, year_min, year_max), with_lists, few)
     columns = ["request_id", *_shown(COLLAB_COLUMNS, with_lists)]
     return shared.join(cards, "album_id").select(*columns)
 
 
 def album_detail(graph: Graph, album: int | DataFrame) -> DataFrame:
     """One struct column ``album`` per card; empty for an unknown id."""
-    cards = album_cards(graph, _ids("album_id", album)(graph.albums))
+    chosen = _ids("album_id", album)(graph.albums)
+    cards = album_cards(graph, chosen, few=few_albums(chosen))
     columns = ["album_id", "ensemble", "title", *LISTS, "year", "label", "cover"]
     return cards.select(F.struct(*columns).alias("album"))
 
@@ -259,8 +278,9 @@ def work_appearances(
     keep = _ids("work_id", work)
     mine = keep(graph.contains)
     works = keep(graph.works)
-    chosen = graph.albums.join(mine.select("album_id"), "album_id", "left_semi") if single else None
-    cards = album_cards(graph, chosen, with_lists).withColumnRenamed("title", "album_title")
+    few = few_albums(mine) if single or with_lists else None
+    cards = album_cards(graph, _only(graph.albums, few), with_lists, few)
+    cards = cards.withColumnRenamed("title", "album_title")
     result = mine.join(works, "work_id").join(cards, "album_id")
     keys = [] if single else ["work_id"]
     columns = ["work_title", "ensemble", "album_title", *LISTS, "year", "label", "cover"]

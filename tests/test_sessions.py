@@ -80,6 +80,23 @@ def test_bulk_forms_agree_with_single_ones(spark, graph):
     assert got == sorted(want)
 
 
+def test_answers_do_not_depend_on_the_broadcast_bound(spark, graph, monkeypatch):
+    def answers():
+        requests = spark.createDataFrame([(1, ANA), (1, BO)], "request_id INT, artist_id STRING")
+        return [
+            sorted(map(repr, df.collect())) for df in (
+                se.artist_sessions(graph, ANA, year_max=1961), se.leader_sessions(graph, BO),
+                se.artist_sessions(graph, graph.artists), se.collab_albums(graph, [ANA, BO]),
+                se.collab_albums_bulk(graph, requests), se.album_detail(graph, 1),
+                se.album_detail(graph, graph.albums), se.work_appearances(graph, sha("sea song")),
+            )
+        ]
+
+    few = answers()
+    monkeypatch.setattr(se, "FEW_ALBUMS", 0)
+    assert answers() == few and all(few)
+
+
 def test_work_appearances(graph):
     got = se.work_appearances(graph, sha("sea song")).collect()
     assert [(r.work_title, r.album_title) for r in got] == [("Sea Song", "Blue Hour"), ("Sea Song", "Harbour")]
