@@ -6,7 +6,6 @@ FOLD_TO = "aaaaeeeeiiiioooouuuun"
 
 # Text patterns (ASCII word and space classes, as in a plain JVM pattern).
 NON_WORDS = r"\W+"
-WORD = rf"[\w{FOLD_FROM}]"
 SPACES = r"\s+"
 
 # Fixed value: a parenthetical holding the whole word "take", with the blanks before it.

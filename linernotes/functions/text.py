@@ -31,19 +31,6 @@ def strip_takes(c: Column) -> Column:
     return F.trim(F.regexp_replace(_without_takes(c), fv.SPACES, " "))
 
 
-def has_words(c: Column) -> Column:
-    """True when ``norm_text(c)`` is not empty; null for null.
-
-    A filter on the normalised form itself would be pushed to the scan and run the normaliser on
-    every row a second time; this looks no further than the first letter.
-    """
-    return F.lower(c).rlike(fv.WORD)
-
-
-def title_has_words(c: Column) -> Column:
-    return has_words(_without_takes(c))
-
-
 def norm_title(c: Column) -> Column:
     """``norm_text(strip_takes(c))``; the normaliser tidies the blanks by itself."""
     return norm_text(_without_takes(c))

@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linernotes import fixed_values as fv
 from linernotes.functions.text import (
-    content_id, has_text, has_words, label_key, norm_text, norm_title, strip_takes, title_has_words,
-    year_number,
+    content_id, has_text, label_key, norm_text, norm_title, strip_takes, year_number,
 )
 
 
@@ -47,30 +46,40 @@ def labels(bronze: DataFrame) -> DataFrame:
     return names.select(label_key(F.col("name")).alias("label_id"), "name")
 
 
+# A filter on a normalised text would be pushed down to the scan and there run the normaliser a
+# second time for every row. Its length as an aggregate stays above the aggregation.
+def _keep(norm: str) -> Column:
+    return F.max(F.length(norm)).alias("_length")
+
+
+NOT_EMPTY = "_length > 0"
+
+
 def _most_used(spellings: DataFrame, key: str, shown: str, n: str) -> DataFrame:
-    """Per key the most frequent spelling, ties by the smallest string."""
+    """Per key the most frequent spelling, ties by the smallest string; an empty key is left out."""
     counted = spellings.groupBy(key, shown).agg(F.sum(n).alias("_n"))
     best = F.min_by(shown, F.struct(-F.col("_n"), F.col(shown)))
-    return counted.groupBy(key).agg(best.alias(shown))
+    return counted.groupBy(key).agg(best.alias(shown), _keep(key)).where(NOT_EMPTY)
 
 
 def _spelling_counts(texts: DataFrame, text: str) -> DataFrame:
     """Distinct trimmed texts with their number of rows: later text work runs once per spelling."""
-    return texts.groupBy(F.trim(text).alias(text)).agg(F.count(F.lit(1)).alias("n"))
+    trimmed = texts.select(F.trim(text).alias(text)).where(has_text(F.col(text)))
+    return trimmed.groupBy(text).agg(F.count(F.lit(1)).alias("n"))
 
 
 def artists(bronze: DataFrame) -> DataFrame:
     """One row per normalised name over musicians and leaders."""
     names = bronze.select(F.explode(F.concat(_list("musicians"), _list("leaders"))).alias("name"))
-    counts = _spelling_counts(names.where(has_words(F.col("name"))), "name")
-    chosen = _most_used(counts.withColumn("norm", norm_text(F.col("name"))), "norm", "name", "n")
+    counts = _spelling_counts(names, "name").withColumn("norm", norm_text(F.col("name")))
+    chosen = _most_used(counts, "norm", "name", "n")
     return chosen.select(content_id(F.col("norm")).alias("artist_id"), "name")
 
 
 def works(bronze: DataFrame) -> DataFrame:
     """One row per normalised track title, takes stripped."""
     titles = bronze.select(F.explode("tracklist").alias("title"))
-    counts = _spelling_counts(titles.where(title_has_words(F.col("title"))), "title").select(
+    counts = _spelling_counts(titles, "title").select(
         strip_takes(F.col("title")).alias("work_title"), norm_title(F.col("title")).alias("norm"), "n"
     )
     chosen = _most_used(counts, "norm", "work_title", "n")
@@ -87,22 +96,22 @@ def album_artist(bronze: DataFrame) -> DataFrame:
     both = F.posexplode(F.concat(_list("leaders"), _list("musicians"))).alias("pos", "name")
     leader = F.col("pos") < F.size(_list("leaders"))
     credits = bronze.select(F.col("id").alias("album_id"), "leaders", both)
-    normed = credits.where(has_words(F.col("name"))).select(
+    normed = credits.where(has_text(F.col("name"))).select(
         "album_id", norm_text(F.col("name")).alias("norm"),
         F.when(leader, fv.LEADER).otherwise(fv.MUSICIAN).alias("role"),
     )
-    return normed.distinct().select(
-        "album_id", content_id(F.col("norm")).alias("artist_id"), "role"
-    )
+    links = normed.groupBy("album_id", "norm", "role").agg(_keep("norm")).where(NOT_EMPTY)
+    return links.select("album_id", content_id(F.col("norm")).alias("artist_id"), "role")
 
 
 def album_work(bronze: DataFrame) -> DataFrame:
     """Distinct (album, work): takes of one title on one album collapse."""
     titles = bronze.select(F.col("id").alias("album_id"), F.explode("tracklist").alias("title"))
-    normed = titles.where(title_has_words(F.col("title"))).select(
+    normed = titles.where(has_text(F.col("title"))).select(
         "album_id", norm_title(F.col("title")).alias("norm")
     )
-    return normed.distinct().select("album_id", content_id(F.col("norm")).alias("work_id"))
+    links = normed.groupBy("album_id", "norm").agg(_keep("norm")).where(NOT_EMPTY)
+    return links.select("album_id", content_id(F.col("norm")).alias("work_id"))
 
 
 def album_label(bronze: DataFrame) -> DataFrame:
@@ -116,14 +125,15 @@ def album_label(bronze: DataFrame) -> DataFrame:
 def tracks(bronze: DataFrame) -> DataFrame:
     """An album's distinct tracks by normalised title, each with its first cleaned name."""
     titles = bronze.select(F.col("id").alias("album_id"), F.posexplode("tracklist"))
-    named = titles.where(title_has_words(F.col("col"))).select(
+    named = titles.where(has_text(F.col("col"))).select(
         "album_id", "pos", strip_takes(F.col("col")).alias("name"),
         norm_title(F.col("col")).alias("norm"),
     )
     first = F.min_by("name", F.struct("pos", "name"))
     return (
         named.groupBy("album_id", "norm")
-        .agg(first.alias("name"))
+        .agg(first.alias("name"), _keep("norm"))
+        .where(NOT_EMPTY)
         .select(
             content_id(F.concat_ws("#", F.col("album_id").cast("string"), "norm")).alias("track_id"),
             "album_id", "name",

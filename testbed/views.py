@@ -39,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores, dealt out to all of them; bigger ones are left alone.
+
+    The given files hold one row group each, which only one task can read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Bronze column -> (expression, tables it needs besides the line items).
 BRONZE = {
     "id": ("coalesce(l_orderkey, o_orderkey)", ()),
@@ -93,9 +102,9 @@ def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Album records with the given columns (default all), joining only what those need."""
     columns = columns or tuple(BRONZE)
     needed = {t for c in columns for t in BRONZE[c][1]}
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"))
     if "orders" in needed:
-        orders = table(spark, sf_dir, "orders")
+        orders = spread(table(spark, sf_dir, "orders"))
         rows = orders.join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     else:
         rows = rows.withColumn("o_orderkey", F.lit(None).cast("long"))
@@ -130,7 +139,7 @@ def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     items = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -261,7 +270,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("pages", "'page'", "cast(page_id AS string)", "html"),
     ]
     parts = [
-        table(spark, sf_dir, t).selectExpr(f"{kind} AS kind", f"{key} AS key", f"{text} AS text")
+        spread(table(spark, sf_dir, t)).selectExpr(f"{kind} AS kind", f"{key} AS key", f"{text} AS text")
         for t, kind, key, text in sources
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
