@@ -96,6 +96,12 @@ def accept_results(search: DataFrame, cfg: CurationConfig) -> DataFrame:
 # ---- results to masters -------------------------------------------------------------------
 
 
+def _or_unmatched(url: Column, row_id: Column) -> Column:
+    """The URL, or a value no URL equals. Rows without one then spread over all partitions
+    of an outer join, where nulls would all meet in one."""
+    return F.coalesce(url, F.concat(F.lit("#"), F.coalesce(row_id.cast("string"), F.lit(""))))
+
+
 def _document_url(url: Column, kind: str, doc_id: Column, base: str) -> Column:
     built = F.concat(F.lit(f"{base}/{kind}/"), doc_id.cast("string"))
     return F.coalesce(F.when(url != "", url), built)
@@ -126,10 +132,14 @@ def to_masters(results: DataFrame, catalogue: Catalogue, cfg: CurationConfig) ->
     direct = results.where(F.col("type") == "master")
     resolved = release_master_urls(results, catalogue.releases, cfg)
     masters = catalogue.masters.select(
-        F.col("url").alias("master_url"),
+        F.col("url").alias("_url"),
         F.struct("id", "year", "styles", "main_release_url", "most_recent_release_url").alias("m"),
     )
-    both = direct.unionByName(resolved).join(masters, "master_url", "left")
+    both = direct.unionByName(resolved)
+    url = F.nullif("master_url", F.lit(""))
+    both = both.withColumn("_key", _or_unmatched(url, F.col("id"))).join(
+        masters, F.col("_key") == F.col("_url"), "left"
+    )
     is_master = F.col("type") == "master"
     no_strings = cr.no_strings()
     return both.where(is_master | F.col("m").isNotNull()).select(
@@ -145,12 +155,6 @@ def to_masters(results: DataFrame, catalogue: Catalogue, cfg: CurationConfig) ->
     )
 
 
-def _or_unmatched(url: Column, row_id: Column) -> Column:
-    """The URL, or a value no URL equals. Rows without one then spread over all partitions
-    of an outer join, where nulls would all meet in one."""
-    return F.coalesce(url, F.concat(F.lit("#"), F.coalesce(row_id.cast("string"), F.lit(""))))
-
-
 def credited_ensemble(artists: Column) -> Column:
     """First credited artist's name, "" when there is none."""
     return F.coalesce(F.get(artists, 0)["name"], F.lit(""))

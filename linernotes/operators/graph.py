@@ -60,6 +60,19 @@ EDGES = [
 ]
 
 
+def load_map(settings: dict) -> tuple[list[NodeSpec], list[EdgeSpec]]:
+    """Specs from plain settings: ``nodes`` and ``edges`` as lists of objects with the spec fields."""
+    nodes = [NodeSpec(**{**n, "props": tuple(n["props"])}) for n in settings["nodes"]]
+    edges = [
+        EdgeSpec(**{
+            **e, "source": tuple(e["source"]), "target": tuple(e["target"]),
+            "roles": tuple(e.get("roles", ())),
+        })
+        for e in settings["edges"]
+    ]
+    return nodes, edges
+
+
 @dataclass(frozen=True)
 class Graph:
     nodes: dict[str, DataFrame]

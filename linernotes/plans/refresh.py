@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from linernotes.config import BronzeConfig, GoldConfig
@@ -22,10 +24,16 @@ SORT_KEYS = {
 }
 
 
-def write_gold_tables(spark: SparkSession, bronze: DataFrame, cfg: GoldConfig) -> list[str]:
-    """Rebuild all gold tables; returns their catalog names."""
-    good, _ = g.split_corrupt(bronze)
-    return [write_gold(spark, df, name, cfg) for name, df in g.all_tables(good).items()]
+# Independent writes that run at a time, so that the last tasks of one leave no cores idle.
+WRITES_AT_A_TIME = 4
+
+
+def write_gold_tables(
+    spark: SparkSession, tables: dict[str, DataFrame], cfg: GoldConfig
+) -> list[str]:
+    """Overwrite the given gold tables; returns their catalog names."""
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        return list(pool.map(lambda t: write_gold(spark, t[1], t[0], cfg), tables.items()))
 
 
 def read_gold_tables(spark: SparkSession, cfg: GoldConfig) -> dict[str, DataFrame]:
@@ -34,8 +42,13 @@ def read_gold_tables(spark: SparkSession, cfg: GoldConfig) -> dict[str, DataFram
 
 def write_graph(graph: Graph, folder: str) -> None:
     """Write a graph to a folder of its own; an upsert reads one version and writes the next."""
-    for name, df in {**graph.nodes, **graph.edges}.items():
-        write_sorted(df, f"{folder}/{name}", *SORT_KEYS.get(name, df.columns))
+    tables = {**graph.nodes, **graph.edges}
+
+    def write(name: str) -> None:
+        write_sorted(tables[name], f"{folder}/{name}", *SORT_KEYS.get(name, tables[name].columns))
+
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        list(pool.map(write, tables))
 
 
 def read_graph(spark: SparkSession, folder: str) -> Graph:
@@ -66,7 +79,8 @@ def refresh(
     """Ingest new files, rebuild gold, write the next graph version. Returns it and row counts."""
     run_bronze(spark, bronze)
     rows = read_bronze(spark, bronze)
-    write_gold_tables(spark, rows, gold)
+    good, _ = g.split_corrupt(rows)
+    write_gold_tables(spark, g.all_tables(good), gold)
     tables = read_gold_tables(spark, gold)
     graph = load_in_steps(spark, tables, graph_folder, existing)
     return graph, row_counts({"bronze": rows, **tables})

@@ -71,7 +71,7 @@ def register(
 def ensure_bronze(spark: SparkSession, cfg: BronzeConfig) -> tuple[str, str, str]:
     """Register the bronze table whenever data exists, also if this run brought none."""
     if open_table(spark, cfg.path, cfg.format) is not None:
-        register(spark, cfg.table, cfg.path, cfg.format, partitioned=cfg.format == "parquet")
+        register(spark, cfg.table, cfg.path, cfg.format, partitioned=cfg.format != "delta")
     return cfg.table, cfg.path, cfg.format
 
 

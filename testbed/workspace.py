@@ -13,10 +13,11 @@ from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
 from linernotes.operators.curation import Catalogue
 from linernotes.operators.graph import Graph
-from linernotes.plans.refresh import load_in_steps, read_gold_tables, read_graph
+from linernotes.plans.refresh import (
+    load_in_steps, read_gold_tables, read_graph, write_gold_tables,
+)
 from linernotes.session import shared_folder
 from linernotes.sources.landing import write_albums
-from linernotes.sources.tables import write_gold
 from linernotes.streaming.bronze import run_bronze
 from testbed import views
 
@@ -119,8 +120,8 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> GoldConfig:
     """All gold tables, written."""
 
     def build(folder: str) -> None:
-        for name in GOLD_INPUT:
-            write_gold(spark, gold_of(spark, sf_dir, name), name, GoldConfig(path=folder))
+        tables = {name: gold_of(spark, sf_dir, name) for name in GOLD_INPUT}
+        write_gold_tables(spark, tables, GoldConfig(path=folder))
 
     return GoldConfig(path=_once(spark, sf_dir, "gold", build))
 

@@ -114,6 +114,18 @@ def test_load_skips_missing_tables_and_columns(bronze):
         loaded.works
 
 
+def test_load_map_from_settings(bronze):
+    nodes, edges = gr.load_map({
+        "nodes": [{"name": "albums", "table": "albums", "key": "album_id", "props": ["title"]},
+                  {"name": "songs", "table": "works", "key": "work_id", "props": ["work_title"]}],
+        "edges": [{"name": "has", "table": "album_work", "source": ["album_id", "albums"],
+                   "target": ["work_id", "songs"]}],
+    })
+    loaded = gr.load(g.all_tables(bronze), nodes=nodes, edges=edges)
+    assert loaded.albums.columns == ["album_id", "title"] and loaded.songs.count() == 3
+    assert loaded.has.count() == 4 and loaded.skipped == {}
+
+
 def test_key_violations(spark, graph, bronze):
     assert gr.key_violations(graph.nodes).isEmpty()
     bad = {"labels": g.labels(bronze),
