@@ -91,7 +91,7 @@ def album_names(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
 def album_lists(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     """Per album its three lists of names; albums without any edge have no row."""
     collected = [
-        F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("name")))).alias(k)
+        F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.col("name")))).alias(k)
         for k in LISTS
     ]
     return _named_edges(graph, albums).groupBy("album_id").agg(*collected)

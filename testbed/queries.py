@@ -560,7 +560,7 @@ def q11_wanted_ids(spark, sf_dir):
         "l_orderkey", F.array("l_suppkey", "l_partkey", "l_suppkey").alias("ids")
     )
     wanted = se.distinct_id_lists(lists, "ids", at_least=2)
-    text = F.array_join(F.array_sort("ids").cast("array<string>"), "|")
+    text = F.array_join(F.sort_array("ids").cast("array<string>"), "|")
     return wanted.select("l_orderkey", text.alias("ids"), F.size("ids").alias("n"))
 
 
