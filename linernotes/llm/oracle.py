@@ -1,7 +1,72 @@
-"""SQL twins of the registered queries that SQL can express."""
+"""SQL twins, for DuckDB, of the registered queries that SQL can express."""
 
 from __future__ import annotations
 
+from linernotes.llm.license_notices import NOTICES
+
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+LINE_DEDUP = f"""
+WITH split AS MATERIALIZED (
+  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS MATERIALIZED (
+  SELECT *, trim(translate(line, {AZ}), {BLANKS}) AS line_key FROM split
+), common AS MATERIALIZED (
+  SELECT line_key, max(doc_id) AS keeper FROM keyed WHERE length(line_key) >= 20
+  GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.*, c.line_key IS NOT NULL AND k.doc_id <> c.keeper AS gone FROM keyed k LEFT JOIN common c ON k.line_key = c.line_key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def license_scan() -> str:
+    values = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in NOTICES)
+    shingles = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+    words = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return f"""
+WITH templates AS MATERIALIZED (
+  SELECT license_id, unnest({shingles}) AS shingle FROM (SELECT license_id, {words} AS w FROM (VALUES {values}) v(license_id, text))
+), sizes AS (
+  SELECT license_id, count(*) AS of_shingles FROM templates GROUP BY license_id
+), docs AS MATERIALIZED (
+  SELECT doc_id, unnest({shingles}) AS shingle FROM (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL)
+), met AS (
+  SELECT doc_id, license_id, count(*) AS shared FROM docs JOIN templates USING (shingle) GROUP BY ALL
+)
+SELECT doc_id, license_id, shared, of_shingles, round(shared / of_shingles, 6) AS containment
+FROM met JOIN sizes USING (license_id) WHERE shared >= 0.8 * of_shingles
+"""
+
+
+#: crc32 byte by byte: DuckDB has no such function.
+SHARDING = """
+WITH crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+    FROM range(256) r(b))
+), rows AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+    xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::UBIGINT)),
+      lambda c, x: xor(c >> 8, t[(xor(c & 255, x) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32,
+    md5('23|' || coalesce(doc_id::VARCHAR, 'text ' || coalesce(text, ''))) AS key
+  FROM documents, crc_table
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, text_crc32, size) AS rank, count(*) OVER (PARTITION BY source) AS in_source FROM rows
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY (rank - 0.5::DOUBLE) / in_source, source, rank) - 1 AS position, count(*) OVER () AS total FROM ranked
+)
+SELECT doc_id, source, size, text_crc32, 'rows' AS law, (position * 40 // total)::INTEGER AS shard,
+  position - ((position * 40 // total) * total + 39) // 40 AS slot, NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
 
 def sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": LINE_DEDUP, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}

@@ -9,25 +9,50 @@ from pyspark.sql import functions as F
 
 from linernotes.llm.common import table
 from linernotes.llm.decontaminate import contaminated
+from linernotes.llm.fertility import quality_rules
+from linernotes.llm.language_id import language_of
+from linernotes.llm.license_scan import scan
+from linernotes.llm.line_dedup import with_lines_dropped
 from linernotes.llm.mixing import mixed
 from linernotes.llm.quality_cnn import quality_scores
 from linernotes.llm.sharding import shard_table
 from linernotes.llm.simhash import simhash_groups
+from linernotes.llm.token_count import token_counts
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_lines_dropped(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
 
 
 def op2_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_of(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixed(table(spark, sf_dir, "documents"))
     return found.withColumn("weight", F.round("weight", 9))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"))
 
@@ -37,5 +62,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_cnn, op4_decontaminate, op6_mixing, op9_sharding, op10_simhash)
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_quality_cnn, op3_language_id, op4_decontaminate, op5_quality_rules,
+        op6_mixing, op7_token_counts, op8_license_scan, op9_sharding, op10_simhash,
+    )
 }

@@ -1,0 +1,85 @@
+import random
+
+import numpy as np
+
+from linernotes.llm.quality_cnn import SHAPE, Fit, Network, chunks_of, fit, keep_good, quality_scores
+from tests.llm.conftest import SCHEMA, prose, row
+
+FAST = Fit(sample_rows=500, steps=120)
+
+
+def labelled(spark, n=300):
+    rng = random.Random(2)
+    docs, labels = [], []
+    for i in range(n):
+        good = rng.random() < 0.7
+        text = prose(rng, 60)
+        docs.append(row(i, text if good else text.replace(" ", "$$$ ")))
+        labels.append((i, int(good)))
+    return spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_chunks_cover_every_byte():
+    for n in (0, 1, 255, 256, 257, 1000, 100_003):
+        data = bytes(i % 251 + 1 for i in range(n))
+        chunks = chunks_of(data)
+        back = b"".join(c[: SHAPE.step].tobytes() for c in chunks[:-1]) + chunks[-1].tobytes()
+        assert back.rstrip(b"\0") == data
+
+
+def test_gradients():
+    rng = np.random.default_rng(3)
+    net = Network.fresh(0.6, 1)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    rows = rng.integers(1, 255, (5, SHAPE.chunk)).astype(np.uint8)
+    starts, labels = np.array([0, 2]), np.array([1.0, 0.0])
+
+    def loss():
+        logit = net.combined(net.pooled(rows).astype(np.float64), starts) @ net.w["combine"] + net.w["offset"]
+        return float(np.mean(np.log1p(np.exp(-(2 * labels - 1) * logit))))
+
+    found = net.gradients(rows, starts, labels)
+    for name in ("filters", "combine", "bias", "offset", "embedding"):
+        where = np.unravel_index(np.abs(found[name]).argmax(), found[name].shape)
+        before, step = net.w[name][where], 1e-2
+        net.w[name][where] = before + step
+        up = loss()
+        net.w[name][where] = before - step
+        down = loss()
+        net.w[name][where] = before
+        assert abs((up - down) / (2 * step) - found[name][where]) < 0.1 * abs(found[name][where]) + 1e-5, name
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = labelled(spark)
+    got = {r["doc_id"]: r for r in quality_scores(docs, labels, FAST).collect()}
+    held = [(got[r["doc_id"]]["predicted"], r["quality"]) for r in labels.collect() if got[r["doc_id"]]["held_out"]]
+    assert len(held) > 30
+    assert np.mean([p == q for p, q in held]) > 0.95
+    kept = {r["doc_id"] for r in keep_good(docs, labels, FAST).collect()}
+    assert kept == {i for i, r in got.items() if r["predicted"]}
+
+
+def test_labels_of_held_out_rows_are_not_used(spark):
+    import zlib
+
+    docs, labels = labelled(spark, 120)
+    turned = [(r["doc_id"], 1 - r["quality"] if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 else r["quality"]) for r in labels.collect()]
+    other = spark.createDataFrame(turned, "doc_id long, quality int")
+    assert sorted(quality_scores(docs, labels, FAST).collect()) == sorted(quality_scores(docs, other, FAST).collect())
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    some = spark.createDataFrame([(1, 1), (1, None), (None, 0), (3, 0), (3, 0), (99, 1), (6, 1)], "doc_id long, quality int")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    for labels in (some, none):
+        got = quality_scores(odd_docs, labels, FAST).collect()
+        assert len(got) == odd_docs.count() and all(0 <= r["score"] <= 1 for r in got)
+    assert quality_scores(no_docs, some, FAST).count() == 0
+    assert keep_good(odd_docs, none, FAST).columns == odd_docs.columns
+    assert {r["score"] for r in quality_scores(odd_docs, none, FAST).collect()} == {0.5}
+
+
+def test_one_class_answers_the_base_rate():
+    net = fit([[b"abc"], [b"def"]], np.ones(2, np.float32))
+    assert np.allclose(net.scores([b"", b"x" * 1000]), 0.99, atol=0.001)

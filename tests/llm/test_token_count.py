@@ -1,0 +1,45 @@
+import random
+
+from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+
+from linernotes.llm.token_count import Counting, token_counts, zipf_vocabulary
+from tests.llm.conftest import prose
+
+
+def tokenizer(vocabulary, byte_fallback):
+    t = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=byte_fallback))
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex("[ \\t-\\r]+"), "removed"), pre_tokenizers.Metaspace()])
+    return t
+
+
+def texts():
+    rng = random.Random(1)
+    letters = "abcde éß日本🙂\n\t▁<>|#0123456789_привет"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    return [*made, "", "▁", "a▁▁b", "<s> <0x41> </s>", prose(rng, 300), "x" * 3000, "日本" * 700, "Hello world, this is a test."]
+
+
+def test_counts_equal_the_tokenizers():
+    vocabulary = zipf_vocabulary()
+    exact, counting = tokenizer(vocabulary, True), Counting(vocabulary)
+    for text in texts():
+        assert counting.text(text.encode())[1] == len(exact.encode(text).ids), text
+
+
+def test_ties_and_runs_of_unknowns():
+    """Equal scores, and a vocabulary without bytes, where a run of unknown letters is one token."""
+    vocabulary = [("<unk>", 0.0), ("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -2.0), ("ba", -2.0), ("aba", -3.0), ("▁ab", -3.0), ("cd", -3.0)]
+    exact, counting = tokenizer(vocabulary, False), Counting(vocabulary)
+    rng = random.Random(2)
+    for _ in range(2000):
+        text = "".join(rng.choice("abcd ") for _ in range(rng.randint(1, 14)))
+        assert counting.text(text.encode())[1] == len(exact.encode(text).ids), text
+
+
+def test_odd_rows(odd_docs, no_docs):
+    exact = tokenizer(zipf_vocabulary(), True)
+    want = sorted((r["doc_id"] is None, r["doc_id"], len(exact.encode(r["text"] or "").ids)) for r in odd_docs.filter("doc_id IS NOT NULL").collect())
+    got = token_counts(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    assert sorted((False, r["doc_id"], r["n_tokens"]) for r in got if r["doc_id"] is not None) == want
+    assert token_counts(no_docs).count() == 0
