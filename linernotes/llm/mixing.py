@@ -119,17 +119,17 @@ def source_plan(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
             planned.append((name, own, share, quota // own, quota % own))
     plan = spark.createDataFrame(planned, "source string, tokens long, weight double, whole_epochs long, rest long")
 
-    keyed = rows.join(plan.select("source", "whole_epochs", "rest"), "source").select(
+    keyed = rows.join(F.broadcast(plan.select("source", "whole_epochs", "rest")), "source").select(
         "source", "rest", "tokens", order_key(mixture.seed, F.col("whole_epochs") + 1, F.col("doc_id"), F.col("text")).alias("key")
     ).filter("rest > 0").withColumn("block", F.substring("key", 1, BLOCK_DIGITS))
     in_blocks = keyed.groupBy("source", "block", "rest").agg(F.sum("tokens").alias("in_block"))
     by_block = Window.partitionBy("source").orderBy("block")
     opened = in_blocks.withColumn("upto", F.sum("in_block").over(by_block)).withColumn("before", F.col("upto") - F.col("in_block"))
-    # The block in which the rest of the budget ends, and how much of it is left there.
+    # The block in which the rest of the budget ends, and how much of it is left there: a row a source, broadcast.
     ending = opened.filter("before < rest AND upto >= rest").select("source", "block", (F.col("rest") - F.col("before")).alias("left_over"))
     in_order = Window.partitionBy("source").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     at_end = (
-        keyed.join(ending, ["source", "block"]).withColumn("upto", F.sum("tokens").over(in_order))
+        keyed.join(F.broadcast(ending), ["source", "block"]).withColumn("upto", F.sum("tokens").over(in_order))
         .groupBy("source", "block").agg(F.max(F.when(F.col("upto") <= F.col("left_over"), F.col("key"))).alias("key"))
     )
     # No document of the block fits: everything before the block does.
@@ -138,12 +138,15 @@ def source_plan(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
 
 
 def schedule(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """docs with a row for each scheduled epoch, __epoch long and __key string; the text isn't shuffled."""
+    """docs with a row for each scheduled epoch, __epoch long and __key string; the text isn't shuffled.
+
+    The plan has a row a source, max_sources at most, and is broadcast.
+    """
     keyed = docs.withColumn("__source", source_name())
     own = plan.select(F.col("source").alias("__source"), F.col("weight").alias("__weight"), "whole_epochs", "cut_key")
     own = own.withColumnsRenamed({"whole_epochs": "__whole", "cut_key": "__cut"})
     key = lambda epoch: order_key(seed, epoch, F.col("doc_id"), F.col("text"))
-    joined = keyed.join(own, "__source")
+    joined = keyed.join(F.broadcast(own), "__source")
     last = F.col("__whole") + F.when(key(F.col("__whole") + 1) <= F.col("__cut"), F.lit(1)).otherwise(F.lit(0))
     epochs = F.when(last > 0, F.sequence(F.lit(1).cast("long"), last)).otherwise(F.array().cast("array<bigint>"))
     return joined.withColumn("__epoch", F.explode(epochs)).withColumn("__key", key(F.col("__epoch")))
