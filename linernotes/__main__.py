@@ -2,7 +2,8 @@
 
 The settings file is a JSON object. ``session`` holds Spark settings for both commands.
 refresh: ``bronze`` and ``gold`` (see ``linernotes.config``), ``graph`` (folder of the new graph
-version) and optionally ``previous_graph``.
+version), optionally ``previous_graph`` and ``load_map`` (``nodes`` and ``edges``, see
+``linernotes.operators.graph.load_map``).
 curate: ``catalogue`` (folder with the tables search, masters, releases, artist_details),
 ``landing`` (folder for the album records), optionally ``stored`` (folder of JSON records already
 landed) and ``curation`` settings.
@@ -17,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from linernotes.config import BronzeConfig, CurationConfig, GoldConfig
 from linernotes.operators.curation import Catalogue, curate
+from linernotes.operators.graph import EDGES, NODES, load_map
 from linernotes.plans.refresh import read_graph, refresh
 from linernotes.session import build_session
 from linernotes.sources.landing import write_albums
@@ -24,14 +26,18 @@ from linernotes.sources.landing import write_albums
 
 def run_refresh(spark: SparkSession, settings: dict) -> None:
     previous = settings.get("previous_graph")
-    _, counts = refresh(
+    specs = load_map(settings["load_map"]) if "load_map" in settings else (NODES, EDGES)
+    graph, counts = refresh(
         spark,
         BronzeConfig(**settings["bronze"]),
         GoldConfig(**settings["gold"]),
         settings["graph"],
-        read_graph(spark, previous) if previous else None,
+        read_graph(spark, previous, *specs) if previous else None,
+        *specs,
     )
     counts.show(truncate=False)
+    for name, reason in graph.skipped.items():
+        print(f"skipped {name}: {reason}")
 
 
 def run_curate(spark: SparkSession, settings: dict) -> None:

@@ -43,12 +43,16 @@ class BronzeConfig:
     schema: str | None = fv.ALBUM_DDL
     reader_options: dict[str, str] = field(default_factory=dict)
     max_files_per_trigger: int = fv.MAX_FILES_PER_TRIGGER
+    # Landed files older than the newest one seen by more than this are never read.
+    max_file_age: str = fv.MAX_FILE_AGE
     format: str = "parquet"
     mode: str = "append"
     partition_by: tuple[str, ...] = ()
     writer_options: dict[str, str] = field(default_factory=dict)
-    # None lets Spark choose files of its advisory size, for batches too big for a few tasks.
-    files_per_batch: int | None = fv.FILES_PER_BATCH
+    # None lets Spark choose files of its advisory size; a number puts every batch into so many tasks.
+    files_per_batch: int | None = None
+    # Whether a refresh goes on when a landed file holds no readable record at all.
+    allow_unreadable_files: bool = False
 
     @property
     def path(self) -> str:
@@ -58,6 +62,11 @@ class BronzeConfig:
     def table(self) -> str:
         return f"{self.database}.{self.subdir}"
 
+    @property
+    def quarantine(self) -> str:
+        """Folder of the rows that could not be used."""
+        return f"{self.bronze.rstrip('/')}/{self.subdir}_quarantine"
+
 
 @dataclass(frozen=True)
 class GoldConfig:

@@ -142,9 +142,12 @@ ALBUM_DDL = (
     "style ARRAY<STRING>, cover_url STRING"
 )
 CORRUPT_COLUMN = "_corrupt"
+# Partition columns of bronze: which ingest (checkpoint) a batch belongs to, and its number there.
+INGEST_COLUMN = "_ingest_id"
 BATCH_COLUMN = "_batch_id"
 
 # Ingestion defaults.
 MAX_FILES_PER_TRIGGER = 100
-FILES_PER_BATCH = 4
+# The file source forgets files older than this, against the newest one seen: as good as never.
+MAX_FILE_AGE = "36500d"
 SINK_BATCH_ROWS = 1000

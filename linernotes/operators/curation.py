@@ -9,7 +9,11 @@ Four landed tables stand in for the catalogue's documents, one row per document:
 * artist details: url, members
 
 Following a URL is an equi-join on it. The nested payload of a release (tracklist, credits) is
-joined last, for the surviving albums only, so it is never shuffled for a rejected result.
+joined last, for the surviving albums only, so it is never shuffled for a rejected result; of it
+only the parts an album record needs go on.
+
+URLs named by very many rows (a group on a third of all releases) meet in joins only, which adaptive
+execution splits.
 """
 
 from __future__ import annotations
@@ -200,49 +204,62 @@ def first_seen(candidates: DataFrame, order: list[Column], key: str = "id") -> D
 # ---- masters to albums --------------------------------------------------------------------
 
 
-def main_release(albums: DataFrame, releases: DataFrame) -> DataFrame:
-    """Albums with ``artists``, ``title``, ``tracklist``, ``release`` from their main release.
+def _of_urls(releases: DataFrame, urls: DataFrame) -> DataFrame:
+    """The releases whose URL is asked for: nested rows are cut down before they move."""
+    wanted = urls.toDF("url").where("url IS NOT NULL")
+    return releases.join(wanted, "url", "left_semi")
+
 
-    Without a main release the texts are "" and the lists empty.
+def main_release(albums: DataFrame, releases: DataFrame, cfg: CurationConfig) -> DataFrame:
+    """Albums with what is needed of their main release, nothing else of it.
+
+    Adds ``artists``, ``title``, ``tracklist``, ``label_names``, ``group`` (name and URL of the
+    credited group), ``main_players`` and ``has_release``. Without a main release the texts are ""
+    and the lists empty.
     """
-    rel = releases.select(
+    titles = F.transform("tracklist", lambda t: t["title"])
+    rel = _of_urls(releases, albums.select("main_release_url")).select(
         F.col("url").alias("_url"),
-        F.struct("title", "labels", "tracklist", "extraartists", "artists").alias("release"),
+        F.struct(
+            credited_ensemble(F.col("artists")).alias("artists"), "title",
+            clean_tracklist(titles).alias("tracklist"),
+            F.transform("labels", lambda x: x["name"]).alias("label_names"),
+            credited_group(F.col("artists")).alias("group"),
+            cr.players(F.col("extraartists"), cfg.performing_roles, cfg.excluded_roles)
+            .alias("main_players"),
+        ).alias("_main"),
     )
     key = _or_unmatched(F.col("main_release_url"), F.col("id"))
-    titles = F.transform(F.col("release.tracklist"), lambda t: t["title"])
+    text = lambda name: F.coalesce(F.col(f"_main.{name}"), F.lit(""))
+    names = lambda name: F.coalesce(F.col(f"_main.{name}"), cr.no_strings())
     return (
         albums.withColumn("_key", key)
         .join(rel, F.col("_key") == F.col("_url"), "left")
         .withColumns({
-            "artists": credited_ensemble(F.col("release.artists")),
-            "title": F.coalesce(F.col("release.title"), F.lit("")),
-            "tracklist": clean_tracklist(titles),
+            "artists": text("artists"), "title": text("title"), "tracklist": names("tracklist"),
+            "label_names": F.col("_main.label_names"), "group": F.col("_main.group"),
+            "main_players": names("main_players"), "has_release": F.col("_main").isNotNull(),
         })
-        .drop("_key", "_url")
+        .drop("_key", "_url", "_main")
     )
 
 
 def album_players(albums: DataFrame, releases: DataFrame, cfg: CurationConfig) -> DataFrame:
-    """Adds ``musicians``: the main release's players, else the most recent release's."""
-
-    def pick(credits: Column) -> Column:
-        return cr.players(credits, cfg.performing_roles, cfg.excluded_roles)
+    """Adds ``musicians``: the main release's players, else the most recent release's.
 
-    recent = releases.select(F.col("url").alias("_url"), F.col("extraartists").alias("_credits"))
+    Only albums without players of their own look up the recent release, by id and URL alone.
+    """
     url = F.col("most_recent_release_url")
-    wanted = F.when(
-        F.col("release").isNotNull() & (F.size("_main") == 0) & (url != F.col("main_release_url")),
-        url,
+    lacking = F.col("has_release") & (F.size("main_players") == 0) & (url != F.col("main_release_url"))
+    wanted = albums.where(lacking).select("id", url.alias("url"))
+    recent = _of_urls(releases, wanted.select("url")).select(
+        "url", cr.players(F.col("extraartists"), cfg.performing_roles, cfg.excluded_roles).alias("_recent")
     )
-    raw = F.when(F.size("_main") == 0, pick(F.col("_credits"))).otherwise(F.col("_main"))
-    return (
-        albums.withColumn("_main", pick(F.col("release.extraartists")))
-        .withColumn("_key", _or_unmatched(wanted, F.col("id")))
-        .join(recent, F.col("_key") == F.col("_url"), "left")
-        .withColumn("musicians", cr.clean_players(raw))
-        .drop("_main", "_key", "_url", "_credits")
+    found = wanted.join(recent, "url").select("id", "_recent")
+    raw = F.when(F.size("main_players") > 0, F.col("main_players")).otherwise(
+        F.coalesce("_recent", cr.no_strings())
     )
+    return albums.join(found, "id", "left").withColumn("musicians", cr.clean_players(raw)).drop("_recent")
 
 
 def credited_group(artists: Column) -> Column:
@@ -280,9 +297,7 @@ def member_leaders(
 def album_leaders(albums: DataFrame, artist_details: DataFrame) -> DataFrame:
     """Adds ``leaders``: players named in the credit, else group members, else the ensemble."""
     credited = albums.withColumn("_credited", cr.named_in(F.col("artists"), F.col("musicians")))
-    groups = credited.withColumn("_group", credited_group(F.col("release.artists"))).select(
-        *credited.columns, "_group.*"
-    )
+    groups = credited.select(*credited.columns, "group.*")
     none_credited = F.size("_credited") == 0
     found = F.when(none_credited, F.col("members_found")).otherwise(F.col("_credited"))
     return (
@@ -294,8 +309,7 @@ def album_leaders(albums: DataFrame, artist_details: DataFrame) -> DataFrame:
 
 def album_label(albums: DataFrame, cfg: CurationConfig) -> DataFrame:
     """Adds ``label``: the release's label by rule, without its number."""
-    names = F.transform(F.col("release.labels"), lambda x: x["name"])
-    label = lb.release_label(names, F.col("label_hint"), cfg.enabled_labels)
+    label = lb.release_label(F.col("label_names"), F.col("label_hint"), cfg.enabled_labels)
     return albums.withColumn("label", lb.drop_label_number(label))
 
 
@@ -312,7 +326,7 @@ def curate(
     in_years = candidates.where(master_year_ok(F.col("year"), cfg.first_year))
     accepted = without_compilations(not_stored(in_years, stored), catalogue.releases)
     unique = first_seen(accepted, search_order(cfg))
-    albums = main_release(unique, catalogue.releases)
+    albums = main_release(unique, catalogue.releases, cfg)
     albums = album_players(albums, catalogue.releases, cfg)
     albums = album_leaders(albums, catalogue.artist_details)
     return album_records(album_label(albums, cfg))

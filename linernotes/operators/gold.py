@@ -134,13 +134,89 @@ def tracks(bronze: DataFrame) -> DataFrame:
         named.groupBy("album_id", "norm")
         .agg(first.alias("name"), _keep("norm"))
         .where(NOT_EMPTY)
-        .select(
-            content_id(F.concat_ws("#", F.col("album_id").cast("string"), "norm")).alias("track_id"),
-            "album_id", "name",
-        )
+        .select(_track_id(), "album_id", "name")
     )
 
 
+# ---- the same from shared inputs, for building all tables -----------------------------------
+
+
+def title_table(bronze: DataFrame) -> DataFrame:
+    """(album_id, work_title, norm, n, pos): an album's distinct titles, cleaned and normalised.
+
+    n counts a title's rows, pos is its first position.
+    """
+    titles = bronze.select(F.col("id").alias("album_id"), F.posexplode("tracklist").alias("pos", "title"))
+    trimmed = titles.select("album_id", "pos", F.trim("title").alias("title")).where(has_text(F.col("title")))
+    counted = trimmed.groupBy("album_id", "title").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    cleaned = strip_takes(F.col("title")).alias("work_title")
+    return counted.select("album_id", cleaned, norm_title(F.col("title")).alias("norm"), "n", "pos")
+
+
+def credit_table(bronze: DataFrame) -> DataFrame:
+    """(album_id, name, norm, role, n): an album's distinct names by role, normalised and counted."""
+    both = F.posexplode(F.concat(_list("leaders"), _list("musicians"))).alias("pos", "name")
+    leader = F.col("pos") < F.size(_list("leaders"))
+    credits = bronze.select(F.col("id").alias("album_id"), "leaders", both)
+    trimmed = credits.select(
+        "album_id", F.trim("name").alias("name"), F.when(leader, fv.LEADER).otherwise(fv.MUSICIAN).alias("role")
+    ).where(has_text(F.col("name")))
+    counted = trimmed.groupBy("album_id", "name", "role").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("album_id", "name", norm_text(F.col("name")).alias("norm"), "role", "n")
+
+
+def artists_from(credits: DataFrame) -> DataFrame:
+    chosen = _most_used(credits, "norm", "name", "n")
+    return chosen.select(content_id(F.col("norm")).alias("artist_id"), "name")
+
+
+def works_from(titles: DataFrame) -> DataFrame:
+    chosen = _most_used(titles, "norm", "work_title", "n")
+    return chosen.select(content_id(F.col("norm")).alias("work_id"), "work_title")
+
+
+def album_artist_from(credits: DataFrame) -> DataFrame:
+    links = credits.where("norm <> ''").select("album_id", "norm", "role").distinct()
+    return links.select("album_id", content_id(F.col("norm")).alias("artist_id"), "role")
+
+
+def album_work_from(titles: DataFrame) -> DataFrame:
+    links = titles.where("norm <> ''").select("album_id", "norm").distinct()
+    return links.select("album_id", content_id(F.col("norm")).alias("work_id"))
+
+
+def tracks_from(titles: DataFrame) -> DataFrame:
+    first = F.min_by("work_title", F.struct("pos", "work_title")).alias("name")
+    named = titles.where("norm <> ''").groupBy("album_id", "norm").agg(first)
+    return named.select(_track_id(), "album_id", "name")
+
+
+def _track_id() -> Column:
+    return content_id(F.concat_ws("#", F.col("album_id").cast("string"), "norm")).alias("track_id")
+
+
+# Table -> its shared input and how it is made from it.
+SHARED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "artists": ("credits", artists_from),
+    "album_artist": ("credits", album_artist_from),
+    "works": ("titles", works_from),
+    "album_work": ("titles", album_work_from),
+    "tracks": ("titles", tracks_from),
+}
+
+# Bronze columns each table reads.
+INPUT = {
+    "albums": ("id", "artists", "title", "year", "label", "style", "cover_url", "_ingested_at",
+               "_ingested_filename"),
+    "artists": ("musicians", "leaders"),
+    "album_artist": ("id", "musicians", "leaders"),
+    "labels": ("label",),
+    "works": ("tracklist",),
+    "album_work": ("id", "tracklist"),
+    "album_label": ("id", "label"),
+    "tracks": ("id", "tracklist"),
+}
+
 # Dimensions before links, as a graph load needs them.
 TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "albums": albums,

@@ -79,6 +79,12 @@ class Graph:
     edges: dict[str, DataFrame]
     # Entries left out for want of a table or column, with the reason.
     skipped: dict[str, str] = field(default_factory=dict)
+    # Edge tables written a second time in album order, for questions that start from albums.
+    by_album: dict[str, DataFrame] = field(default_factory=dict)
+
+    def of_albums(self, name: str) -> DataFrame:
+        """An edge table, in album order if it is written so."""
+        return self.by_album.get(name, self.edges[name])
 
     def __getattr__(self, name: str) -> DataFrame:
         for tables in (self.__dict__.get("nodes", {}), self.__dict__.get("edges", {})):
@@ -91,24 +97,31 @@ class Graph:
             {n: f(n, d) for n, d in self.nodes.items()},
             {n: f(n, d) for n, d in self.edges.items()},
             self.skipped,
+            {n: f(n, d) for n, d in self.by_album.items()},
         )
 
 
 def upsert_nodes(
     incoming: DataFrame, key: str, props: tuple[str, ...], existing: DataFrame | None = None
 ) -> DataFrame:
-    """Existing nodes plus incoming ones; an incoming row replaces all properties, nulls too.
+    """Existing nodes plus incoming ones; an incoming row replaces the given properties, nulls too.
 
-    Incoming rows that share a key collapse to the one with the smallest properties.
+    Other properties of an existing node stay. Incoming rows that share a key collapse to the one
+    with the smallest properties.
     """
     rows = incoming.select(key, *props, F.lit(0).alias("_age"))
+    others: list[str] = []
     if existing is not None:
-        rows = rows.unionByName(
-            existing.withColumn("_age", F.lit(1)), allowMissingColumns=True
-        ).select(key, *props, "_age")
-    winner = F.min_by(F.struct(*props), F.struct("_age", *props))
-    merged = rows.where(F.col(key).isNotNull()).groupBy(key).agg(winner.alias("_row"))
-    return merged.select(key, "_row.*")
+        others = [c for c in existing.columns if c not in (key, *props)]
+        rows = rows.unionByName(existing.withColumn("_age", F.lit(1)), allowMissingColumns=True)
+    columns = [F.min_by(F.struct(*props), F.struct("_age", *props)).alias("_row")] if props else []
+    if others:
+        columns.append(F.max(F.when(F.col("_age") == 1, F.struct(*others))).alias("_kept"))
+    rows = rows.where(F.col(key).isNotNull())
+    if not columns:
+        return rows.select(key).distinct()
+    merged = rows.groupBy(key).agg(*columns)
+    return merged.select(key, *(["_row.*"] if props else []), *(["_kept.*"] if others else []))
 
 
 def upsert_edges(
@@ -119,15 +132,16 @@ def upsert_edges(
 ) -> DataFrame:
     """Existing edges plus the links in role whose two ends exist, without repeats.
 
-    The distinct comes first: it combines before its shuffle, and leaves the semi-joins free to
-    be split when one artist or album has very many links.
+    Link tables hold hardly any repeats, so one distinct at the end does; the semi-joins before it
+    can be split when one artist or album has very many links.
     """
-    chosen = links.where(F.col("role").isin(*spec.roles)) if spec.roles else links
-    edges = chosen.select(*spec.keys).distinct()
+    edges = links.where(F.col("role").isin(*spec.roles)) if spec.roles else links
     for key, table in (spec.source, spec.target):
         edges = edges.join(nodes[table].select(key), key, "left_semi")
     edges = edges.select(*spec.keys)
-    return edges if existing is None else existing.unionByName(edges).distinct()
+    if existing is not None:
+        edges = existing.select(*spec.keys).unionByName(edges)
+    return edges.distinct()
 
 
 def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
@@ -153,18 +167,18 @@ def load(
 ) -> Graph:
     """Apply gold tables to a graph: all nodes first, then the edges between them.
 
-    What is loaded is declared by the specs; a new entry needs no code.
+    What is loaded is declared by the specs; a new entry needs no code. Several entries may feed
+    one node or edge name: each adds to what the ones before it left.
     """
     skipped: dict[str, str] = {}
-    old_nodes = existing.nodes if existing else {}
-    old_edges = existing.edges if existing else {}
-    new_nodes, new_edges = dict(old_nodes), dict(old_edges)
+    new_nodes = dict(existing.nodes) if existing else {}
+    new_edges = dict(existing.edges) if existing else {}
     for spec in nodes:
         rows, why = rows_or_skip(gold.get(spec.table), spec.columns)
         if rows is None:
             skipped[spec.name] = why
             continue
-        new_nodes[spec.name] = upsert_nodes(rows, spec.key, spec.props, old_nodes.get(spec.name))
+        new_nodes[spec.name] = upsert_nodes(rows, spec.key, spec.props, new_nodes.get(spec.name))
     for spec in edges:
         rows, why = rows_or_skip(gold.get(spec.table), spec.columns)
         if rows is not None and any(t not in new_nodes for _, t in (spec.source, spec.target)):
@@ -172,7 +186,7 @@ def load(
         if rows is None:
             skipped[spec.name] = why
             continue
-        new_edges[spec.name] = upsert_edges(rows, spec, new_nodes, old_edges.get(spec.name))
+        new_edges[spec.name] = upsert_edges(rows, spec, new_nodes, new_edges.get(spec.name))
     return Graph(new_nodes, new_edges, skipped)
 
 

@@ -4,9 +4,11 @@ All of them show an album as a "card": its tracks, leaders and participants as d
 names, and its label, with one row per label. A card is aggregated per edge type before anything
 is joined, and only for the albums asked for.
 
-A bulk question repeats an album's lists in every row that album is part of. ``with_lists=False``
-leaves them out and keeps the result as long as the edges are; the lists are then one
-``album_cards`` row per album, or one ``album_names`` row per name for albums of any size.
+A bulk question would repeat an album's lists in every row that album is part of, so it leaves them
+out unless asked with ``with_lists=True``, and its result is as long as the edges are; the lists are
+one ``album_cards`` row per album, or one ``album_names`` row per name for albums of any size.
+
+Hot keys (an artist on a third of all albums) meet in joins only, which adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -52,30 +54,19 @@ def distinct_id_lists(requests: DataFrame, ids: str, at_least: int = 1) -> DataF
     return requests.withColumn(ids, F.array_distinct(ids)).where(F.size(ids) >= at_least)
 
 
-# Most album ids that are broadcast: about 16 MB of them.
-FEW_ALBUMS = 1_000_000
-
-
-def few_albums(ids: DataFrame) -> DataFrame | None:
-    """The distinct album ids, marked for broadcast, if a count shows that they are few.
-
-    Edges are then cut down while they are scanned. With more ids (an artist on a third of all
-    albums, say) the answer is None: edges are aggregated unfiltered and joined to the ids after.
-    """
-    keys = ids.select("album_id").distinct()
-    return F.broadcast(keys) if keys.count() <= FEW_ALBUMS else None
-
-
-def _only(edges: DataFrame, albums: DataFrame | None) -> DataFrame:
-    return edges if albums is None else edges.join(albums, "album_id", "left_semi")
+def _only(rows: DataFrame, albums: DataFrame | None) -> DataFrame:
+    """Rows of the given albums, or all. Spark chooses how to join by the ids' size."""
+    return rows if albums is None else rows.join(albums.select("album_id"), "album_id", "left_semi")
 
 
 def _named_edges(graph: Graph, albums: DataFrame | None) -> DataFrame:
-    people = graph.leads.select("album_id", "artist_id", F.lit("leaders").alias("kind")).unionByName(
-        graph.plays_in.select("album_id", "artist_id", F.lit("participants").alias("kind"))
+    people = graph.of_albums("leads").select(
+        "album_id", "artist_id", F.lit("leaders").alias("kind")
+    ).unionByName(
+        graph.of_albums("plays_in").select("album_id", "artist_id", F.lit("participants").alias("kind"))
     )
     people = _only(people, albums).join(graph.artists, "artist_id")
-    titles = _only(graph.contains, albums).join(graph.works, "work_id")
+    titles = _only(graph.of_albums("contains"), albums).join(graph.works, "work_id")
     return people.select("album_id", "kind", "name").unionByName(
         titles.select(
             "album_id", F.lit("tracks").alias("kind"), F.col("work_title").alias("name")
@@ -104,33 +95,32 @@ def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
 
 
 def album_cards(
-    graph: Graph,
-    albums: DataFrame | None = None,
-    with_lists: bool = True,
-    few: DataFrame | None = None,
+    graph: Graph, albums: DataFrame | None = None, with_lists: bool = True, cut: bool = True
 ) -> DataFrame:
     """The cards of the given albums (rows of the album node table), or of all.
 
-    ``few`` holds the ids of those albums when they are few enough to cut the edges down first.
+    With ``cut`` the edges are cut down to those albums first; leave it off for most of the albums.
     Columns: album_id, ensemble, title, tracks, leaders, participants, year, label, cover.
     """
+    ids = albums if cut else None
     cards = (graph.albums if albums is None else albums).drop("label")
-    cards = cards.join(album_labels(graph, few), "album_id", "left")
+    cards = cards.join(album_labels(graph, ids), "album_id", "left")
     lists: list[Column] = []
     if with_lists:
-        cards = cards.join(album_lists(graph, few), "album_id", "left")
+        cards = cards.join(album_lists(graph, ids), "album_id", "left")
         empty = F.array().cast("array<string>")
         lists = [F.coalesce(c, empty).alias(c) for c in LISTS]
     cover = F.col("cover_url").alias("cover")
     return cards.select("album_id", "ensemble", "title", *lists, "year", "label", cover)
 
 
-def _ids(column: str, ids: str | int | DataFrame):
-    """A filter (for one id) or a semi-join (for a table of ids) on an id column."""
+def _asked(nodes: DataFrame, key: str, ids: str | DataFrame | None) -> DataFrame:
+    """The nodes asked for. One id is one row, as keys are unique: small enough to broadcast."""
+    if ids is None:
+        return nodes
     if isinstance(ids, DataFrame):
-        keys = ids.select(column).distinct()
-        return lambda df: df.join(keys, column, "left_semi")
-    return lambda df: df.where(F.col(column) == ids)
+        return nodes.join(ids.select(key), key, "left_semi")
+    return F.broadcast(nodes.where(F.col(key) == ids))
 
 
 def _ordered(result: DataFrame, single: bool, title: str, limit: int | None) -> DataFrame:
@@ -145,47 +135,54 @@ def _shown(columns: list[str], with_lists: bool) -> list[str]:
     return columns if with_lists else [c for c in columns if c not in LISTS]
 
 
+def _is_single(ids: str | int | DataFrame | None) -> bool:
+    return not (ids is None or isinstance(ids, DataFrame))
+
+
 def _artist_albums(
-    graph, edges, artist, year_min, year_max, limit, with_lists, columns
+    graph, name, artist, year_min, year_max, limit, with_lists, columns
 ) -> DataFrame:
-    single = not isinstance(artist, DataFrame)
-    keep = _ids("artist_id", artist)
-    mine = keep(edges)
-    few = few_albums(mine) if single or with_lists else None
-    chosen = _only(in_years(graph.albums, year_min, year_max), few)
-    names = keep(graph.artists).withColumnRenamed("name", "artist")
-    cards = album_cards(graph, chosen, with_lists, few)
-    result = mine.join(names, "artist_id").join(cards, "album_id")
+    single = _is_single(artist)
+    with_lists = single if with_lists is None else with_lists
+    people = _asked(graph.artists, "artist_id", artist).withColumnRenamed("name", "artist")
+    mine = getattr(graph, name)
+    mine = mine.where(F.col("artist_id") == artist) if single else mine
+    mine = mine.join(people, "artist_id")
+    albums = in_years(graph.albums, year_min, year_max)
+    # Where all artists are asked for, or no list is shown, there is nothing worth cutting down.
+    cut = single or (with_lists and artist is not None)
+    cards = album_cards(graph, _only(albums, mine) if cut else albums, with_lists, cut)
     keys = [] if single else ["artist_id"]
-    return _ordered(result.select(*keys, *_shown(columns, with_lists)), single, "title", limit)
+    result = mine.join(cards, "album_id").select(*keys, *_shown(columns, with_lists))
+    return _ordered(result, single, "title", limit)
 
 
 def artist_sessions(
     graph: Graph,
-    artist: str | DataFrame,
+    artist: str | DataFrame | None,
     year_min: int | None = None,
     year_max: int | None = None,
     limit: int | None = None,
-    with_lists: bool = True,
+    with_lists: bool | None = None,
 ) -> DataFrame:
-    """Albums an artist plays on. A DataFrame of ``artist_id`` asks for many at once."""
+    """Albums an artist plays on. A DataFrame of ``artist_id`` asks for many at once, None for all."""
     columns = ["artist", "album_id", "ensemble", "title", *LISTS, "year", "label", "cover"]
     return _artist_albums(
-        graph, graph.plays_in, artist, year_min, year_max, limit, with_lists, columns
+        graph, "plays_in", artist, year_min, year_max, limit, with_lists, columns
     )
 
 
 def leader_sessions(
     graph: Graph,
-    artist: str | DataFrame,
+    artist: str | DataFrame | None,
     year_min: int | None = None,
     year_max: int | None = None,
     limit: int | None = None,
-    with_lists: bool = True,
+    with_lists: bool | None = None,
 ) -> DataFrame:
     """Albums an artist leads."""
     columns = ["artist", "ensemble", "title", *LISTS, "year", "label", "cover"]
-    return _artist_albums(graph, graph.leads, artist, year_min, year_max, limit, with_lists, columns)
+    return _artist_albums(graph, "leads", artist, year_min, year_max, limit, with_lists, columns)
 
 
 COLLAB_COLUMNS = [
@@ -208,10 +205,8 @@ def collab_albums(
         .agg(F.count_distinct("artist_id").alias("n"))
         .where(F.col("n") == len(wanted))
     )
-    few = few_albums(together)
-    albums = in_years(graph.albums, year_min, year_max)
-    chosen = _only(albums, together.select("album_id") if few is None else few)
-    cards = album_cards(graph, chosen, few=few).select(*COLLAB_COLUMNS)
+    chosen = _only(in_years(graph.albums, year_min, year_max), together)
+    cards = album_cards(graph, chosen).select(*COLLAB_COLUMNS)
     return _ordered(cards, True, "title", limit)
 
 
@@ -251,40 +246,44 @@ def collab_albums_bulk(
     requests: DataFrame,
     year_min: int | None = None,
     year_max: int | None = None,
-    with_lists: bool = True,
+    with_lists: bool = False,
 ) -> DataFrame:
     """Shared albums for many requests; requests of fewer than two artists give no row."""
     shared = shared_albums(graph, requests)
-    # Lists are worth a count of the shared albums; without them there is little to cut down.
-    few = few_albums(shared) if with_lists else None
-    cards = album_cards(graph, in_years(graph.albums, year_min, year_max), with_lists, few)
+    albums = in_years(graph.albums, year_min, year_max)
+    # Lists are worth cutting the edges down for; without them there is little to cut.
+    cards = album_cards(graph, _only(albums, shared) if with_lists else albums, with_lists, with_lists)
     columns = ["request_id", *_shown(COLLAB_COLUMNS, with_lists)]
     return shared.join(cards, "album_id").select(*columns)
 
 
-def album_detail(graph: Graph, album: int | DataFrame) -> DataFrame:
-    """One struct column ``album`` per card; empty for an unknown id."""
-    chosen = _ids("album_id", album)(graph.albums)
-    cards = album_cards(graph, chosen, few=few_albums(chosen))
+def album_detail(graph: Graph, album: int | DataFrame | None = None) -> DataFrame:
+    """One struct column ``album`` per card, of one id, a table of ids or all albums."""
+    if album is None:
+        cards = album_cards(graph)
+    else:
+        cards = album_cards(graph, _asked(graph.albums, "album_id", album))
     columns = ["album_id", "ensemble", "title", *LISTS, "year", "label", "cover"]
     return cards.select(F.struct(*columns).alias("album"))
 
 
 def work_appearances(
-    graph: Graph, work: str | DataFrame, limit: int | None = None, with_lists: bool = True
+    graph: Graph,
+    work: str | DataFrame | None,
+    limit: int | None = None,
+    with_lists: bool | None = None,
 ) -> DataFrame:
     """Albums that contain a work, each with all its tracks and people."""
-    single = not isinstance(work, DataFrame)
-    keep = _ids("work_id", work)
-    mine = keep(graph.contains)
-    works = keep(graph.works)
-    few = few_albums(mine) if single or with_lists else None
-    cards = album_cards(graph, _only(graph.albums, few), with_lists, few)
+    single = _is_single(work)
+    with_lists = single if with_lists is None else with_lists
+    mine = graph.contains.where(F.col("work_id") == work) if single else graph.contains
+    mine = mine.join(_asked(graph.works, "work_id", work), "work_id")
+    cut = single or (with_lists and work is not None)
+    cards = album_cards(graph, _only(graph.albums, mine) if cut else graph.albums, with_lists, cut)
     cards = cards.withColumnRenamed("title", "album_title")
-    result = mine.join(works, "work_id").join(cards, "album_id")
     keys = [] if single else ["work_id"]
     columns = ["work_title", "ensemble", "album_title", *LISTS, "year", "label", "cover"]
-    shown = result.select(*keys, *_shown(columns, with_lists))
+    shown = mine.join(cards, "album_id").select(*keys, *_shown(columns, with_lists))
     return _ordered(shown, single, "album_title", limit)
 
 

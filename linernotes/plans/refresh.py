@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig, GoldConfig
 from linernotes.operators import gold as g
-from linernotes.operators.graph import EDGES, NODES, Graph, load
+from linernotes.operators.graph import EDGES, NODES, EdgeSpec, Graph, NodeSpec, load
 from linernotes.operators.report import row_counts
 from linernotes.sources.tables import open_tables, read_bronze, write_gold, write_sorted
 from linernotes.streaming.bronze import run_bronze
@@ -22,6 +24,12 @@ SORT_KEYS = {
     "contains": ("work_id", "album_id"),
     "released_by": ("album_id", "label_id"),
 }
+# Edges that are looked up by album as well are written a second time in that order.
+ALBUM_ORDER = {
+    "leads": ("album_id", "artist_id"),
+    "plays_in": ("album_id", "artist_id"),
+    "contains": ("album_id", "work_id"),
+}
 
 
 # Independent writes that run at a time, so that the last tasks of one leave no cores idle.
@@ -40,33 +48,102 @@ def read_gold_tables(spark: SparkSession, cfg: GoldConfig) -> dict[str, DataFram
     return open_tables(spark, cfg.path, list(g.TABLES), cfg.format)
 
 
-def write_graph(graph: Graph, folder: str) -> None:
-    """Write a graph to a folder of its own; an upsert reads one version and writes the next."""
-    tables = {**graph.nodes, **graph.edges}
+def write_gold_from(
+    spark: SparkSession, bronze: DataFrame, cfg: GoldConfig, only: Callable | None = None
+) -> list[str]:
+    """All gold tables from bronze rows, text work done once.
+
+    Titles and credits are counted per album and normalised into two written tables, which the
+    tables of works, artists and links are made from. ``only`` may narrow bronze to given columns.
+    """
+    columns = only or (lambda *names: bronze.select(*[n for n in names if n in bronze.columns]))
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+
+        def put(name: str, build: Callable, needs: tuple[str, ...]) -> DataFrame:
+            path = f"{cfg.path.rstrip('/')}/_inputs/{name}"
+            build(columns(*needs)).write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+        titles = pool.submit(put, "titles", g.title_table, ("id", "tracklist"))
+        credits = pool.submit(put, "credits", g.credit_table, ("id", "musicians", "leaders"))
+        made = {"titles": titles.result(), "credits": credits.result()}
+    tables = {}
+    for name, build in g.TABLES.items():
+        source, from_source = g.SHARED.get(name, (None, None))
+        tables[name] = from_source(made[source]) if source else build(columns(*g.INPUT[name]))
+    return write_gold_tables(spark, tables, cfg)
 
-    def write(name: str) -> None:
-        write_sorted(tables[name], f"{folder}/{name}", *SORT_KEYS.get(name, tables[name].columns))
 
+def write_graph(graph: Graph, folder: str) -> None:
+    """Write a graph to a folder of its own; an upsert reads one version and writes the next."""
+    jobs = [(n, df, SORT_KEYS.get(n, df.columns)) for n, df in {**graph.nodes, **graph.edges}.items()]
+    jobs += [
+        (f"{n}_by_album", df, ALBUM_ORDER[n])
+        for n, df in graph.edges.items() if set(ALBUM_ORDER.get(n, [""])) <= set(df.columns)
+    ]
     with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
-        list(pool.map(write, tables))
+        list(pool.map(lambda job: write_sorted(job[1], f"{folder}/{job[0]}", *job[2]), jobs))
 
 
-def read_graph(spark: SparkSession, folder: str) -> Graph:
-    nodes = open_tables(spark, folder, [n.name for n in NODES])
-    edges = open_tables(spark, folder, [e.name for e in EDGES])
-    return Graph(nodes, edges)
+def read_graph(
+    spark: SparkSession,
+    folder: str,
+    nodes: list[NodeSpec] = NODES,
+    edges: list[EdgeSpec] = EDGES,
+) -> Graph:
+    """A written graph: the tables that the specs of its load map name."""
+    found = open_tables(spark, folder, list(dict.fromkeys(e.name for e in edges)))
+    copies = open_tables(spark, folder, [f"{n}_by_album" for n in found if n in ALBUM_ORDER])
+    return Graph(
+        open_tables(spark, folder, list(dict.fromkeys(n.name for n in nodes))),
+        found,
+        by_album={n.removesuffix("_by_album"): df for n, df in copies.items()},
+    )
 
 
 def load_in_steps(
-    spark: SparkSession, gold: dict[str, DataFrame], folder: str, existing: Graph | None = None
+    spark: SparkSession,
+    gold: dict[str, DataFrame],
+    folder: str,
+    existing: Graph | None = None,
+    nodes: list[NodeSpec] = NODES,
+    edges: list[EdgeSpec] = EDGES,
 ) -> Graph:
     """Like ``load``, written to a folder: nodes first, so that edges check the written nodes."""
-    with_nodes = load(gold, existing, edges=[])
+    with_nodes = load(gold, existing, nodes, edges=[])
     write_graph(Graph(with_nodes.nodes, {}), folder)
-    nodes = read_graph(spark, folder).nodes
-    with_edges = load(gold, Graph(nodes, existing.edges if existing else {}), nodes=[])
+    known = read_graph(spark, folder, nodes, []).nodes
+    # Nodes of an earlier version that this map does not name are written too.
+    known |= open_tables(spark, folder, [n for n in with_nodes.nodes if n not in known])
+    with_edges = load(gold, Graph(known, existing.edges if existing else {}), nodes=[], edges=edges)
     write_graph(Graph({}, with_edges.edges), folder)
-    return read_graph(spark, folder)
+    written = read_graph(spark, folder, nodes, edges)
+    return Graph(
+        {**known, **written.nodes},
+        {**open_tables(spark, folder, list(with_edges.edges)), **written.edges},
+        {**with_nodes.skipped, **with_edges.skipped},
+        written.by_album,
+    )
+
+
+class UnreadableFiles(ValueError):
+    """Landed files without one readable record."""
+
+
+def set_aside(spark: SparkSession, rows: DataFrame, cfg: BronzeConfig) -> DataFrame:
+    """Write the rows that cannot be used to the quarantine folder; returns the good ones.
+
+    A file whose rows are all unreadable is taken for one read the wrong way (a record over several
+    lines without ``multiLine``, say) and stops the refresh, unless the settings allow it.
+    """
+    good, bad = g.split_corrupt(rows)
+    bad.write.mode("overwrite").parquet(cfg.quarantine)
+    if fv.CORRUPT_COLUMN in rows.columns and not cfg.allow_unreadable_files:
+        per_file = rows.groupBy("_ingested_filename").agg(F.count_if(F.col(fv.CORRUPT_COLUMN).isNull()).alias("readable"))
+        lost = [r[0] for r in per_file.where("readable = 0").select("_ingested_filename").limit(5).collect()]
+        if lost:
+            raise UnreadableFiles(f"no readable record in {lost}; for records over several lines set multiLine")
+    return good
 
 
 def refresh(
@@ -75,12 +152,17 @@ def refresh(
     gold: GoldConfig,
     graph_folder: str,
     existing: Graph | None = None,
+    nodes: list[NodeSpec] = NODES,
+    edges: list[EdgeSpec] = EDGES,
 ) -> tuple[Graph, DataFrame]:
-    """Ingest new files, rebuild gold, write the next graph version. Returns it and row counts."""
+    """Ingest new files, rebuild gold, write the next graph version. Returns it and row counts.
+
+    What gold leaves out is counted as ``quarantine``; the graph names what it skipped.
+    """
     run_bronze(spark, bronze)
     rows = read_bronze(spark, bronze)
-    good, _ = g.split_corrupt(rows)
-    write_gold_tables(spark, g.all_tables(good), gold)
+    write_gold_from(spark, set_aside(spark, rows, bronze), gold)
     tables = read_gold_tables(spark, gold)
-    graph = load_in_steps(spark, tables, graph_folder, existing)
-    return graph, row_counts({"bronze": rows, **tables})
+    graph = load_in_steps(spark, tables, graph_folder, existing, nodes, edges)
+    bad = spark.read.schema(rows.schema).parquet(bronze.quarantine)
+    return graph, row_counts({"bronze": rows, "quarantine": bad, **tables})

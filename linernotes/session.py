@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -15,15 +13,8 @@ def build_session(conf: dict[str, str], app_name: str = "linernotes") -> SparkSe
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session without one gets a temporary folder; a cluster must name it.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="linernotes-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
+    return folder.rstrip("/")

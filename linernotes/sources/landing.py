@@ -8,7 +8,12 @@ JSON_FILES = "*.[jJ][sS][oO][nN]"
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths below a folder; only the listing is read, not the files' content."""
+    """Paths below a folder; only the listing is read, not the files' content.
+
+    Spark lists on the driver, or with executors where there are many folders; the paths of one
+    landing folder pass through the driver either way. For folders of many millions of files let
+    the stream keep track of what is new, as ``run_bronze`` does.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return files.select("path")
 

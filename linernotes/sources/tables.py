@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig, GoldConfig
@@ -41,7 +41,8 @@ def bronze_schema(cfg: BronzeConfig) -> StructType | None:
     if fv.CORRUPT_COLUMN not in landed.names:
         landed = landed.add(fv.CORRUPT_COLUMN, "string")
     schema = StructType.fromDDL("_ingested_at TIMESTAMP, _ingested_filename STRING")
-    return StructType([*schema, *landed, StructField(fv.BATCH_COLUMN, LongType())])
+    batch = StructType([StructField(fv.INGEST_COLUMN, StringType()), StructField(fv.BATCH_COLUMN, LongType())])
+    return StructType([*schema, *landed, *batch])
 
 
 def read_bronze(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
@@ -55,23 +56,45 @@ def read_bronze(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
 
 
 def register(
-    spark: SparkSession, table: str, path: str, format: str, partitioned: bool = False
+    spark: SparkSession,
+    table: str,
+    path: str,
+    format: str,
+    partitioned: bool = False,
+    new: list[str] | None = None,
 ) -> str:
-    """Make an external table known to the catalog; repeating it changes nothing."""
+    """Make an external table known to the catalog; repeating it changes nothing.
+
+    ``new`` names the partitions (``a='x', b=1``) that may have come since it was last registered;
+    without it, or for a table not known yet, all folders are listed.
+    """
+    known = spark.catalog.databaseExists(table.split(".")[0]) and spark.catalog.tableExists(table)
     database = table.split(".")[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {format} LOCATION '{path}'")
-    if partitioned:
+    if partitioned and known and new is not None:
+        if new:
+            parts = " ".join(f"PARTITION ({p})" for p in new)
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    elif partitioned:
         spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
     return table
 
 
-def ensure_bronze(spark: SparkSession, cfg: BronzeConfig) -> tuple[str, str, str]:
-    """Register the bronze table whenever data exists, also if this run brought none."""
+def ensure_bronze(
+    spark: SparkSession, cfg: BronzeConfig, written: list[tuple[str, int]] | None = None
+) -> tuple[str, str, str]:
+    """Register the bronze table whenever data exists, also if this run brought none.
+
+    ``written`` are the (ingest, batch) partitions of this run, None if they are not known.
+    """
     if open_table(spark, cfg.path, cfg.format) is not None:
-        register(spark, cfg.table, cfg.path, cfg.format, partitioned=cfg.format != "delta")
+        new = None
+        if written is not None and not cfg.partition_by and cfg.mode == "append":
+            new = [f"{fv.INGEST_COLUMN}='{i}', {fv.BATCH_COLUMN}={b}" for i, b in written]
+        register(spark, cfg.table, cfg.path, cfg.format, cfg.format != "delta", new)
     return cfg.table, cfg.path, cfg.format
 
 

@@ -1,18 +1,38 @@
-"""Landed JSON to the bronze table: each new file once, each batch under its own id."""
+"""Landed JSON to the bronze table: each new file once, each batch under its own id.
+
+The file log in the checkpoint remembers every file ever read, whatever its age; it grows by a line
+a file and is compacted by Spark. A checkpoint that is lost or replaced begins a new ingest: it reads
+all landed files again, into partitions of its own, so nothing that was there is replaced.
+"""
 
 from __future__ import annotations
 
+import json
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig
 from linernotes.sources.landing import JSON_FILES
 from linernotes.sources.tables import ensure_bronze, open_table
 
+
 def _schema(spark: SparkSession, cfg: BronzeConfig, options: dict[str, str]):
+    """The configured schema, or the one inferred when the first files were read.
+
+    Inferring reads all that has landed, so its result is kept beside the checkpoint.
+    """
     if cfg.schema is None:
-        return spark.read.options(**options).json(cfg.landing).schema
+        place = f"{cfg.checkpoint.rstrip('/')}.schema"
+        kept = open_table(spark, place, "text")
+        if kept is not None:
+            return StructType.fromJson(json.loads(kept.first()["value"]))
+        schema = spark.read.options(**options).json(cfg.landing).schema
+        spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.text(place)
+        return schema
     if fv.CORRUPT_COLUMN in cfg.schema:
         return cfg.schema
     return f"{cfg.schema}, {fv.CORRUPT_COLUMN} STRING"
@@ -38,6 +58,7 @@ def read_landing(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
     return (
         reader.option("fileNameOnly", True)
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+        .option("maxFileAge", cfg.max_file_age)
         .load(cfg.landing)
     )
 
@@ -51,11 +72,13 @@ def with_ingestion_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def append_batch(batch: DataFrame, batch_id: int, cfg: BronzeConfig) -> None:
+def append_batch(
+    batch: DataFrame, batch_id: int, cfg: BronzeConfig, ingest: str = "direct"
+) -> None:
     """Write one batch into its own partition: a replayed batch replaces itself.
 
-    The first write clears whatever lies at the path. Only batch 0 can be the first, so the later
-    ones do not look.
+    ``ingest`` names the checkpoint that numbers the batches. The first write clears whatever lies
+    at the path. Only a batch 0 can be the first, so the later ones do not look.
     """
     if cfg.files_per_batch is None:
         batch = batch.hint("rebalance")
@@ -68,21 +91,39 @@ def append_batch(batch: DataFrame, batch_id: int, cfg: BronzeConfig) -> None:
     if cfg.format == "delta":
         options.setdefault("mergeSchema", "true")
     (
-        batch.withColumn(fv.BATCH_COLUMN, F.lit(batch_id).cast("long"))
+        batch.withColumn(fv.INGEST_COLUMN, F.lit(ingest))
+        .withColumn(fv.BATCH_COLUMN, F.lit(batch_id).cast("long"))
         .write.format(cfg.format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .options(**options)
-        .partitionBy(fv.BATCH_COLUMN, *cfg.partition_by)
+        .partitionBy(fv.INGEST_COLUMN, fv.BATCH_COLUMN, *cfg.partition_by)
         .save(cfg.path)
     )
 
 
-def start_bronze(spark: SparkSession, cfg: BronzeConfig) -> StreamingQuery:
-    """Start ingesting every file not seen before; the query ends when they are done."""
+def ingest_id(spark: SparkSession, cfg: BronzeConfig) -> str:
+    """The id that Spark gave the checkpoint when it was made."""
+    return spark.read.json(f"{cfg.checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def start_bronze(
+    spark: SparkSession, cfg: BronzeConfig, written: list[tuple[str, int]] | None = None
+) -> StreamingQuery:
+    """Start ingesting every file not seen before; the query ends when they are done.
+
+    The partitions of the batches are added to ``written``.
+    """
     rows = read_landing(spark, cfg).transform(with_ingestion_columns)
+    own_id = cache(lambda: ingest_id(spark, cfg))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_batch(batch, batch_id, cfg, own_id())
+        if written is not None:
+            written.append((own_id(), batch_id))
+
     return (
-        rows.writeStream.foreachBatch(lambda df, batch_id: append_batch(df, batch_id, cfg))
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", cfg.checkpoint)
         .queryName(f"bronze_{cfg.subdir}")
         .trigger(availableNow=True)
@@ -92,5 +133,6 @@ def start_bronze(spark: SparkSession, cfg: BronzeConfig) -> StreamingQuery:
 
 def run_bronze(spark: SparkSession, cfg: BronzeConfig) -> tuple[str, str, str]:
     """Ingest, wait for the end, register the table. Returns its name, path and format."""
-    start_bronze(spark, cfg).awaitTermination()
-    return ensure_bronze(spark, cfg)
+    written: list[tuple[str, int]] = []
+    start_bronze(spark, cfg, written).awaitTermination()
+    return ensure_bronze(spark, cfg, written)

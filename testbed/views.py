@@ -4,13 +4,13 @@ Album records: each line item is one delivered record of the album with its orde
 order without line items is a record without lists. So no list is ever collected from rows, and
 an order of any size stays spread over many records.
 
-Catalogue documents: one release per (order, line number), made from minima and maxima over its
-line items, which combine before their shuffle; one master per order.
+Catalogue documents: one release per distinct (order, line number, part, supplier), so that every line
+item reaches one; one master per order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from linernotes.config import CurationConfig
 
@@ -39,15 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer splits than cores, dealt out to all of them; bigger ones are left alone.
-
-    The given files hold one row group each, which only one task can read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Bronze column -> (expression, tables it needs besides the line items).
 BRONZE = {
     "id": ("coalesce(l_orderkey, o_orderkey)", ()),
@@ -102,9 +93,9 @@ def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Album records with the given columns (default all), joining only what those need."""
     columns = columns or tuple(BRONZE)
     needed = {t for c in columns for t in BRONZE[c][1]}
-    rows = spread(table(spark, sf_dir, "lineitem"))
+    rows = table(spark, sf_dir, "lineitem")
     if "orders" in needed:
-        orders = spread(table(spark, sf_dir, "orders"))
+        orders = table(spark, sf_dir, "orders")
         rows = orders.join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     else:
         rows = rows.withColumn("o_orderkey", F.lit(None).cast("long"))
@@ -119,64 +110,69 @@ def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 # Release-level texts by line number 1..7: first and second track suffix, three roles.
-TRACK_SUFFIX_1 = [" - Short-Take 1", " - 3", " (alt. take)", " (Original)", " D831-1",
-                  " - Orig. Take #4", " Opus-5"]
-TRACK_SUFFIX_2 = [" - (Original Master)", " (S5710-1) x", " New Take 2", "  two   blanks ", "", " - Mistake",
+TRACK_SUFFIX_1 = [" - Short-Take 5", " - 8", " (alt. take)", " (Original)", " QX417-2",
+                  " - Orig. Take #9", " Opus-5"]
+TRACK_SUFFIX_2 = [" - (Original Master)", " (RT8052-3) y", " New Take 6", "  two   blanks ", "", " - Mistake",
                   " (take) end"]
 ROLES_1 = ["Tenor Saxophone", "Engineer", "Producer, Piano", "Piano Technician", "", "Liner Notes",
            "Drums"]
 ROLES_2 = ["Engineer", "Bass", "Design", "Recorded By", "Photography", "Trumpet", "Producer"]
-_RELEASE_KEY = ["l_orderkey", "l_linenumber"]
-
 
 def _pick(values: list[str]) -> str:
     quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
     return f"element_at(array({quoted}), l_linenumber)"
 
 
+# Ids of a line's releases: its number, then the place of part and supplier among the line's.
+RELEASES_A_LINE = 1000
+
+
 def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, line number): id, smallest and largest names, first ship date."""
+    """One row per distinct (order, line number, part, supplier): id, names, first ship date.
+
+    A line number comes a few times in an order; the window orders those few rows.
+    """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    items = (
-        spread(table(spark, sf_dir, "lineitem"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf_dir, "lineitem").groupBy(*keys).agg(
+        F.min("l_returnflag").alias("flag"), F.year(F.min("l_shipdate")).alias("ship_year")
+    )
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey"))
+    return (
+        lines.withColumn("rid", F.expr(f"(l_orderkey * 10 + l_linenumber) * {RELEASES_A_LINE}") + place)
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumnRenamed("p_brand", "brand")
     )
-    return items.groupBy(*_RELEASE_KEY).agg(
-        F.min("p_name").alias("p_min"), F.max("p_name").alias("p_max"),
-        F.min("s_name").alias("s_min"), F.max("s_name").alias("s_max"),
-        F.min("p_brand").alias("brand"), F.min("l_returnflag").alias("flag"),
-        F.year(F.min("l_shipdate")).alias("ship_year"),
-    ).withColumn("rid", F.expr("l_orderkey * 10 + l_linenumber"))
 
 
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release_rows(spark, sf_dir).selectExpr(
         f"concat('{BASE}/releases/', rid) AS url",
-        "concat(upper(p_min), ' Album') AS title",
+        "concat(upper(p_name), ' Album') AS title",
         "CASE WHEN l_linenumber = 5 THEN 0 ELSE l_orderkey END AS master_id",
         f"""CASE WHEN l_linenumber <= 4 THEN concat('{BASE}/masters/', l_orderkey)
                  WHEN l_linenumber = 6 THEN '' END AS master_url""",
         """CASE WHEN l_linenumber = 3 THEN cast(array() AS array<struct<name:string>>)
                 WHEN l_linenumber = 4 THEN array(named_struct('name', ''))
-                ELSE array(named_struct('name', concat('Sub of ', p_min, ' (6)')),
+                ELSE array(named_struct('name', concat('Sub of ', p_name, ' (6)')),
                            named_struct('name', brand)) END AS labels""",
-        f"""array(named_struct('title', concat(p_min, {_pick(TRACK_SUFFIX_1)})),
-                  named_struct('title', concat('"', p_max, '"')),
+        f"""array(named_struct('title', concat(p_name, {_pick(TRACK_SUFFIX_1)})),
+                  named_struct('title', concat('"', p_name, '"')),
                   named_struct('title', '-'),
-                  named_struct('title', concat('Band #3: ', p_max, {_pick(TRACK_SUFFIX_2)}))
+                  named_struct('title', concat('Band #3: ', p_name, {_pick(TRACK_SUFFIX_2)}))
             ) AS tracklist""",
-        f"""array(named_struct('name', concat(s_min, ' (2)'),
+        f"""array(named_struct('name', concat(s_name, ' (2)'),
                                'role', CASE WHEN flag = 'A' THEN 'Mixed By' ELSE {_pick(ROLES_1)} END),
-                  named_struct('name', s_max, 'role', {_pick(ROLES_2)}),
-                  named_struct('name', concat(s_min, ' (2)'), 'role', 'Engineer'),
+                  named_struct('name', s_name, 'role', {_pick(ROLES_2)}),
+                  named_struct('name', concat(s_name, ' (2)'), 'role', 'Engineer'),
                   named_struct('name', '', 'role', 'Piano')) AS extraartists""",
         f"""array(named_struct(
               'name', CASE WHEN flag = 'R' THEN 'Various' WHEN l_linenumber = 3 THEN ''
-                           ELSE concat(s_min, ' Quintet') END,
-              'anv', concat(' ', s_max, ' Trio '),
-              'resource_url', concat('{BASE}/artists/', s_min))) AS artists""",
+                           ELSE concat(s_name, ' Quintet') END,
+              'anv', concat(' ', s_name, ' Trio '),
+              'resource_url', concat('{BASE}/artists/', s_name))) AS artists""",
     )
 
 
@@ -191,9 +187,9 @@ def masters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN o_orderkey % 19 = 0 THEN 0 ELSE year(o_orderdate) END AS year",
         "o_orderpriority AS title",
         "CASE WHEN o_orderkey % 5 <> 0 THEN array(o_orderpriority, 'Hard Bop') END AS styles",
-        f"concat('{BASE}/releases/', l_orderkey * 10 + lo) AS main_release_url",
+        f"concat('{BASE}/releases/', (l_orderkey * 10 + lo) * {RELEASES_A_LINE} + 1) AS main_release_url",
         f"""CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE
-              concat('{BASE}/releases/', l_orderkey * 10 + hi) END AS most_recent_release_url""",
+              concat('{BASE}/releases/', (l_orderkey * 10 + hi) * {RELEASES_A_LINE} + 1) END AS most_recent_release_url""",
     )
 
 
@@ -270,7 +266,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("pages", "'page'", "cast(page_id AS string)", "html"),
     ]
     parts = [
-        spread(table(spark, sf_dir, t)).selectExpr(f"{kind} AS kind", f"{key} AS key", f"{text} AS text")
+        table(spark, sf_dir, t).selectExpr(f"{kind} AS kind", f"{key} AS key", f"{text} AS text")
         for t, kind, key, text in sources
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

@@ -14,7 +14,7 @@ from linernotes.operators import gold as g
 from linernotes.operators.curation import Catalogue
 from linernotes.operators.graph import Graph
 from linernotes.plans.refresh import (
-    load_in_steps, read_gold_tables, read_graph, write_gold_tables,
+    load_in_steps, read_gold_tables, read_graph, write_gold_from,
 )
 from linernotes.session import shared_folder
 from linernotes.sources.landing import write_albums
@@ -25,6 +25,23 @@ _built: dict[tuple[str, str, str], str] = {}
 _lock = threading.RLock()
 
 
+def send_files(folder: str, name, content) -> Callable[[list[dict]], None]:
+    """A function for ``deliver`` that puts each batch into a file of its own in a shared folder.
+
+    ``name`` and ``content`` get the batch's rows. A repeated batch writes the same file again.
+    """
+
+    def send(rows: list[dict]) -> None:
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        system.create_dir(path, recursive=True)
+        with system.open_output_stream(f"{path}/{name(rows)}") as out:
+            out.write(content(rows))
+
+    return send
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
@@ -51,18 +68,8 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
     return read_graph(spark, _once(spark, sf_dir, "graph", build))
 
 
-# Bronze columns each gold table reads; asking for just these leaves out the joins of the others.
-GOLD_INPUT = {
-    "albums": ("id", "artists", "title", "year", "label", "style", "cover_url", "_ingested_at",
-               "_ingested_filename"),
-    "artists": ("musicians", "leaders"),
-    "album_artist": ("id", "musicians", "leaders"),
-    "labels": ("label",),
-    "works": ("tracklist",),
-    "album_work": ("id", "tracklist"),
-    "album_label": ("id", "label"),
-    "tracks": ("id", "tracklist"),
-}
+# Asking for just the bronze columns a table reads leaves out the joins of the others.
+GOLD_INPUT = g.INPUT
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
@@ -109,7 +116,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> BronzeConfig:
     def config(folder: str) -> BronzeConfig:
         return BronzeConfig(
             landing=landed, bronze=f"{folder}/bronze", checkpoint=f"{folder}/checkpoint",
-            max_files_per_trigger=10_000, files_per_batch=None,
+            max_files_per_trigger=10_000,
         )
 
     folder = _once(spark, sf_dir, "ingested", lambda f: run_bronze(spark, config(f)))
@@ -117,11 +124,10 @@ def ingested(spark: SparkSession, sf_dir: str) -> BronzeConfig:
 
 
 def gold_tables(spark: SparkSession, sf_dir: str) -> GoldConfig:
-    """All gold tables, written."""
+    """All gold tables, written from shared inputs."""
 
     def build(folder: str) -> None:
-        tables = {name: gold_of(spark, sf_dir, name) for name in GOLD_INPUT}
-        write_gold_tables(spark, tables, GoldConfig(path=folder))
+        write_gold_from(spark, None, GoldConfig(path=folder), lambda *c: views.bronze(spark, sf_dir, *c))
 
     return GoldConfig(path=_once(spark, sf_dir, "gold", build))
 
