@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from linernotes.fixed_values import ALBUM_DDL  # noqa: E402
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -26,28 +28,24 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-ALBUM_SCHEMA = (
-    "id LONG, artists STRING, title STRING, year STRING, label STRING, style ARRAY<STRING>, "
-    "cover_url STRING, tracklist ARRAY<STRING>, musicians ARRAY<STRING>, leaders ARRAY<STRING>"
-)
-
-
 def album_rows():
+    """In the order of ALBUM_DDL."""
     return [
-        (1, "Ana Sánchez Trio ", " Blue Hour", "1961", "Northern Star", ["Hard Bop"], "http://c/1",
+        ("Ana Sánchez Trio ", " Blue Hour", 1, "1961", "Northern Star",
          ["Late Train (Take 1)", "Late Train (alt take)", "Sea Song", "???"],
-         ["Ana Sánchez", "Ana Sánchez", "ANA   SANCHEZ", "Bo Lind", " ", None], ["Ana Sánchez"]),
-        (2, "Bo Lind", "Harbour", "1965.0", "northern star ", ["Modal"], None,
+         ["Ana Sánchez", "Ana Sánchez", "ANA   SANCHEZ", "Bo Lind", " ", None], ["Ana Sánchez"],
+         ["Hard Bop"], "http://c/1"),
+        ("Bo Lind", "Harbour", 2, "1965.0", "northern star ",
          ["Sea  Song (Master Take)", "Harbour"],
-         ["Bo Lind", "Cy Young", "Ana Sánchez"], ["Bo Lind"]),
-        (3, "Cy Young", "Night", "n/a", " ", None, "http://c/3", [], ["Cy Young"], None),
-        (4, "Nobody", "Empty", None, "Verve", [], None, None, None, None),
+         ["Bo Lind", "Cy Young", "Ana Sánchez"], ["Bo Lind"], ["Modal"], None),
+        ("Cy Young", "Night", 3, "n/a", " ", [], ["Cy Young"], None, None, "http://c/3"),
+        ("Nobody", "Empty", 4, None, "Verve", None, None, None, [], None),
     ]
 
 
 @pytest.fixture(scope="session")
 def bronze(spark):
-    return spark.createDataFrame(album_rows(), ALBUM_SCHEMA)
+    return spark.createDataFrame(album_rows(), ALBUM_DDL)
 
 
 @pytest.fixture(scope="session")

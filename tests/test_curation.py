@@ -27,21 +27,21 @@ DETAILS = "url STRING, members ARRAY<STRUCT<name: STRING>>"
 
 
 @pytest.mark.parametrize("raw,clean", [
-    ("Another One - Short-Take 1", "Another One"),
+    ("Another One - Short-Take 5", "Another One"),
     ("Bloom - Mistake", "Bloom"),
     ("Bloom - 2 - take 3", "Bloom"),
     ("Bloom - (The Original Master)", "Bloom"),
     ("Bloom (original)", "Bloom"),
     ("Band #10: Bloom", "Bloom"),
     ("band#3 Bloom", "Bloom"),
-    ("Bloom D831-1", "Bloom"),
-    ("Bloom (S5710-1) extra", "Bloom"),
+    ("Bloom QX417-2", "Bloom"),
+    ("Bloom (RT8052-3) extra", "Bloom"),
     ("bloom d831-1", "bloom d831"),
     ("Home - 1", "Home"),
     ("Opus-5", "Opus"),
     ("Bloom (alt. take)", "Bloom"),
     ("Bloom (take) more", "Bloom (take) more"),
-    ("Bloom — Orig. Take #4", "Bloom"),
+    ("Bloom — Orig. Take #9", "Bloom"),
     ("Bloom New Take 2", "Bloom"),
     ('"Bloom"', "Bloom"),
     ("“Bloom”", "“Bloom”"),

@@ -126,6 +126,20 @@ def test_load_map_from_settings(bronze):
     assert loaded.has.count() == 4 and loaded.skipped == {}
 
 
+def test_entries_for_one_name_add_up(spark):
+    a = spark.createDataFrame([(1, "x")], "k LONG, p STRING")
+    b = spark.createDataFrame([(2, "y")], "k LONG, p STRING")
+    specs = [gr.NodeSpec("n", t, "k", ("p",)) for t in ("a", "b")]
+    assert rows(gr.load({"a": a, "b": b}, nodes=specs, edges=[]).n, "k", "p") == [(1, "x"), (2, "y")]
+
+
+def test_unlisted_properties_stay(spark):
+    old = spark.createDataFrame([(1, "x", "y"), (2, "p", "q")], "k LONG, a STRING, b STRING")
+    new = spark.createDataFrame([(1, "z"), (3, "n")], "k LONG, a STRING")
+    got = gr.upsert_nodes(new, "k", ("a",), old)
+    assert sorted(map(str, rows(got, "k", "a", "b"))) == sorted(map(str, [(1, "z", "y"), (2, "p", "q"), (3, "n", None)]))
+
+
 def test_key_violations(spark, graph, bronze):
     assert gr.key_violations(graph.nodes).isEmpty()
     bad = {"labels": g.labels(bronze),

@@ -1,5 +1,8 @@
 import json
+import os
+import time
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,8 @@ from linernotes.config import BronzeConfig, GoldConfig, load
 from linernotes import fixed_values as fv
 from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
-from linernotes.plans.refresh import read_graph, refresh
+from linernotes.operators import graph as gr
+from linernotes.plans.refresh import UnreadableFiles, read_graph, refresh, set_aside
 from linernotes.session import build_session, shared_folder
 from linernotes.sources import delivery, landing as ld, tables as tb
 from linernotes.streaming import bronze as br
@@ -42,6 +46,10 @@ def ids(spark, cfg):
     return sorted(r.id for r in tb.read_bronze(spark, cfg).select("id").collect())
 
 
+def ids_of(spark, cfg, column):
+    return sorted(r[0] for r in tb.read_bronze(spark, cfg).select(column).collect())
+
+
 def test_stream_plan(spark, cfg):
     c = cfg()
     put(c, "a.json", album(1))
@@ -91,14 +99,54 @@ def test_replayed_batch_replaces_itself(spark, cfg):
     br.run_bronze(spark, c)
     assert ids(spark, c) == [1, 2, 3]
     for batch in (0, 1):
-        rows = tb.read_bronze(spark, c).where(F.col(fv.BATCH_COLUMN) == batch).drop(fv.BATCH_COLUMN)
+        rows = tb.read_bronze(spark, c).where(F.col(fv.BATCH_COLUMN) == batch)
+        rows = rows.drop(fv.INGEST_COLUMN, fv.BATCH_COLUMN)
         copy = spark.createDataFrame(rows.collect(), rows.schema)
-        br.append_batch(copy, batch, c)
-        br.append_batch(copy, batch, c)
+        br.append_batch(copy, batch, c, br.ingest_id(spark, c))
+        br.append_batch(copy, batch, c, br.ingest_id(spark, c))
     assert ids(spark, c) == [1, 2, 3]
     assert "label" in tb.read_bronze(spark, c).columns
 
 
+def test_old_files_are_read_too(spark, cfg):
+    c = cfg()
+    put(c, "a.json", album(1))
+    br.run_bronze(spark, c)
+    put(c, "b.json", album(2))
+    old = time.time() - 400 * 86_400
+    os.utime(f"{c.landing}/b.json", (old, old))
+    put(c, "c.json", album(3))
+    br.run_bronze(spark, c)
+    assert ids(spark, c) == [1, 2, 3]
+
+
+def test_a_new_checkpoint_replaces_nothing(spark, cfg, tmp_path):
+    c = cfg()
+    put(c, "a.json", album(1))
+    put(c, "b.json", album(2))
+    br.run_bronze(spark, c)
+    (tmp_path / "landing" / "a.json").unlink()
+    (tmp_path / "landing" / "b.json").unlink()
+    put(c, "c.json", album(3))
+    second = replace(c, checkpoint=str(tmp_path / "checkpoint2"))
+    table, _, _ = br.run_bronze(spark, second)
+    assert ids(spark, second) == [1, 2, 3] and spark.table(table).count() == 3
+    assert tb.read_bronze(spark, c).select(fv.INGEST_COLUMN).distinct().count() == 2
+
+
+def test_new_partitions_are_added_without_a_listing(spark, cfg, monkeypatch):
+    c = cfg(max_files_per_trigger=1)
+    put(c, "a.json", album(1))
+    br.run_bronze(spark, c)
+    monkeypatch.setattr(type(spark.catalog), "recoverPartitions", None)
+    put(c, "b.json", album(2))
+    put(c, "c.json", album(3))
+    table, _, _ = br.run_bronze(spark, c)
+    assert spark.table(table).count() == 3
+    br.run_bronze(spark, c)
+    assert spark.table(table).count() == 3
+
+
 def test_multi_line_files(spark, cfg):
     c = cfg(reader_options={"multiLine": "true"})
     put(c, "a.json", json.dumps(album(1), indent=4))
@@ -122,6 +170,10 @@ def test_inferred_schema(spark, cfg):
     put(c, "a.json", {"k": 1, "name": "n"})
     br.run_bronze(spark, c)
     assert tb.read_bronze(spark, c).select("k", "name").first() == (1, "n")
+    # Inferred once: what came later doesn't change it.
+    put(c, "b.json", {"k": 2, "name": "m", "later": True})
+    br.run_bronze(spark, c)
+    assert "later" not in tb.read_bronze(spark, c).columns and ids_of(spark, c, "k") == [1, 2]
 
 
 def test_first_write_clears_leftovers_and_later_ones_append(spark, cfg, tmp_path):
@@ -200,7 +252,7 @@ def test_refresh_end_to_end(spark, cfg, tmp_path, bronze):
     ld.write_albums(albums, f"{c.landing}/first")
     graph, counts = refresh(spark, c, gold, str(tmp_path / "graph" / "v1"))
     n = {r.table_name: r.rows for r in counts.collect()}
-    assert n["bronze"] == 2 and n["albums"] == 2 and n["works"] == 3
+    assert n["bronze"] == 2 and n["albums"] == 2 and n["works"] == 3 and n["quarantine"] == 0
     assert graph.plays_in.count() == 5
     ld.write_albums(bronze.where("id >= 3"), f"{c.landing}/second")
     old = read_graph(spark, str(tmp_path / "graph" / "v1"))
@@ -209,6 +261,65 @@ def test_refresh_end_to_end(spark, cfg, tmp_path, bronze):
     assert old.albums.count() == 2
 
 
+def test_refresh_equals_the_tables_one_by_one(spark, cfg, tmp_path, bronze):
+    c = cfg()
+    gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_shared")
+    ld.write_albums(bronze, f"{c.landing}/all")
+    refresh(spark, c, gold, str(tmp_path / "graph"))
+    rows = tb.read_bronze(spark, c)
+    for name, build in g.TABLES.items():
+        written = spark.read.parquet(f"{gold.path}/{name}")
+        want = build(rows).select(written.columns)
+        assert sorted(map(repr, written.collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_what_cannot_be_used_is_written_and_counted(spark, cfg, tmp_path):
+    c = cfg()
+    put(c, "a.json", album(1, tracklist=["A"]), '{"id": 2, "title": ', {"title": "no id"})
+    gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_quarantine")
+    _, counts = refresh(spark, c, gold, str(tmp_path / "graph"))
+    n = {r.table_name: r.rows for r in counts.collect()}
+    assert (n["bronze"], n["quarantine"], n["albums"]) == (3, 2, 1)
+    texts = [r[0] for r in spark.read.parquet(c.quarantine).select(fv.CORRUPT_COLUMN).collect()]
+    assert '{"id": 2, "title": ' in texts
+
+
+def test_a_file_without_a_readable_record_stops_the_refresh(spark, cfg, tmp_path):
+    c = cfg()
+    put(c, "a.json", json.dumps(album(1), indent=4))
+    put(c, "b.json", album(2))
+    gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_unreadable")
+    with pytest.raises(UnreadableFiles, match="a.json"):
+        refresh(spark, c, gold, str(tmp_path / "graph"))
+    assert spark.read.parquet(c.quarantine).count() > 0
+    good = set_aside(spark, tb.read_bronze(spark, c), replace(c, allow_unreadable_files=True))
+    assert [r.id for r in good.collect()] == [2]
+
+
+def test_refresh_with_an_own_load_map(spark, cfg, tmp_path, bronze):
+    specs = gr.load_map({
+        "nodes": [
+            {"name": "records", "table": "albums", "key": "album_id", "props": ["title"]},
+            {"name": "records", "table": "tracks", "key": "album_id", "props": ["name"]},
+            {"name": "people", "table": "artists", "key": "artist_id", "props": ["name"]},
+            {"name": "nothing", "table": "not_there", "key": "k", "props": []},
+        ],
+        "edges": [
+            {"name": "on", "table": "album_artist", "source": ["artist_id", "people"],
+             "target": ["album_id", "records"], "roles": [role]} for role in ("leader", "musician")
+        ],
+    })
+    c = cfg()
+    gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_own_map")
+    ld.write_albums(bronze, f"{c.landing}/all")
+    graph, _ = refresh(spark, c, gold, str(tmp_path / "graph"), None, *specs)
+    assert graph.skipped == {"nothing": "no such table"}
+    back = read_graph(spark, str(tmp_path / "graph"), *specs)
+    rows = {r.album_id: (r.title, r.name) for r in back.records.collect()}
+    assert rows[2] == ("Harbour", "Harbour") and rows[3] == ("Night", None) and len(rows) == 4
+    assert back.on.count() == 6
+
+
 def test_settings_from_json(tmp_path):
     path = tmp_path / "gold.json"
     path.write_text('{"path": "/x", "format": "orc"}')

@@ -14,7 +14,7 @@ def values(spark, f, *texts):
 
 def test_norm_text(spark):
     cases = {
-        "  ¿Qué   pasó?  ": "qu" + "e paso",
+        "  ¿Qué   pasó?  ": "que paso",
         "Señor-Blues": "senor blues",
         "a_b\tc": "a_b c",
         "Børn": "b rn",
