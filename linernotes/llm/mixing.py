@@ -126,7 +126,7 @@ def source_plan(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     by_block = Window.partitionBy("source").orderBy("block")
     opened = in_blocks.withColumn("upto", F.sum("in_block").over(by_block)).withColumn("before", F.col("upto") - F.col("in_block"))
     # The block in which the rest of the budget ends, and how much of it is left there: a row a source, broadcast.
-    ending = opened.filter("before < rest AND upto >= rest").select("source", "block", (F.col("rest") - F.col("before")).alias("left_over"))
+    ending = opened.filter("before <= rest AND upto > rest").select("source", "block", (F.col("rest") - F.col("before")).alias("left_over"))
     in_order = Window.partitionBy("source").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     at_end = (
         keyed.join(F.broadcast(ending), ["source", "block"]).withColumn("upto", F.sum("tokens").over(in_order))

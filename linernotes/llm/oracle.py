@@ -44,6 +44,48 @@ FROM met JOIN sizes USING (license_id) WHERE shared >= 0.8 * of_shingles
 """
 
 
+#: Entropy of normalised powers w of the shares is ln(sum w) - sum(w ln w) / sum w; its exponent is bisected
+#: forty times. Without a budget, the most repeated source comes (largest / smallest share) ** (1 - exponent) times.
+MIXING = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, text, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens
+  FROM documents
+), sizes AS MATERIALIZED (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens FROM words GROUP BY source
+), shares AS MATERIALIZED (
+  SELECT source, tokens, tokens / sum(tokens) OVER () AS share FROM sizes WHERE tokens > 0
+), facts AS MATERIALIZED (
+  SELECT count(*) AS n, ln(max(share) / min(share)) AS reach, -sum(share * ln(share)) AS plain FROM shares
+), bisected(i, low, high) AS (
+  SELECT 0, 0::DOUBLE, 1::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN found >= 0.97 * ln(n) THEN (low + high) / 2 ELSE low END, CASE WHEN found >= 0.97 * ln(n) THEN high ELSE (low + high) / 2 END
+  FROM (
+    SELECT i, low, high, n, (
+      SELECT ln(sum(pow(share, (low + high) / 2))) - sum(pow(share, (low + high) / 2) * ln(share)) * (low + high) / 2 / sum(pow(share, (low + high) / 2)) FROM shares
+    ) AS found FROM bisected, facts WHERE i < 40)
+), chosen AS MATERIALIZED (
+  SELECT CASE WHEN (1 - a) * reach > ln(2) THEN 1 - ln(2) / reach ELSE a END AS exponent FROM (
+    SELECT reach, CASE WHEN n < 2 OR plain >= 0.97 * ln(n) THEN 1 ELSE (SELECT low FROM bisected WHERE i = 40) END AS a FROM facts)
+), weighted AS MATERIALIZED (
+  SELECT source, tokens, pow(share, exponent) / sum(pow(share, exponent)) OVER () AS weight FROM shares, chosen
+), quotas AS MATERIALIZED (
+  SELECT source, tokens, weight, floor(weight * max(tokens / weight) OVER () + 1e-6)::BIGINT AS quota FROM weighted
+), plan AS MATERIALIZED (
+  SELECT source, weight, quota // tokens AS whole, quota % tokens AS rest FROM quotas
+  UNION ALL SELECT source, 0, 1, 0 FROM sizes WHERE tokens = 0
+), placed AS (
+  SELECT doc_id, source, weight, n_tokens, epoch, whole, rest,
+    md5(concat_ws('|', '11', epoch::VARCHAR, coalesce(doc_id::VARCHAR, 'text ' || md5(text)))) AS order_key
+  FROM (SELECT *, unnest(range(1, whole + 2)) AS epoch FROM words JOIN plan USING (source))
+), spent AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY order_key RANGE UNBOUNDED PRECEDING) AS upto FROM placed
+)
+SELECT doc_id, source, round(weight, 9) AS weight, epoch, ('0x' || substr(order_key, 1, 3))::INTEGER AS block, order_key, n_tokens
+FROM spent WHERE epoch <= whole OR (rest > 0 AND upto <= rest)
+"""
+
+
 #: crc32 byte by byte: DuckDB has no such function.
 SHARDING = """
 WITH crc_table AS MATERIALIZED (
@@ -69,4 +111,4 @@ FROM placed
 
 
 def sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}
+    return {"op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}
