@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +35,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: like ``cut``, and Spark knows its size.
+
+    For tables that are small as a rule but need not be: Spark then broadcasts them or not by what
+    they measure.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held_out(modulus: int, remainder: int, doc_id: Column | str = "doc_id") -> Column:
     """Whether crc32 of the id as text has this remainder; an id that is null is not held out."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linernotes.llm.common import cut, slices
+from linernotes.llm.common import cut, slices, stored
 
 #: Over a window of 20 words, every placement of up to four substitutions leaves a seed of one of these
 #: masks untouched (tests/llm/test_decontaminate.py tries them all).
@@ -184,5 +184,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold a benchmark item; rows without an id are kept or dropped by their text."""
     key = lambda: F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5("text")))
     keyed = docs.select("text", key().alias("doc_id"))
-    bad = cut(contaminated(keyed, benchmark).select(F.col("doc_id").alias("__bad")).distinct())
+    bad = stored(contaminated(keyed, benchmark).select(F.col("doc_id").alias("__bad")).distinct())
     return docs.join(bad, key() == F.col("__bad"), "left_anti")

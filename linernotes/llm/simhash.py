@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from linernotes.llm.common import LOWER_BYTES, cut
+from linernotes.llm.common import LOWER_BYTES, cut, stored
 
 #: Bits (first, count) of each tree's block.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
@@ -261,8 +261,10 @@ def keep_one(docs: DataFrame, bits: int = 4) -> DataFrame:
 
     Of rows that repeat an id one stays; rows without an id all stay.
     """
-    lost = cut(simhash_groups(docs, bits).filter("doc_id <> component_id").select("doc_id").distinct())
-    named = docs.filter("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti")
+    lost = stored(simhash_groups(docs, bits).filter("doc_id <> component_id").select("doc_id").distinct())
+    twice = stored(docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"))
+    once = docs.join(lost.unionByName(twice), "doc_id", "left_anti").select(docs.columns)
+    # Only rows whose id is repeated are put together by id.
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    kept = named.withColumn("_nth", first).filter("_nth = 1").select(docs.columns)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    repeated = docs.join(twice, "doc_id", "left_semi").join(lost, "doc_id", "left_anti")
+    return once.unionByName(repeated.withColumn("__nth", first).filter("__nth = 1").select(docs.columns))
