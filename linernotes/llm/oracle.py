@@ -25,6 +25,35 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: Equal words at equal distance, counted along each diagonal; then in windows of 20 words of it.
+DECONTAMINATE = r"""
+WITH items AS MATERIALIZED (
+  SELECT row_number() OVER () AS item, item_id, w, len(w) AS n_item, least(20, len(w)) AS win FROM (
+    SELECT item_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))
+), item_words AS MATERIALIZED (
+  SELECT item, win, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM items WHERE n_item >= 6
+), docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc, doc_id, w, len(w) AS n_doc FROM (
+    SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM documents WHERE text IS NOT NULL)
+), doc_words AS (
+  SELECT doc, generate_subscripts(w, 1) AS place, unnest(w) AS word FROM docs
+), hits AS MATERIALIZED (
+  SELECT doc, item, win, place - pos AS shift, list(pos) AS equal_at
+  FROM doc_words JOIN item_words USING (word) GROUP BY doc, item, win, place - pos HAVING count(*) >= ceil(0.8 * win)
+), spread AS (
+  SELECT doc, item, win, shift, unnest(equal_at) AS pos FROM hits
+), counted AS (
+  SELECT *, count(*) OVER (PARTITION BY doc, item, shift ORDER BY pos RANGE BETWEEN 19 PRECEDING AND CURRENT ROW) AS equal_words FROM spread
+)
+SELECT doc_id, item_id, max(equal_words)::INTEGER AS equal_words, max(c.win)::INTEGER AS "window"
+FROM counted c JOIN items USING (item) JOIN docs USING (doc)
+WHERE equal_words >= ceil(0.8 * c.win) AND least(n_doc, shift + n_item) - greatest(0, shift) >= c.win
+GROUP BY doc_id, item_id
+"""
+
+
 def license_scan() -> str:
     values = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in NOTICES)
     shingles = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
@@ -111,4 +140,4 @@ FROM placed
 
 
 def sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}
+    return {"op1_line_dedup": LINE_DEDUP, "op4_decontaminate": DECONTAMINATE, "op6_mixing": MIXING, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}

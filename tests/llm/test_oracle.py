@@ -42,3 +42,19 @@ def test_sql_twins_on_skewed_rows(spark, name, operator):
     got = operator(df)
     assert sorted(got.columns) == sorted(columns)
     assert plain(map(tuple, got.select(columns).collect())) == plain(found.fetchall())
+
+
+def test_decontamination_twin_on_exchanged_words(spark):
+    from linernotes.llm.decontaminate import contaminated
+    from tests.llm.test_decontaminate import case
+
+    docs, items = case()
+    items = [i for i in items if len(i[1].split()) >= 20]  # those whose windows are sure to be found
+    want = duckdb.connect()
+    want.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    want.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    want.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    sql = want.execute(oracle.sql()["op4_decontaminate"] + " ORDER BY ALL").fetchall()
+    df = spark.createDataFrame([row(*d) for d in docs], SCHEMA)
+    got = contaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert sql == sorted(map(tuple, got.drop("first_word").collect())) and len(sql) > 20
