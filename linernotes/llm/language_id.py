@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from linernotes.llm.common import VOCABULARY, held_out, read_bounded, slices, spread_pieces
+from linernotes.llm.common import VOCABULARY, held_out, read_bounded, slices, spread_pieces, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
@@ -165,12 +165,27 @@ def fit(samples: list[tuple[str, list[str]]], vocabulary_pieces: list[str], sett
     return Model(languages, vocabulary_pieces, p)
 
 
+def sample_ids(docs: DataFrame, settings: Fit) -> DataFrame:
+    """(doc_id, lang) of the documents of each language whose ids come first in the order of their hashes.
+
+    Counts by the hash's first bits say which part of that order can be in the sample; only that part is
+    put together by language, so a language of a third of all rows is no task's burden.
+    """
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(4, 2)).select("doc_id", "lang").distinct()
+    usable = usable.withColumn("hash", F.xxhash64("doc_id")).withColumn("part", F.shiftrightunsigned("hash", 52).cast("int"))
+    counts = usable.groupBy("lang", "part").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("part"))
+    last = F.min(F.when(F.col("upto") >= settings.docs_a_language, F.col("part")))
+    limits = stored(counts.withColumn("upto", upto).groupBy("lang").agg(F.coalesce(last, F.lit(1 << 12)).alias("last_part")))
+    early = usable.join(limits, "lang").filter("part <= last_part")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("part", "hash", "doc_id"))
+    return early.withColumn("nth", nth).filter(F.col("nth") <= settings.docs_a_language).select("doc_id", "lang")
+
+
 def learn(docs: DataFrame, settings: Fit = Fit(), vocabulary_path: str = VOCABULARY) -> Model:
     """Fits on the documents of each language whose ids have the smallest hashes, held-out ones left out."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(4, 2)).select("doc_id", "lang").distinct()
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sample = usable.withColumn("nth", nth).filter(F.col("nth") <= settings.docs_a_language).select("doc_id", "lang")
     # docs_a_language rows a language: bounded by the number of languages.
+    sample = stored(sample_ids(docs, settings))
     pieces = docs.select("doc_id", "text").join(sample, "doc_id").select(
         "lang", spread_pieces(F.coalesce("text", F.lit("")), settings.pieces, settings.chars).alias("pieces")
     )

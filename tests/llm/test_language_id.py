@@ -1,8 +1,9 @@
 import itertools
+import zlib
 
 import numpy as np
 
-from linernotes.llm.language_id import START, Model, Pieces, fit, language_of, long_word, vocabulary
+from linernotes.llm.language_id import START, Fit, Model, Pieces, fit, language_of, long_word, sample_ids, vocabulary
 from tests.llm.conftest import SCHEMA, row
 
 PIECES = [START, START + "a", "a", "b", "ab", "ba", START + "ab"]
@@ -52,6 +53,14 @@ def test_held_out_accuracy(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
 
 
+def test_sample_is_bounded_for_each_language(spark):
+    rows = [row(i, "text", lang) for i, lang in enumerate(["a"] * 3000 + ["b"] * 40 + ["c"] * 5)]
+    docs = spark.createDataFrame(rows + rows[:100], SCHEMA)
+    got = sample_ids(docs, Fit(docs_a_language=30)).groupBy("lang").count().collect()
+    b, c = (sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids) for ids in (range(3000, 3040), range(3040, 3045)))
+    assert {r["lang"]: r["count"] for r in got} == {"a": 30, "b": min(b, 30), "c": c}
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     got = language_of(odd_docs).collect()
     assert len(got) == odd_docs.count()
