@@ -23,9 +23,9 @@ class Shape:
     chunk: int = 256
     step: int = 224
     width: int = 8
-    stride: int = 4
+    stride: int = 2
     embedded: int = 8
-    filters: int = 16
+    filters: int = 32
 
     @property
     def positions(self) -> int:
@@ -34,12 +34,15 @@ class Shape:
 
 @dataclass(frozen=True)
 class Fit:
-    """sample_rows bounds the labelled rows that are fitted on, pieces what is seen of each."""
+    """sample_rows bounds the labelled rows that are fitted on, pieces what is seen of each.
+
+    The rarer class weighs more, by the root of how much rarer it is.
+    """
 
     sample_rows: int = 4000
     pieces: int = 8
     batch: int = 64
-    steps: int = 400
+    steps: int = 800
     rate: float = 0.01
     seed: int = 7
 
@@ -101,8 +104,8 @@ class Network:
         logit = self.combined(pooled, starts) @ self.w["combine"] + self.w["offset"]
         return 1 / (1 + np.exp(-logit.astype(np.float64)))
 
-    def gradients(self, rows: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean log loss."""
+    def gradients(self, rows: np.ndarray, starts: np.ndarray, labels: np.ndarray, weights: np.ndarray | float = 1.0) -> dict[str, np.ndarray]:
+        """Of the mean weighted log loss."""
         s, w = self.shape, self.w
         seen = self.windows(rows)
         answers = (seen.reshape(-1, seen.shape[2]) @ w["filters"]).reshape(*seen.shape[:2], -1)
@@ -110,7 +113,7 @@ class Network:
         raw = np.take_along_axis(answers, best[:, None, :], axis=1)[:, 0] + w["bias"]
         pooled = np.maximum(raw, 0)
         features = self.combined(pooled, starts)
-        error = (1 / (1 + np.exp(-(features @ w["combine"] + w["offset"]))) - labels) / len(labels)
+        error = (1 / (1 + np.exp(-(features @ w["combine"] + w["offset"]))) - labels) * weights / len(labels)
         counts = np.diff(np.append(starts, len(rows)))
         doc = np.repeat(np.arange(len(starts)), counts)
         back = error[:, None] * w["combine"][None, :]
@@ -154,6 +157,8 @@ def fit(samples: list[list[bytes]], labels: np.ndarray, settings: Fit = Fit(), s
         net.w["combine"][:] = 0
         return net
     rows = [np.concatenate([chunks_of(p, shape)[:1] for p in pieces or [b""]]) for pieces in samples]
+    odds = np.sqrt((1 - labels.mean()) / labels.mean())
+    weights = np.where(labels == 1, max(odds, 1), max(1 / odds, 1)).astype(np.float32)
     rng = np.random.default_rng(settings.seed)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
@@ -162,7 +167,7 @@ def fit(samples: list[list[bytes]], labels: np.ndarray, settings: Fit = Fit(), s
         own = [rows[i] for i in picked]
         starts = np.cumsum([0, *map(len, own[:-1])])
         rate = settings.rate * (1 - t / (settings.steps + 1))
-        for k, g in net.gradients(np.concatenate(own), starts, labels[picked]).items():
+        for k, g in net.gradients(np.concatenate(own), starts, labels[picked], weights[picked]).items():
             first[k] += 0.1 * (g - first[k])
             second[k] += 0.001 * (g * g - second[k])
             net.w[k] = (net.w[k] - rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
