@@ -104,7 +104,7 @@ def grouped(hits: list[tuple[int, int, int]], hashes: np.ndarray) -> list[tuple[
 
 
 def best_overlap(doc: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int]:
-    """(equal words, window length, position in doc) of the best window on any of the diagonals.
+    """(equal words, window length, position in doc) of the best window on any of the diagonals, the first of equals.
 
     A shift is a word's position in doc less that in item.
     """
@@ -116,7 +116,7 @@ def best_overlap(doc: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple
         equal = np.concatenate([[0], np.cumsum(doc[a:b] == item[a - shift : b - shift])])
         sums = equal[window:] - equal[:-window]
         i = int(sums.argmax())
-        if sums[i] > best[0]:
+        if (sums[i], -(a + i)) > (best[0], -best[2]):
             best = (int(sums[i]), window, a + i)
     return best
 
@@ -163,13 +163,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             yield pd.Series([[(a, w.tolist(), h) for a, w, h in r] for r in found], dtype=object)
 
     found = docs.select("doc_id", F.explode(regions("text")).alias("r")).select("doc_id", "r.*")
-    found = cut(found.withColumn("region", F.xxhash64("doc_id", "first", "words")))
-    hits = found.select("region", F.explode("hits").alias("h")).select("region", "h.*")
-    met = hits.join(index, ["mask", "seed"]).select("region", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
-    pairs = met.groupBy("region", "item").agg(F.collect_list("shift").alias("shifts"))
-    regions_met = found.select("region", "doc_id", "first", F.col("words").alias("doc_words")).dropDuplicates(["region"])
+    # 128 bits name a region: so many as a large corpus has would share some of 64.
+    region = ["region", "region_too"]
+    found = cut(found.withColumns({"region": F.xxhash64("doc_id", "first", "words"), "region_too": F.xxhash64(F.lit(1), "doc_id", "first", "words")}))
+    hits = found.select(*region, F.explode("hits").alias("h")).select(*region, "h.*")
+    met = hits.join(index, ["mask", "seed"]).select(*region, "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+    pairs = met.groupBy(*region, "item").agg(F.collect_list("shift").alias("shifts"))
+    regions_met = found.select(*region, "doc_id", "first", F.col("words").alias("doc_words")).dropDuplicates(region)
     compared = (
-        pairs.join(regions_met, "region").join(items.select("item", "item_id", "words"), "item")
+        pairs.join(regions_met, region).join(items.select("item", "item_id", "words"), "item")
         .withColumn("o", F.pandas_udf(overlap, "struct<equal:int,window:int,at:int>")("doc_words", "words", "shifts"))
         .filter(F.col("o.equal") >= F.ceil(F.col("o.window") * SHARE))
     )
