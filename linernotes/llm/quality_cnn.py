@@ -177,19 +177,21 @@ def fit(samples: list[list[bytes]], labels: np.ndarray, settings: Fit = Fit(), s
 def learn(docs: DataFrame, labels: DataFrame, settings: Fit = Fit(), shape: Shape = SHAPE) -> Network:
     """Fits on a bounded sample of the labelled documents that are not held out.
 
-    The sample is the rows whose ids have the smallest hashes. Labels without a value or a document
-    don't count; of repeated labels of one document the mean decides.
+    The sample is the documents whose ids have the smallest hashes, of rows that repeat an id the one
+    with the smallest text. Labels without a value or a document don't count; of repeated labels of one
+    document the mean decides.
     """
     usable = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(5, 0))
     sample = (
         usable.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_rows)
     )
-    # At most sample_rows rows of two numbers.
-    pieces = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
-        "doc_id", "label", spread_pieces(F.coalesce("text", F.lit("")), settings.pieces, shape.chunk).alias("pieces")
+    # At most sample_rows rows of two numbers. Rows that repeat an id are one sample, so what is gathered is bounded too.
+    pieces = (
+        docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min(spread_pieces(F.coalesce("text", F.lit("")), settings.pieces, shape.chunk)).alias("pieces"))
     )
-    rows = sorted(pieces.collect(), key=lambda r: (r["doc_id"], r["pieces"]))
+    rows = sorted(pieces.collect(), key=lambda r: r["doc_id"])
     return fit([[p.encode() for p in r["pieces"]] for r in rows], np.array([r["label"] for r in rows], np.float32), settings, shape)
 
 
