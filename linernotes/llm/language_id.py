@@ -184,10 +184,11 @@ def sample_ids(docs: DataFrame, settings: Fit) -> DataFrame:
 
 def learn(docs: DataFrame, settings: Fit = Fit(), vocabulary_path: str = VOCABULARY) -> Model:
     """Fits on the documents of each language whose ids have the smallest hashes, held-out ones left out."""
-    # docs_a_language rows a language: bounded by the number of languages.
+    # docs_a_language rows a language: bounded by the number of languages. Rows that repeat an id in a language are one sample.
     sample = stored(sample_ids(docs, settings))
-    pieces = docs.select("doc_id", "text").join(sample, "doc_id").select(
-        "lang", spread_pieces(F.coalesce("text", F.lit("")), settings.pieces, settings.chars).alias("pieces")
+    pieces = (
+        docs.select("doc_id", "lang", "text").join(sample, ["doc_id", "lang"])
+        .groupBy("doc_id", "lang").agg(F.min(spread_pieces(F.coalesce("text", F.lit("")), settings.pieces, settings.chars)).alias("pieces"))
     )
     return fit(sorted((r["lang"], r["pieces"]) for r in pieces.collect()), vocabulary(vocabulary_path), settings)
 
