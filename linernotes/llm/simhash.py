@@ -19,7 +19,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from linernotes.llm.common import LOWER_BYTES, cut, stored
 
@@ -259,12 +258,12 @@ def simhash_groups(docs: DataFrame, bits: int = 4, shard_rows: int = SHARD_ROWS)
 def keep_one(docs: DataFrame, bits: int = 4) -> DataFrame:
     """docs without near-duplicates: of each component the document with the smallest id stays.
 
-    Of rows that repeat an id one stays; rows without an id all stay.
+    Of rows that repeat an id one with the smallest text stays; rows without an id all stay.
     """
     lost = stored(simhash_groups(docs, bits).filter("doc_id <> component_id").select("doc_id").distinct())
     twice = stored(docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"))
     once = docs.join(lost.unionByName(twice), "doc_id", "left_anti").select(docs.columns)
-    # Only rows whose id is repeated are put together by id.
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    # Only rows whose id is repeated are put together by id, on the map side first.
     repeated = docs.join(twice, "doc_id", "left_semi").join(lost, "doc_id", "left_anti")
-    return once.unionByName(repeated.withColumn("__nth", first).filter("__nth = 1").select(docs.columns))
+    least = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias("__row")
+    return once.unionByName(repeated.groupBy("doc_id").agg(least).select("__row.*"))
