@@ -7,6 +7,7 @@ are joined by hash; around each hit the two texts are compared word by word alon
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,26 @@ from linernotes.llm.common import cut, slices, stored
 #: Over a window of 20 words, every placement of up to four substitutions leaves a seed of one of these
 #: masks untouched (tests/llm/test_decontaminate.py tries them all).
 MASKS = ("111111", "1010011101", "101001100011")
-SPAN = max(map(len, MASKS))
+#: Masks of items by their number of words, where those above aren't sure: whatever words of the item are
+#: exchanged, up to the allowed number, leave a seed of one of them. Other lengths use MASKS.
+SHORT_MASKS = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",),
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("111111", "1111011", "1101111"),
+    9: ("1111011", "1101111"),
+    10: ("11111", "111011", "11010011"),
+    11: ("111111", "1110111", "1011111", "111001011"),
+    12: (*MASKS, "11101011"),
+    13: (*MASKS, "1111101"),
+    15: (*MASKS, "1110101001"),
+}
+#: Every mask; its place here is its number.
+ALL_MASKS = tuple(dict.fromkeys(m for masks in (MASKS, *SHORT_MASKS.values()) for m in masks))
+SPAN = max(map(len, ALL_MASKS))
+#: Items of fewer words are left out, unless a caller asks for them.
+SHORTEST = 6
 #: Words compared around a hit, and the share of them that must be equal.
 WINDOW, SHARE = 20, 0.8
 #: Words that are kept on either side of a hit for the comparison.
@@ -28,15 +48,20 @@ CONTEXT = 2 * WINDOW
 #: Bits of the filter that spares documents' seeds the shuffle: 2 MB, whatever the benchmark's size. A
 #: fuller filter lets more seeds through to the join, which decides.
 SLOT_BITS = 24
-#: Separators of words: ASCII that is neither letter nor digit. Other characters belong to words.
+#: Separators of words: ASCII that is neither letter nor digit. Other characters belong to words, but each
+#: character of a script that is written without spaces (Thai, Lao, Tibetan, Burmese, Khmer, kana, Han) is a word.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 TO_SPACE = bytes.maketrans(SEPARATORS, b" " * len(SEPARATORS))
+UNSPACED = re.compile("[\u0e01-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text, lower-cased."""
-    words = (text or "").lower().encode().translate(TO_SPACE).split()
+    text = (text or "").lower()
+    if not text.isascii():
+        text = UNSPACED.sub(r" \g<0> ", text)
+    words = text.encode().translate(TO_SPACE).split()
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
@@ -67,15 +92,16 @@ def hashes_of(texts: pd.Series) -> pd.Series:
 def seeds_of(texts: pd.Series) -> pd.Series:
     def rows(text: str | None) -> list[tuple[int, int, int]]:
         hashes = word_hashes(text)
-        return [(m, int(s), i) for m, mask in enumerate(MASKS) for i, s in enumerate(seeds(hashes, mask).view(np.int64))]
+        masks = SHORT_MASKS.get(len(hashes), MASKS)
+        return [(ALL_MASKS.index(mask), int(s), i) for mask in masks for i, s in enumerate(seeds(hashes, mask).view(np.int64))]
 
     return texts.map(rows)
 
 
-def regions_of(texts: list[str | None], filled: np.ndarray) -> list[list[tuple[int, np.ndarray, list[tuple[int, int, int]]]]]:
+def regions_of(texts: list[str | None], filled: np.ndarray, masks: list[int]) -> list[list[tuple[int, np.ndarray, list[tuple[int, int, int]]]]]:
     """For each text, (first word, word hashes, hits (mask, seed, position in the region)) of each stretch
 
-    with seeds that pass the filter, with context on both sides. Works through whole texts.
+    with seeds of the given masks that pass the filter, with context on both sides. Works through whole texts.
     """
     # Between two texts lies a gap as long as a mask: a seed over the end sees it at the mask's last one.
     gap = np.arange(1, SPAN + 1, dtype=np.uint64)
@@ -83,8 +109,8 @@ def regions_of(texts: list[str | None], filled: np.ndarray) -> list[list[tuple[i
     starts = np.cumsum([0, *(len(h) + SPAN for h in own)])
     joined = np.concatenate([x for h in own for x in (h, gap)]) if own else gap
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    for m, mask in enumerate(MASKS):
-        seed = seeds(joined, mask)
+    for m in masks:
+        seed = seeds(joined, ALL_MASKS[m])
         at = passing(seed, filled)
         doc = np.searchsorted(starts, at, side="right") - 1
         for d, p, s in zip(doc.tolist(), (at - starts[doc]).tolist(), seed[at].view(np.int64).tolist()):
@@ -141,25 +167,25 @@ def seed_filter(index: DataFrame) -> np.ndarray:
     return filled
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """(doc_id, item_id, first_word, equal_words, window) where a document holds a benchmark item's words.
 
     An item counts if in some window of 20 of its words (all of it, if it is shorter) at least 80 % are
-    equal at their places; the row names the document's first such window's best. Items of fewer words
-    than a mask has are matched by the shorter masks only, those under six words never. Null and empty
-    texts hold nothing. Repeated rows and repeated items give one row; rows without an id give a row with
+    equal at their places; the row names the document's first such window's best. Items of fewer than
+    ``shortest`` words are left out; from one word on, all are found. Null and empty texts hold nothing. Repeated rows and repeated items give one row; rows without an id give a row with
     a null id, items without an id likewise. Empty tables give no rows.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").distinct()
-    items = cut(items.withColumn("item", F.xxhash64("item_id", "text")).withColumn("words", F.pandas_udf(hashes_of, "array<long>")("text")).select("item", "item_id", "words", "text"))
+    items = cut(items.withColumn("item", F.xxhash64("item_id", "text")).withColumn("words", F.pandas_udf(hashes_of, "array<long>")("text")).filter(F.size("words") >= shortest).select("item", "item_id", "words", "text"))
     index = cut(items.select("item", F.explode(F.pandas_udf(seeds_of, "array<struct<mask:int,seed:long,pos:int>>")("text")).alias("s")).select("s.mask", "s.seed", "item", F.col("s.pos").alias("item_pos")))
     sent = spark.sparkContext.broadcast(seed_filter(index))
+    masks = sorted(r["mask"] for r in index.select("mask").distinct().collect())  # those of ALL_MASKS that some item needs
 
     @F.pandas_udf("array<struct<first:int,words:array<long>,hits:array<struct<mask:int,seed:long,pos:int>>>>")
     def regions(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in series:
-            found = [r for part in slices(texts, 1 << 22) for r in regions_of(part, sent.value)]
+            found = [r for part in slices(texts, 1 << 22) for r in regions_of(part, sent.value, masks)]
             yield pd.Series([[(a, w.tolist(), h) for a, w, h in r] for r in found], dtype=object)
 
     found = docs.select("doc_id", F.explode(regions("text")).alias("r")).select("doc_id", "r.*")

@@ -1,7 +1,10 @@
 import itertools
+import math
 import random
 
-from linernotes.llm.decontaminate import MASKS, WINDOW, contaminated, drop_contaminated
+import pytest
+
+from linernotes.llm.decontaminate import MASKS, SHARE, SHORT_MASKS, WINDOW, contaminated, drop_contaminated
 from tests.llm.conftest import SCHEMA, prose, row
 
 
@@ -82,3 +85,44 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert drop_contaminated(odd_docs, own).count() == odd_docs.count() - 4
 
 
+@pytest.mark.parametrize("n", range(1, WINDOW))
+def test_masks_of_short_items_survive_the_allowed_substitutions(n):
+    seeds = [{s + i for i, b in enumerate(m) if b == "1"} for m in SHORT_MASKS.get(n, MASKS) for s in range(n - len(m) + 1)]
+    for changed in itertools.combinations(range(n), n - math.ceil(n * SHARE)):
+        assert any(seed.isdisjoint(changed) for seed in seeds)
+
+
+def test_short_items_of_every_length(spark):
+    """Each placement (of those of many, some) of the allowed substitutions is found, of one more not."""
+    rng = random.Random(8)
+    fresh = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n)]
+    items = [(n, " ".join(fresh(n))) for n in range(1, WINDOW)]
+    docs, want = [], set()
+    for n, passage in items:
+        allowed = n - math.ceil(n * SHARE)
+        for k in range(allowed + 2):
+            places = list(itertools.combinations(range(n), k))
+            for changed in rng.sample(places, min(60, len(places))):
+                words = passage.split()
+                for i in changed:
+                    words[i] = fresh(1)[0]
+                docs.append((len(docs), " ".join(fresh(rng.choice([0, 3, 50])) + words + fresh(rng.choice([0, 2, 60])))))
+                if k <= allowed:
+                    want.add((docs[-1][0], n))
+    # The places of an item of 15 words that the three masks miss.
+    words = items[14][1].split()
+    docs.append((len(docs), " ".join(fresh(1)[0] if i in (2, 7, 9) else w for i, w in enumerate(words))))
+    want.add((docs[-1][0], 15))
+    df = spark.createDataFrame([row(*d) for d in docs], SCHEMA)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(df, bench, shortest=1).collect()} == want
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(df, bench).collect()} == {(d, n) for d, n in want if n >= 6}
+
+
+def test_scripts_without_spaces(spark):
+    passage = "今日は天気がとても良いので公園まで散歩に行きました"
+    changed = passage.replace("公園", "学校")
+    docs = [(1, "前置き" + passage + "後書き"), (2, "序文。" + changed), (3, "全く別の文章で、何も同じではありません"), (4, passage[:12])]
+    df = spark.createDataFrame([row(*d) for d in docs], SCHEMA)
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    assert {r["doc_id"] for r in contaminated(df, bench).collect()} == {1, 2}
