@@ -123,14 +123,16 @@ def _pick(values: list[str]) -> str:
     return f"element_at(array({quoted}), l_linenumber)"
 
 
-# Ids of a line's releases: its number, then the place of part and supplier among the line's.
+# Ids of a line's first releases: its number, then the place of part and supplier among the line's, which is
+# less than this. The others' ids are negative hashes of the whole key, so no line runs into the next one's ids.
 RELEASES_A_LINE = 1000
 
 
 def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per distinct (order, line number, part, supplier): id, names, first ship date.
 
-    A line number comes a few times in an order; the window orders those few rows.
+    The window orders only a line's first releases: Spark cuts each partition's rows of a line down to these
+    before they meet.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -139,8 +141,11 @@ def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("l_returnflag").alias("flag"), F.year(F.min("l_shipdate")).alias("ship_year")
     )
     place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey"))
+    first = lines.select(*keys, place.alias("place")).where(F.col("place") < RELEASES_A_LINE)
+    rid = f"""coalesce((l_orderkey * 10 + l_linenumber) * {RELEASES_A_LINE} + place,
+                      -1 - (xxhash64({", ".join(keys)}) & {(1 << 63) - 1}))"""
     return (
-        lines.withColumn("rid", F.expr(f"(l_orderkey * 10 + l_linenumber) * {RELEASES_A_LINE}") + place)
+        lines.join(first, keys, "left").withColumn("rid", F.expr(rid)).drop("place")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumnRenamed("p_brand", "brand")

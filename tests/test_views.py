@@ -1,0 +1,43 @@
+"""The catalogue documents derived from the given tables, where an order is far larger than the given ones."""
+
+import pytest
+
+from testbed import views
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """An order with 1500 releases in its first line, and two small ones."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    lines = [(1, 1, p, s) for p in range(1, 151) for s in range(1, 11)] + [(1, 2, 1, 1), (1, 2, 1, 1), (1, 7, 3, 2), (2, 1, 2, 2)]
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"
+    spark.createDataFrame(lines, line).selectExpr("*", "'N' AS l_returnflag", "timestamp'1997-01-01' AS l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(1, 151).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name", "'Brand#1' AS p_brand").write.parquet(f"{folder}/part.parquet")
+    spark.range(1, 11).selectExpr("id AS s_suppkey", "concat('Supplier#', id) AS s_name").write.parquet(f"{folder}/supplier.parquet")
+    spark.range(1, 4).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "timestamp'1997-01-01' AS o_orderdate", "'5-LOW' AS o_orderpriority"
+    ).write.parquet(f"{folder}/orders.parquet")
+    return folder
+
+
+def test_each_release_has_an_id_of_its_own(spark, tables):
+    rows = views.release_rows(spark, tables).collect()
+    assert len(rows) == 1503
+    assert len({r["rid"] for r in rows}) == 1503
+    ids = {(r["l_orderkey"], r["l_linenumber"], r["l_partkey"], r["l_suppkey"]): r["rid"] for r in rows}
+    assert (ids[1, 1, 1, 1], ids[1, 1, 1, 2], ids[1, 2, 1, 1], ids[2, 1, 2, 2]) == (11001, 11002, 12001, 21001)
+
+
+def test_masters_meet_their_own_releases(spark, tables):
+    releases = views.releases(spark, tables)
+    met = views.masters(spark, tables).selectExpr("id", "explode(array(main_release_url, most_recent_release_url)) AS url").join(releases, "url")
+    assert sorted((r["id"], r["title"]) for r in met.collect()) == [
+        (1, "PART 1 Album"), (1, "PART 3 Album"), (2, "PART 2 Album"), (2, "PART 2 Album")
+    ]
+    own = releases.where("url = 'https://catalogue.test/releases/12001'").collect()
+    assert [r["title"] for r in own] == ["PART 1 Album"]
+
+
+def test_a_large_line_is_cut_down_before_it_is_sorted(spark, tables):
+    plan = views.release_rows(spark, tables)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
