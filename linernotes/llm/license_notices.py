@@ -10,7 +10,22 @@ NOTICES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("Apache-2.0-notice", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
     ("MIT-permission", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
+    # Of the GNU headers, the part that names licence and version; the rest is common to them, and another name or version
+    # costs more than a fifth of these shingles. The full GPL, LGPL-2 and AGPL texts hold theirs in the appendix.
+    ("GPL-3.0-header", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("GPL-2.0-header", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License"),
+    ("LGPL-3.0-header", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("LGPL-2.1-header", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License"),
+    ("LGPL-2.0-header", "under the terms of the GNU Library General Public License as published by the Free Software Foundation, either version 2 of the License"),
+    ("AGPL-3.0-header", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("BSD-2-Clause", "other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("EPL-1.0", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at"),
 ]
