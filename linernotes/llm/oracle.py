@@ -139,5 +139,117 @@ FROM placed
 """
 
 
+def manifest(source_levels: int = 6, root_levels: int = 5) -> str:
+    """Levels written out: up to 16 ** 6 rows a source and 16 ** 5 sources."""
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE octet_length(encode({column}::VARCHAR))::VARCHAR || ':' || {column}::VARCHAR END"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = f"translate(text, {AZ})"
+    parts = [f"""
+crc_table AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS c
+    FROM range(256) r(b))
+), leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce('=' || source, '') AS tree, sha256({head} || {field("text")}) AS leaf,
+    CASE WHEN text IS NOT NULL AND xor(list_reduce(
+      list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::UBIGINT)),
+      lambda c, x: xor(c >> 8, t[(xor(c & 255, x) + 1)::BIGINT])), 4294967295::UBIGINT) % 5 = 0
+    THEN sha256({head} || {field(lowered)}) END AS changed
+  FROM documents, crc_table
+), a0 AS MATERIALIZED (
+  SELECT row_id, tree, leaf AS node, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+)"""]
+
+    def levels(name: str, count: int) -> None:
+        for i in range(count):
+            parts.append(f""", {name}{i + 1} AS MATERIALIZED (
+  SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE min(node) END AS node
+  FROM {name}{i} GROUP BY tree, pos // 16, n
+), {name}_by{i} AS MATERIALIZED (
+  SELECT x.tree, x.pos, coalesce(string_agg(y.node, '' ORDER BY y.pos) FILTER (WHERE y.pos < x.pos), '') AS lft,
+    coalesce(string_agg(y.node, '' ORDER BY y.pos) FILTER (WHERE y.pos > x.pos), '') AS rgt
+  FROM {name}{i} x JOIN {name}{i} y ON x.tree = y.tree AND x.pos // 16 = y.pos // 16 WHERE x.n > 1 GROUP BY x.tree, x.pos
+)""")
+
+    def folds(name: str, count: int, before: str, start: str) -> str:
+        for i in range(count):
+            parts.append(f""", {name}_fold{i} AS MATERIALIZED (
+  SELECT f.* REPLACE (f.pos // 16 AS pos, f.proof || coalesce(s.lft || s.rgt, '') AS proof,
+    CASE WHEN s.lft IS NULL THEN f.node ELSE sha256(s.lft || f.node || s.rgt) END AS node)
+  FROM {before if i == 0 else f'{name}_fold{i - 1}'} f LEFT JOIN {name}_by{i} s ON f.{start} = s.tree AND f.pos = s.pos
+)""")
+        return f"{name}_fold{count - 1}"
+
+    levels("a", source_levels)
+    parts.append(f""", b0 AS MATERIALIZED (
+  SELECT '' AS tree, tree AS name, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM a{source_levels}
+)""")
+    levels("b", root_levels)
+    parts.append(""", start AS MATERIALIZED (
+  SELECT l.row_id, l.doc_id, l.leaf, l.tree, '' AS top, a0.pos, coalesce(l.changed, l.leaf) AS node, '' AS proof FROM leaves l JOIN a0 USING (row_id)
+)""")
+    last = folds("a", source_levels, "start", "tree")
+    parts.append(f""", between AS MATERIALIZED (
+  SELECT f.* REPLACE (b0.pos AS pos), b0.node AS subroot FROM {last} f JOIN b0 ON f.tree = b0.name
+)""")
+    last = folds("b", root_levels, "between", "top")
+    return f"""WITH {''.join(parts)}
+SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256, f.node AS folded_root, f.node = r.node AS verified
+FROM {last} f, b{root_levels} r
+"""
+
+
+COLLOCATIONS = rf"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {AZ}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS gram, count(*) AS n
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) t(k)) GROUP BY ALL
+), longer AS (
+  SELECT lang, gram, max(n) AS n FROM (
+    SELECT lang, regexp_extract(gram, '^[^ ]+ [^ ]+') AS gram, n FROM f WHERE k = 3 AND n >= 10
+    UNION ALL SELECT lang, regexp_extract(gram, '[^ ]+ [^ ]+$'), n FROM f WHERE k = 3 AND n >= 10) GROUP BY ALL
+), candidates AS (
+  SELECT f.* FROM f LEFT JOIN longer o ON f.lang = o.lang AND f.gram = o.gram
+  WHERE k >= 2 AND f.n >= 10 AND NOT coalesce(100 * o.n >= 50 * f.n, false)
+), cuts AS (
+  SELECT lang, gram, n AS a, 1 AS at, regexp_extract(gram, '^[^ ]+') AS head, regexp_extract(gram, '^[^ ]+ (.*)$', 1) AS tail FROM candidates
+  UNION ALL SELECT lang, gram, n, 2, regexp_extract(gram, '^[^ ]+ [^ ]+'), regexp_extract(gram, '[^ ]+$') FROM candidates WHERE k = 3
+), scored AS (
+  SELECT c.lang, gram, a, at, l.n AS l, r.n AS r, 1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n) AS score
+  FROM cuts c JOIN (SELECT lang, gram AS head, n FROM f) l USING (lang, head) JOIN (SELECT lang, gram AS tail, n FROM f) r USING (lang, tail)
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, at) = 1
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank FROM lowest
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+)
+SELECT lang, rank::BIGINT AS rank, gram AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM placed JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+CHAT_FORMAT = r"""
+WITH said AS (
+  SELECT 0 AS planted, conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT 1, -1, NULL, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) t(turn, role)
+), escaped AS (
+  SELECT *, length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 32 AS chars FROM said
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM escaped GROUP BY planted, conv_id, own
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op1_line_dedup": LINE_DEDUP, "op4_decontaminate": DECONTAMINATE, "op6_mixing": MIXING, "op8_license_scan": license_scan(), "op9_sharding": SHARDING}
+    return {
+        "op1_line_dedup": LINE_DEDUP, "op4_decontaminate": DECONTAMINATE, "op6_mixing": MIXING, "op8_license_scan": license_scan(), "op9_sharding": SHARDING,
+        "op11_merkle_manifest": manifest(), "op12_collocations": COLLOCATIONS, "op13_chat_format": CHAT_FORMAT,
+    }
