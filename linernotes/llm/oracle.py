@@ -203,11 +203,15 @@ FROM {last} f, b{root_levels} r
 
 COLLOCATIONS = rf"""
 WITH pieces AS MATERIALIZED (
-  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
-    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {AZ}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+  SELECT lang, row_number() OVER () AS piece, list_filter(string_split_regex(text, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), {AZ}), '[.,;:!?\x0A-\x0D]')) AS text FROM documents)
+), walks AS MATERIALIZED (
+  SELECT lang, word AS one, word || ' ' || lead(word, 1) OVER walk AS two, word || ' ' || lead(word, 1) OVER walk || ' ' || lead(word, 2) OVER walk AS three
+  FROM (SELECT lang, piece, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM pieces) WINDOW walk AS (PARTITION BY piece ORDER BY pos)
 ), f AS MATERIALIZED (
-  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS gram, count(*) AS n
-  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) t(k)) GROUP BY ALL
+  SELECT lang, 1 AS k, one AS gram, count(*) AS n FROM walks GROUP BY ALL
+  UNION ALL SELECT lang, 2, two, count(*) FROM walks WHERE two IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, three, count(*) FROM walks WHERE three IS NOT NULL GROUP BY ALL
 ), longer AS (
   SELECT lang, gram, max(n) AS n FROM (
     SELECT lang, regexp_extract(gram, '^[^ ]+ [^ ]+') AS gram, n FROM f WHERE k = 3 AND n >= 10
@@ -216,13 +220,14 @@ WITH pieces AS MATERIALIZED (
   SELECT f.* FROM f LEFT JOIN longer o ON f.lang = o.lang AND f.gram = o.gram
   WHERE k >= 2 AND f.n >= 10 AND NOT coalesce(100 * o.n >= 50 * f.n, false)
 ), cuts AS (
-  SELECT lang, gram, n AS a, 1 AS at, regexp_extract(gram, '^[^ ]+') AS head, regexp_extract(gram, '^[^ ]+ (.*)$', 1) AS tail FROM candidates
+  SELECT lang, gram, n AS a, 1 AS k_cut, regexp_extract(gram, '^[^ ]+') AS head, regexp_extract(gram, '^[^ ]+ (.*)$', 1) AS tail FROM candidates
   UNION ALL SELECT lang, gram, n, 2, regexp_extract(gram, '^[^ ]+ [^ ]+'), regexp_extract(gram, '[^ ]+$') FROM candidates WHERE k = 3
-), scored AS (
-  SELECT c.lang, gram, a, at, l.n AS l, r.n AS r, 1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n) AS score
-  FROM cuts c JOIN (SELECT lang, gram AS head, n FROM f) l USING (lang, head) JOIN (SELECT lang, gram AS tail, n FROM f) r USING (lang, tail)
+), with_l AS MATERIALIZED (
+  SELECT c.*, p.n AS l FROM cuts c JOIN f p ON p.lang = c.lang AND p.gram = c.head
+), scored AS MATERIALIZED (
+  SELECT c.*, p.n AS r, 1000000::HUGEINT * a * a // (l::HUGEINT * p.n) AS score FROM with_l c JOIN f p ON p.lang = c.lang AND p.gram = c.tail
 ), lowest AS (
-  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, at) = 1
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k_cut) = 1
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, gram) AS rank FROM lowest
 ), totals AS (
