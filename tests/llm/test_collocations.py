@@ -89,7 +89,8 @@ def test_parts_of_any_size_count_alike(spark, together, segment):
 
 
 def tally(found, lang, batch):
-    for grams, numbers in zip(*(batch.columns[1:] if batch else ((), ()))):
+    for words, grams, numbers in zip(*(batch.columns[1:] if batch else ((), (), ()))):
+        assert all(len(g.split(" ")) == words.as_py() for g in grams.as_py().split("\n"))
         for gram, n in zip(grams.as_py().split("\n"), numbers.as_py()):
             found[lang, gram] += n
 
