@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig, GoldConfig
 from linernotes.operators import gold as g
 from linernotes.operators.graph import EDGES, NODES, EdgeSpec, Graph, NodeSpec, load
 from linernotes.operators.report import row_counts
 from linernotes.sources.tables import open_tables, read_bronze, write_gold, write_sorted
 from linernotes.streaming.bronze import run_bronze
+from linernotes.streaming.quarantine import raise_for_unreadable, read_quarantine
 
 # Each graph table is written in the order of the key it is looked up by. The second key lets the
 # rows of an artist, work or label with very many edges spread over several files and tasks.
@@ -126,26 +126,6 @@ def load_in_steps(
     )
 
 
-class UnreadableFiles(ValueError):
-    """Landed files without one readable record."""
-
-
-def set_aside(spark: SparkSession, rows: DataFrame, cfg: BronzeConfig) -> DataFrame:
-    """Write the rows that cannot be used to the quarantine folder; returns the good ones.
-
-    A file whose rows are all unreadable is taken for one read the wrong way (a record over several
-    lines without ``multiLine``, say) and stops the refresh, unless the settings allow it.
-    """
-    good, bad = g.split_corrupt(rows)
-    bad.write.mode("overwrite").parquet(cfg.quarantine)
-    if fv.CORRUPT_COLUMN in rows.columns and not cfg.allow_unreadable_files:
-        per_file = rows.groupBy("_ingested_filename").agg(F.count_if(F.col(fv.CORRUPT_COLUMN).isNull()).alias("readable"))
-        lost = [r[0] for r in per_file.where("readable = 0").select("_ingested_filename").limit(5).collect()]
-        if lost:
-            raise UnreadableFiles(f"no readable record in {lost}; for records over several lines set multiLine")
-    return good
-
-
 def refresh(
     spark: SparkSession,
     bronze: BronzeConfig,
@@ -157,12 +137,14 @@ def refresh(
 ) -> tuple[Graph, DataFrame]:
     """Ingest new files, rebuild gold, write the next graph version. Returns it and row counts.
 
-    What gold leaves out is counted as ``quarantine``; the graph names what it skipped.
+    What gold leaves out is counted as ``quarantine``; the graph names what it skipped. A file without a
+    readable record stops the refresh that ingests it, unless the settings allow it; the next one goes on.
     """
-    run_bronze(spark, bronze)
+    batches: list[tuple[str, int]] = []
+    run_bronze(spark, bronze, batches)
+    raise_for_unreadable(spark, bronze, batches)
     rows = read_bronze(spark, bronze)
-    write_gold_from(spark, set_aside(spark, rows, bronze), gold)
+    write_gold_from(spark, g.split_corrupt(rows)[0], gold)
     tables = read_gold_tables(spark, gold)
     graph = load_in_steps(spark, tables, graph_folder, existing, nodes, edges)
-    bad = spark.read.schema(rows.schema).parquet(bronze.quarantine)
-    return graph, row_counts({"bronze": rows, "quarantine": bad, **tables})
+    return graph, row_counts({"bronze": rows, "quarantine": read_quarantine(spark, bronze), **tables})

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig, GoldConfig
@@ -33,24 +33,15 @@ def open_tables(
     return {n: df for n, df in found.items() if df is not None}
 
 
-def bronze_schema(cfg: BronzeConfig) -> StructType | None:
-    """Columns of a bronze table as configured; None when they are left to the files."""
-    if cfg.schema is None:
-        return None
-    landed = StructType.fromDDL(cfg.schema)
-    if fv.CORRUPT_COLUMN not in landed.names:
-        landed = landed.add(fv.CORRUPT_COLUMN, "string")
-    schema = StructType.fromDDL("_ingested_at TIMESTAMP, _ingested_filename STRING")
-    batch = StructType([StructField(fv.INGEST_COLUMN, StringType()), StructField(fv.BATCH_COLUMN, LongType())])
-    return StructType([*schema, *landed, *batch])
-
-
 def read_bronze(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
     """Bronze rows. Columns added by later batches are null in the earlier ones.
 
-    With a configured schema that costs nothing; without one the footers of all files are merged.
+    With a schema, configured or learned, that costs nothing; without one the footers of all files are
+    merged.
     """
-    schema, reader = bronze_schema(cfg), spark.read.format(cfg.format)
+    from linernotes.streaming.schemas import bronze_schema
+
+    schema, reader = bronze_schema(spark, cfg), spark.read.format(cfg.format)
     reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
     return reader.load(cfg.path)
 
@@ -62,16 +53,26 @@ def register(
     format: str,
     partitioned: bool = False,
     new: list[str] | None = None,
+    schema: StructType | None = None,
 ) -> str:
     """Make an external table known to the catalog; repeating it changes nothing.
 
     ``new`` names the partitions (``a='x', b=1``) that may have come since it was last registered;
-    without it, or for a table not known yet, all folders are listed.
+    without it, or for a table not known yet, all folders are listed. A table whose columns are not those
+    of ``schema`` any more is made anew over the same files.
     """
     known = spark.catalog.databaseExists(table.split(".")[0]) and spark.catalog.tableExists(table)
     database = table.split(".")[0]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if not spark.catalog.tableExists(table):
+    if known and schema is not None and format != "delta":
+        shown = {f.name: f.dataType for f in spark.table(table).schema}
+        if any(shown.get(f.name) != f.dataType for f in schema):
+            spark.sql(f"DROP TABLE {table}")  # of an external table: the files stay
+            known = False
+    if not known and schema is not None and partitioned:
+        parts = f"{fv.INGEST_COLUMN}, {fv.BATCH_COLUMN}"
+        spark.sql(f"CREATE TABLE {table} ({schema.toDDL()}) USING {format} PARTITIONED BY ({parts}) LOCATION '{path}'")
+    elif not known:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {format} LOCATION '{path}'")
     if partitioned and known and new is not None:
         if new:
@@ -83,18 +84,32 @@ def register(
     return table
 
 
+def registered_batches(spark: SparkSession, cfg: BronzeConfig, ingest: str) -> set[int] | None:
+    """The batches of an ingest that the catalog shows; None if it does not know the table."""
+    database = cfg.table.split(".")[0]
+    if cfg.format == "delta" or not spark.catalog.databaseExists(database) or not spark.catalog.tableExists(cfg.table):
+        return None
+    shown = spark.sql(f"SHOW PARTITIONS {cfg.table} PARTITION ({fv.INGEST_COLUMN}='{ingest}')")
+    batch = F.regexp_extract("partition", f"{fv.BATCH_COLUMN}=([0-9]+)", 1).cast("long")
+    return {r["b"] for r in shown.select(batch.alias("b")).distinct().collect()}
+
+
 def ensure_bronze(
-    spark: SparkSession, cfg: BronzeConfig, written: list[tuple[str, int]] | None = None
+    spark: SparkSession,
+    cfg: BronzeConfig,
+    batches: list[tuple[str, int]] | None = None,
+    schema: StructType | None = None,
 ) -> tuple[str, str, str]:
     """Register the bronze table whenever data exists, also if this run brought none.
 
-    ``written`` are the (ingest, batch) partitions of this run, None if they are not known.
+    ``batches`` are the (ingest, batch) partitions to add, None if they are not known.
     """
     if open_table(spark, cfg.path, cfg.format) is not None:
         new = None
-        if written is not None and not cfg.partition_by and cfg.mode == "append":
-            new = [f"{fv.INGEST_COLUMN}='{i}', {fv.BATCH_COLUMN}={b}" for i, b in written]
-        register(spark, cfg.table, cfg.path, cfg.format, cfg.format != "delta", new)
+        if batches is not None and not cfg.partition_by and cfg.mode == "append":
+            new = [f"{fv.INGEST_COLUMN}='{i}', {fv.BATCH_COLUMN}={b}" for i, b in batches]
+        schema = None if cfg.partition_by else schema
+        register(spark, cfg.table, cfg.path, cfg.format, cfg.format != "delta", new, schema)
     return cfg.table, cfg.path, cfg.format
 
 

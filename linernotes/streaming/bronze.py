@@ -7,62 +7,81 @@ all landed files again, into partitions of its own, so nothing that was there is
 
 from __future__ import annotations
 
-import json
+import re
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.types import StructType
 
 from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig
 from linernotes.sources.landing import JSON_FILES
-from linernotes.sources.tables import ensure_bronze, open_table
+from linernotes.sources.tables import ensure_bronze, open_table, registered_batches
+from linernotes.streaming import quarantine, schemas
 
 
-def _schema(spark: SparkSession, cfg: BronzeConfig, options: dict[str, str]):
-    """The configured schema, or the one inferred when the first files were read.
+#: Of a stream of whole files; their content is not read unless it is asked for.
+FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
-    Inferring reads all that has landed, so its result is kept beside the checkpoint.
-    """
-    if cfg.schema is None:
-        place = f"{cfg.checkpoint.rstrip('/')}.schema"
-        kept = open_table(spark, place, "text")
-        if kept is not None:
-            return StructType.fromJson(json.loads(kept.first()["value"]))
-        schema = spark.read.options(**options).json(cfg.landing).schema
-        spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.text(place)
-        return schema
-    if fv.CORRUPT_COLUMN in cfg.schema:
-        return cfg.schema
-    return f"{cfg.schema}, {fv.CORRUPT_COLUMN} STRING"
-
-
-def read_landing(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
-    """Stream of landed JSON records.
 
-    Files are told apart by name alone, at any depth. Text that is not valid JSON, or does not fit
-    the schema, is kept in the corrupt column.
-    """
-    if cfg.source_format.lower() != "json":
-        raise ValueError(f"only json can be read, not {cfg.source_format!r}")
-    options = {
+def json_options(cfg: BronzeConfig) -> dict[str, str]:
+    return {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": fv.CORRUPT_COLUMN,
         "recursiveFileLookup": "true",
         "pathGlobFilter": JSON_FILES,
         **cfg.reader_options,
     }
-    schema = _schema(spark, cfg, options)
-    reader = spark.readStream.format("json").schema(schema).options(**options)
+
+
+def with_corrupt(schema: str | StructType) -> str | StructType:
+    if fv.CORRUPT_COLUMN in (schema if isinstance(schema, str) else schema.names):
+        return schema
+    column = StructType.fromDDL(f"{fv.CORRUPT_COLUMN} STRING")
+    return f"{schema}, {fv.CORRUPT_COLUMN} STRING" if isinstance(schema, str) else StructType([*schema, *column])
+
+
+def _landed(spark: SparkSession, cfg: BronzeConfig, format: str) -> DataStreamReader:
+    if cfg.source_format.lower() != "json":
+        raise ValueError(f"only json can be read, not {cfg.source_format!r}")
     return (
-        reader.option("fileNameOnly", True)
+        spark.readStream.format(format)
+        .options(**json_options(cfg))
+        .option("fileNameOnly", True)
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
         .option("maxFileAge", cfg.max_file_age)
-        .load(cfg.landing)
     )
 
 
+def read_landing(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
+    """Stream of landed JSON records, by the configured schema.
+
+    Files are told apart by name alone, at any depth. Text that is not valid JSON, or does not fit
+    the schema, is kept in the corrupt column.
+    """
+    reader = _landed(spark, cfg, "json")
+    if cfg.schema is None:
+        raise ValueError("a stream of records needs a schema; without one, batches of files are read")
+    return reader.schema(with_corrupt(cfg.schema)).load(cfg.landing)
+
+
+def read_files(spark: SparkSession, cfg: BronzeConfig, paths: list[str], schema: str | StructType) -> DataFrame:
+    """Landed records of the given files, with the ingestion columns."""
+    exact = [re.sub(r"([\\\[\]{}*?,])", r"\\\1", p) for p in paths]  # a path is read as a pattern
+    options = {k: v for k, v in json_options(cfg).items() if k not in ("pathGlobFilter", "recursiveFileLookup")}
+    return spark.read.schema(with_corrupt(schema)).options(**options).json(exact).transform(with_ingestion_columns)
+
+
+def read_learning(spark: SparkSession, cfg: BronzeConfig, paths: list[str], ingest: str, batch: int) -> DataFrame:
+    """Like ``read_files``, by the schema that these files' own fields are merged into."""
+    options = {k: v for k, v in json_options(cfg).items() if k not in ("pathGlobFilter", "recursiveFileLookup")}
+    exact = [re.sub(r"([\\\[\]{}*?,])", r"\\\1", p) for p in paths]
+    # A field that is null throughout says nothing of its type.
+    found = spark.read.options(**options).option("dropFieldIfAllNull", True).json(exact).schema
+    return read_files(spark, cfg, paths, schemas.advance(spark, cfg, found, ingest, batch).schema)
+
+
 def with_ingestion_columns(df: DataFrame) -> DataFrame:
     """When and from which file each row came, as the first two columns."""
     return df.select(
@@ -73,19 +92,20 @@ def with_ingestion_columns(df: DataFrame) -> DataFrame:
 
 
 def append_batch(
-    batch: DataFrame, batch_id: int, cfg: BronzeConfig, ingest: str = "direct"
+    batch: DataFrame, batch_id: int, cfg: BronzeConfig, ingest: str = "direct", started: bool = False
 ) -> None:
     """Write one batch into its own partition: a replayed batch replaces itself.
 
     ``ingest`` names the checkpoint that numbers the batches. The first write clears whatever lies
-    at the path. Only a batch 0 can be the first, so the later ones do not look.
+    at the path. Only a batch 0 can be the first, so the later ones do not look; nor does one that is
+    known to be ``started``.
     """
     if cfg.files_per_batch is None:
         batch = batch.hint("rebalance")
     else:
         # Not coalesce: that would also read the batch with so few tasks.
         batch = batch.repartition(cfg.files_per_batch)
-    started = batch_id > 0 or open_table(batch.sparkSession, cfg.path, cfg.format) is not None
+    started = started or batch_id > 0 or open_table(batch.sparkSession, cfg.path, cfg.format) is not None
     dynamic = started and cfg.mode == "append"
     options = dict(cfg.writer_options)
     if cfg.format == "delta":
@@ -112,16 +132,27 @@ def start_bronze(
 ) -> StreamingQuery:
     """Start ingesting every file not seen before; the query ends when they are done.
 
-    The partitions of the batches are added to ``written``.
+    Each batch's bad records are set aside. With a configured schema records are streamed; without one
+    the stream is of file names, at most ``max_files_per_trigger`` a batch, and each batch is read by what
+    its files add to the schema. The partitions of the batches are added to ``written``.
     """
-    rows = read_landing(spark, cfg).transform(with_ingestion_columns)
     own_id = cache(lambda: ingest_id(spark, cfg))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if cfg.schema is None:
+            paths = [r["path"] for r in batch.select("path").distinct().collect()]
+            if not paths:
+                return
+            batch = read_learning(spark, cfg, paths, own_id(), batch_id)
         append_batch(batch, batch_id, cfg, own_id())
+        quarantine.set_aside_batch(spark, cfg, own_id(), batch_id)
         if written is not None:
             written.append((own_id(), batch_id))
 
+    if cfg.schema is None:
+        rows = _landed(spark, cfg, "binaryFile").schema(FILES).load(cfg.landing).select("path")
+    else:
+        rows = read_landing(spark, cfg).transform(with_ingestion_columns)
     return (
         rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", cfg.checkpoint)
@@ -131,8 +162,46 @@ def start_bronze(
     )
 
 
-def run_bronze(spark: SparkSession, cfg: BronzeConfig) -> tuple[str, str, str]:
+def committed(spark: SparkSession, cfg: BronzeConfig) -> list[int]:
+    """Numbers of the batches in the checkpoint's commit log, which Spark keeps to the last hundred or so."""
+    log = open_table(spark, f"{cfg.checkpoint.rstrip('/')}/commits", "text")
+    if log is None:
+        return []
+    names = log.select(F.col("_metadata.file_name").alias("n")).distinct().where(F.col("n").rlike("^[0-9]+$"))
+    return sorted(int(r["n"]) for r in names.collect())
+
+
+def unregistered(spark: SparkSession, cfg: BronzeConfig) -> list[tuple[str, int]] | None:
+    """Committed batches that the catalog does not show, whichever run wrote them.
+
+    None if the log does not reach back to the last batch shown: then folders have to be listed.
+    """
+    known = registered_batches(spark, cfg, ingest_id(spark, cfg))
+    log = committed(spark, cfg)
+    if known is None or (log and log[0] > max(known, default=-1) + 1):
+        return None
+    return [(ingest_id(spark, cfg), b) for b in log if b not in known]
+
+
+def run_bronze(
+    spark: SparkSession, cfg: BronzeConfig, written: list[tuple[str, int]] | None = None
+) -> tuple[str, str, str]:
     """Ingest, wait for the end, register the table. Returns its name, path and format."""
-    written: list[tuple[str, int]] = []
     start_bronze(spark, cfg, written).awaitTermination()
-    return ensure_bronze(spark, cfg, written)
+    return ensure_bronze(spark, cfg, unregistered(spark, cfg), schemas.bronze_schema(spark, cfg))
+
+
+def repair(spark: SparkSession, cfg: BronzeConfig, files: list[str]) -> tuple[str, int]:
+    """Read repaired files: the records their first reading did not have come into bronze as a batch."""
+
+    def read(paths: list[str]) -> DataFrame:
+        if cfg.schema is None:
+            return read_learning(spark, cfg, paths, "repair", 0)
+        return read_files(spark, cfg, paths, cfg.schema)
+
+    def append(rows: DataFrame, batch: int, cfg: BronzeConfig, ingest: str) -> None:
+        append_batch(rows, batch, cfg, ingest, started=True)
+
+    batch = quarantine.repair(spark, cfg, read, append, files)
+    ensure_bronze(spark, cfg, [batch], schemas.bronze_schema(spark, cfg))
+    return batch

@@ -636,13 +636,16 @@ def sql() -> dict[str, str]:
       WHERE name NOT IN (SELECT string_split(path, '/')[-1] FROM raw_paths) GROUP BY name"""
     q["s1_listed_files"] = "SELECT s_suppkey || '.json' AS name FROM supplier WHERE s_suppkey % 2 = 1"
     q["s2b_multi_line"] = """SELECT doc_id AS id, text AS title, lang AS label FROM documents
-      UNION ALL SELECT NULL, NULL, 'set aside' FROM range(8)"""
+      UNION ALL SELECT NULL, NULL, 'no id' FROM range((SELECT greatest(8, (count(*) + 999) // 1000) FROM documents))"""
+    q["s2b_repaired_files"] = """SELECT doc_id AS id, text AS title,
+      (SELECT count(*) FROM documents WHERE lang = 'en')::INTEGER AS set_aside, 0::INTEGER AS "left" FROM documents"""
+    q["s8_broken_run"] = f"WITH {RECORDS} SELECT id, title, year FROM bronze"
     record = f"WITH {RECORDS} SELECT {_FLAT_RECORD} FROM bronze"
     for key in ("s2_json_stream", "s6_incremental", "s7_append", "s9_bronze_scan", "s14_album_json"):
         q[key] = record
     q["s2b_corrupt_records"] = """SELECT 'good' AS kind, count(*) AS rows, sum(doc_id)::BIGINT AS ids
       FROM documents WHERE lang <> 'en'
-      UNION ALL SELECT 'corrupt', count(*), NULL FROM documents WHERE lang = 'en'"""
+      UNION ALL SELECT 'unreadable record', count(*), NULL FROM documents WHERE lang = 'en'"""
     q["s3_format_guard"] = f"WITH {RECORDS} SELECT id, title FROM bronze"
     q["s4_ingestion_columns"] = f"""WITH {RECORDS} SELECT id, 0 AS at_position, 1 AS name_position,
       TRUE AS has_time, TRUE AS has_json_name FROM bronze"""
@@ -655,7 +658,9 @@ def sql() -> dict[str, str]:
       UNION ALL {counts}"""
     q["s13_schema_evolution"] = f"""WITH {RECORDS} SELECT id, title,
       CASE WHEN label = lower(label) THEN label END AS label,
-      CASE WHEN label = lower(label) THEN cover_url END AS cover_url FROM bronze WHERE label IS NOT NULL"""
+      CASE WHEN label = lower(label) THEN cover_url END AS cover_url,
+      CASE WHEN label = lower(label) THEN 2.5 ELSE 1 END::DOUBLE AS year FROM bronze WHERE label IS NOT NULL
+      UNION ALL SELECT count(*), 'no readable record in the file', NULL, NULL, 0 FROM bronze WHERE label = lower(label)"""
     q["s15_batched_sink"] = f"WITH {GRAPH} SELECT artist_id, album_id FROM plays_in"
     q["s16_session"] = "SELECT o_orderstatus AS status, 'on' AS setting, count(*) AS rows FROM orders GROUP BY 1"
     return q

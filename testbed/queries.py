@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,11 +13,12 @@ from linernotes.functions import credits as cr, labels as lb, text as tx
 from linernotes.functions.titles import clean_tracklist
 from linernotes.operators import curation as cu, gold as g, graph as gr, report, sessions as se
 from linernotes.operators import suggest
-from linernotes.plans.refresh import load_in_steps, read_gold_tables, read_graph, set_aside
+from linernotes.plans.refresh import load_in_steps, read_gold_tables, read_graph
 from linernotes.session import build_session
 from linernotes.sources import landing as ld, tables as tb
 from linernotes.sources.delivery import deliver
 from linernotes.streaming import bronze as br
+from linernotes.streaming.quarantine import read_quarantine
 from testbed import views as v, workspace as ws
 from testbed.oracle import ARTIST, ARTIST_2, KNOWN, WORK
 
@@ -664,23 +666,23 @@ def s2b_corrupt_records(spark, sf_dir):
     ).text(f"{folder}/text")
     cfg = ws.bronze_config(spark, f"{folder}/text", reader_options={"pathGlobFilter": "*.txt"})
     br.run_bronze(spark, cfg)
-    rows = tb.read_bronze(spark, cfg)
-    good = set_aside(spark, rows, cfg)
-    bad = spark.read.schema(rows.schema).parquet(cfg.quarantine)
-    n = F.count(F.lit(1)).alias("rows")
-    return good.agg(n, F.sum("id").alias("ids")).select(F.lit("good").alias("kind"), "rows", "ids").unionByName(
-        bad.agg(n, F.sum("id").alias("ids")).select(F.lit("corrupt").alias("kind"), "rows", "ids")
+    good, _ = g.split_corrupt(tb.read_bronze(spark, cfg))
+    bad = read_quarantine(spark, cfg)
+    counts = good.groupBy(F.lit("good").alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+    return counts.unionByName(
+        bad.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("ids"))
     )
 
 
 @query
 def s2b_multi_line(spark, sf_dir):
     """Files of indented records in a list, the last of which has no id."""
-    files = 8
+    docs = v.table(spark, sf_dir, "documents")
+    files = max(8, -(-docs.count() // 1000))  # a file is one JSON value, parsed by one task
     record = F.to_json(
         F.struct(F.col("doc_id").alias("id"), F.col("text").alias("title"), F.col("lang").alias("label")), {"pretty": "true"}
     )
-    docs = v.table(spark, sf_dir, "documents").select(
+    docs = docs.select(
         F.pmod("doc_id", F.lit(files)).alias("file"), F.lit(1).alias("part"), F.concat(record, F.lit(",")).alias("value")
     )
     ends = spark.range(files).select(
@@ -695,10 +697,10 @@ def s2b_multi_line(spark, sf_dir):
         spark, f"{folder}/text", reader_options={"pathGlobFilter": "*.txt", "multiLine": "true"}
     )
     br.run_bronze(spark, cfg)
-    rows = tb.read_bronze(spark, cfg)
-    good = set_aside(spark, rows, cfg).select("id", "title", "label")
-    lost = spark.read.schema(rows.schema).parquet(cfg.quarantine).select("id", "title", F.lit("set aside").alias("label"))
-    return good.unionByName(lost)
+    good, _ = g.split_corrupt(tb.read_bronze(spark, cfg))
+    none = F.lit(None)
+    lost = read_quarantine(spark, cfg).select(none.cast("long").alias("id"), none.cast("string").alias("title"), F.col("reason").alias("label"))
+    return good.select("id", "title", "label").unionByName(lost)
 
 
 @query
@@ -798,13 +800,56 @@ def s12_row_counts(spark, sf_dir):
 
 @query
 def s13_schema_evolution(spark, sf_dir):
-    """A first batch of two columns, a second one with two more."""
-    cfg = ws.bronze_config(spark, ws.landing(spark, sf_dir))
+    """Files of two fields, ingested; then files with two more fields, the year a fraction, and ids of another type."""
+    cfg = ws.bronze_config(spark, f"{ws.new_folder(spark, 'landing')}/json", schema=None, max_files_per_trigger=10_000)
     rows = v.bronze(spark, sf_dir, "id", "title", "label", "cover_url")
     late = F.col("label") == F.lower("label")
-    br.append_batch(rows.where(~late).select("id", "title"), 0, cfg)
-    br.append_batch(rows.where(late), 1, cfg)
-    return tb.read_bronze(spark, cfg).select("id", "title", "label", "cover_url")
+    rows.where(~late).select("id", "title", F.lit(1).alias("year")).write.json(f"{cfg.landing}/early")
+    br.run_bronze(spark, cfg)
+    rows.where(late).withColumn("year", F.lit(2.5)).write.json(f"{cfg.landing}/late")
+    rows.where(late).select(F.concat(F.lit("no number "), "id").alias("id")).write.json(f"{cfg.landing}/other")
+    table, _, _ = br.run_bronze(spark, cfg)
+    good, _ = g.split_corrupt(spark.table(table))
+    of_good = good.select("id", "title", "label", "cover_url", F.col("year").cast("double").alias("year"))
+    aside = read_quarantine(spark, cfg).groupBy("reason").agg(F.count(F.lit(1)).alias("id"))
+    none = F.lit(None).cast("string")
+    return of_good.unionByName(aside.select("id", F.col("reason").alias("title"), none.alias("label"), none.alias("cover_url"), F.lit(0.0).alias("year")))
+
+
+@query
+def s8_broken_run(spark, sf_dir):
+    """A second run that ends after its writes and before it registers them, then a third one without new files."""
+    cfg = ws.bronze_config(spark, ws.new_folder(spark, "landing"), max_files_per_trigger=4, database=f"broken_{uuid.uuid4().hex[:8]}")
+    rows = v.bronze(spark, sf_dir, "id", "title", "year")
+    early = F.col("id") % 3 == 0
+    rows.where(early).write.json(f"{cfg.landing}/early")
+    br.run_bronze(spark, cfg)
+    rows.where(~early).write.json(f"{cfg.landing}/late")
+    br.start_bronze(spark, cfg).awaitTermination()
+    table, _, _ = br.run_bronze(spark, cfg)
+    return spark.table(table).select("id", "title", "year")
+
+
+@query
+def s2b_repaired_files(spark, sf_dir):
+    """Documents as JSON lines, those in English cut off; then the same files whole, read again."""
+    record = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("title")))
+    cut = F.when(F.col("lang") != "en", record).otherwise(F.regexp_replace(record, r'"\}$', ""))
+    docs = v.table(spark, sf_dir, "documents")
+    files = max(4, -(-docs.count() // 1000))  # a file of about a thousand records is one row here
+    folders = {"landing": cut, "repaired": record}
+    for kind, text in folders.items():
+        folders[kind] = ws.new_folder(spark, kind)
+        send = ws.send_files(folders[kind], lambda rows: f"{rows[0]['file']}.json", lambda rows: rows[0]["lines"].encode())
+        lines = F.array_join(F.collect_list(text), "\n").alias("lines")
+        deliver(docs.groupBy(F.pmod("doc_id", F.lit(files)).alias("file")).agg(lines), send, batch_rows=1)
+    cfg = ws.bronze_config(spark, folders["landing"])
+    br.run_bronze(spark, cfg)
+    before = read_quarantine(spark, cfg).count()
+    br.repair(spark, cfg, [r["path"] for r in ld.list_files(spark, folders["repaired"]).collect()])
+    good, _ = g.split_corrupt(tb.read_bronze(spark, cfg))
+    after = read_quarantine(spark, cfg).count()
+    return good.select("id", "title", F.lit(before).alias("set_aside"), F.lit(after).alias("left"))
 
 
 @query

@@ -12,10 +12,11 @@ from linernotes import fixed_values as fv
 from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
 from linernotes.operators import graph as gr
-from linernotes.plans.refresh import UnreadableFiles, read_graph, refresh, set_aside
+from linernotes.plans.refresh import read_graph, refresh
 from linernotes.session import build_session, shared_folder
 from linernotes.sources import delivery, landing as ld, tables as tb
-from linernotes.streaming import bronze as br
+from linernotes.streaming import bronze as br, quarantine as qu, schemas as sc
+from linernotes.streaming.quarantine import UnreadableFiles
 
 
 @pytest.fixture
@@ -163,6 +164,80 @@ def test_corrupt_rows_are_set_aside(spark, cfg):
     assert sorted((r.id, r.year) for r in good.collect()) == [(1, "1960"), (3, "1961")]
     assert bad.count() == 3
     assert bad.where("_corrupt LIKE '%\"title\": '").count() == 1
+    aside = qu.read_quarantine(spark, c)
+    assert sorted(r["reason"] for r in aside.collect()) == [qu.NO_ID, qu.UNREADABLE, qu.UNREADABLE]
+    assert {r["file"].rsplit("/", 1)[-1] for r in aside.collect()} == {"a.json"}
+    assert '{"id": 2, "title": ' in [r["record"] for r in aside.collect()]
+
+
+def test_quarantine_reads_only_its_batch(spark, cfg, monkeypatch):
+    """Earlier partitions may be gone: the batch's own is enough. A repeated batch replaces its rows."""
+    c = cfg(max_files_per_trigger=1)
+    put(c, "a.json", "{bad", album(1))
+    br.run_bronze(spark, c)
+    put(c, "b.json", "{worse", album(2))
+    opened = []
+    monkeypatch.setattr(qu, "open_table", lambda s, path, *a: opened.append(path) or tb.open_table(s, path, *a))
+    br.run_bronze(spark, c)
+    assert opened and all(f"{fv.BATCH_COLUMN}=1" in p for p in opened)
+    ingest = br.ingest_id(spark, c)
+    assert qu.set_aside_batch(spark, c, ingest, 1) == {qu.UNREADABLE: 1}
+    assert sorted(r["record"] for r in qu.read_quarantine(spark, c).collect()) == ["{bad", "{worse"]
+
+
+def test_a_bad_file_blocks_only_its_own_run_and_can_be_repaired(spark, cfg, tmp_path):
+    c = cfg()
+    put(c, "good.json", album(1), "{cut", album(2))
+    put(c, "bad.json", "{", "[")
+    gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_repair")
+    with pytest.raises(UnreadableFiles, match="bad.json"):
+        refresh(spark, c, gold, str(tmp_path / "graph0"))
+    put(c, "later.json", album(3))
+    refresh(spark, c, gold, str(tmp_path / "graph1"))
+    assert spark.read.parquet(f"{gold.path}/albums").count() == 3
+    assert {r["reason"]: r["count"] for r in qu.read_quarantine(spark, c).groupBy("reason").count().collect()} == {
+        qu.WHOLE_FILE: 2, qu.UNREADABLE: 1}
+    repaired = tmp_path / "repaired"
+    repaired.mkdir()
+    for name, records in (("good.json", [album(1), album(9), album(2)]), ("bad.json", [album(4), "still {bad"])):
+        put(replace(c, landing=str(repaired)), name, *records)
+    files = [str(repaired / n) for n in ("good.json", "bad.json")]
+    for _ in range(2):
+        br.repair(spark, c, files)
+        good, _ = g.split_corrupt(tb.read_bronze(spark, c))
+        assert sorted(r.id for r in good.select("id").collect()) == [1, 2, 3, 4, 9]
+        assert [r["record"] for r in qu.read_quarantine(spark, c).collect()] == ["still {bad"]
+    assert spark.table(c.table).where("_corrupt IS NULL").count() == 5
+    refresh(spark, c, gold, str(tmp_path / "graph2"))
+    assert spark.read.parquet(f"{gold.path}/albums").count() == 5
+
+
+def test_a_run_broken_before_registration_loses_nothing(spark, cfg, monkeypatch):
+    c = cfg(max_files_per_trigger=1)
+    put(c, "a.json", album(1))
+    br.run_bronze(spark, c)
+    put(c, "b.json", album(2))
+    put(c, "c.json", album(3))
+    br.start_bronze(spark, c).awaitTermination()  # ends before it registers
+    monkeypatch.setattr(type(spark.catalog), "recoverPartitions", None)
+    put(c, "d.json", album(4))
+    table, _, _ = br.run_bronze(spark, c)
+    assert sorted(r.id for r in spark.table(table).select("id").collect()) == [1, 2, 3, 4] == ids(spark, c)
+
+
+def test_a_commit_log_that_begins_later_is_made_up_by_a_listing(spark, cfg):
+    c = cfg(max_files_per_trigger=1)
+    put(c, "a.json", album(1))
+    br.run_bronze(spark, c)
+    for i in range(2, 6):
+        put(c, f"{i}.json", album(i))
+    br.start_bronze(spark, c).awaitTermination()
+    for i in range(4):  # as Spark does with old batches
+        for name in (f"{i}", f".{i}.crc"):
+            os.remove(f"{c.checkpoint}/commits/{name}")
+    assert br.unregistered(spark, c) is None
+    table, _, _ = br.run_bronze(spark, c)
+    assert spark.table(table).count() == 5
 
 
 def test_inferred_schema(spark, cfg):
@@ -170,10 +245,43 @@ def test_inferred_schema(spark, cfg):
     put(c, "a.json", {"k": 1, "name": "n"})
     br.run_bronze(spark, c)
     assert tb.read_bronze(spark, c).select("k", "name").first() == (1, "n")
-    # Inferred once: what came later doesn't change it.
     put(c, "b.json", {"k": 2, "name": "m", "later": True})
+    table, _, _ = br.run_bronze(spark, c)
+    for rows in (tb.read_bronze(spark, c), spark.table(table)):
+        assert sorted((r.k, r.later) for r in rows.collect()) == [(1, None), (2, True)]
+    assert [r["version"] for r in sc.versions(spark, c).orderBy("version").collect()] == [0, 1]
+
+
+def test_fields_types_and_conflicts_of_later_files(spark, cfg):
+    c = cfg(schema=None, max_files_per_trigger=1)
+    files = [
+        [{"id": 1, "n": 5, "t": "x", "s": {"a": 1}, "l": [1], "nothing": None}],
+        [{"id": 2, "n": 2.5, "t": 7, "s": {"a": 2, "b": "new"}, "l": [2], "nothing": "now text"}],
+        [{"id": 3, "n": 9007199254740993}, {"id": "four", "n": 1}, {"id": 5, "s": "not a struct"}, "{cut"],
+    ]
+    for i, records in enumerate(files):
+        put(c, f"{i}.json", *records)
+        time.sleep(0.05)
+        table, _, _ = br.run_bronze(spark, c)
+    for rows in (tb.read_bronze(spark, c), spark.table(table)):
+        good = {r.id: r for r in rows.where("_corrupt IS NULL").collect()}
+        assert sorted(good) == [1, 2, 3]
+        assert [float(good[i].n) for i in (1, 2)] == [5.0, 2.5] and int(good[3].n) == 9007199254740993
+        assert (good[1].nothing, good[2].nothing, good[2].t) == (None, "now text", "7")
+        assert good[1].s.asDict() == {"a": 1, "b": None} and good[2].s.asDict() == {"a": 2, "b": "new"}
+        assert rows.where("_corrupt IS NOT NULL").count() == 3
+    last = sc.latest(spark, c)
+    assert len(last.conflicts) == 2 and any(x.startswith("id: string") for x in last.conflicts)
+    assert sc.advance(spark, c, last.schema, "again", 7).number == last.number
+    assert qu.read_quarantine(spark, c).count() == 3
+
+
+def test_names_that_look_like_patterns(spark, cfg):
+    c = cfg(schema=None)
+    for i, name in enumerate(("a[1].json", "b{x,y}.json", "c d,e.json")):
+        put(c, name, {"id": i})
     br.run_bronze(spark, c)
-    assert "later" not in tb.read_bronze(spark, c).columns and ids_of(spark, c, "k") == [1, 2]
+    assert ids(spark, c) == [0, 1, 2]
 
 
 def test_first_write_clears_leftovers_and_later_ones_append(spark, cfg, tmp_path):
@@ -280,7 +388,7 @@ def test_what_cannot_be_used_is_written_and_counted(spark, cfg, tmp_path):
     _, counts = refresh(spark, c, gold, str(tmp_path / "graph"))
     n = {r.table_name: r.rows for r in counts.collect()}
     assert (n["bronze"], n["quarantine"], n["albums"]) == (3, 2, 1)
-    texts = [r[0] for r in spark.read.parquet(c.quarantine).select(fv.CORRUPT_COLUMN).collect()]
+    texts = [r["record"] for r in qu.read_quarantine(spark, c).collect()]
     assert '{"id": 2, "title": ' in texts
 
 
@@ -291,8 +399,8 @@ def test_a_file_without_a_readable_record_stops_the_refresh(spark, cfg, tmp_path
     gold = GoldConfig(path=str(tmp_path / "gold"), database="gold_unreadable")
     with pytest.raises(UnreadableFiles, match="a.json"):
         refresh(spark, c, gold, str(tmp_path / "graph"))
-    assert spark.read.parquet(c.quarantine).count() > 0
-    good = set_aside(spark, tb.read_bronze(spark, c), replace(c, allow_unreadable_files=True))
+    assert {r["reason"] for r in qu.read_quarantine(spark, c).collect()} == {qu.WHOLE_FILE}
+    good, _ = g.split_corrupt(tb.read_bronze(spark, c))
     assert [r.id for r in good.collect()] == [2]
 
 
