@@ -46,6 +46,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def named(df: DataFrame, *but: str) -> list[Column]:
+    """The columns of ``df``, whatever signs their names hold, but for some."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
 def held_out(modulus: int, remainder: int, doc_id: Column | str = "doc_id") -> Column:
     """Whether crc32 of the id as text has this remainder; an id that is null is not held out."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

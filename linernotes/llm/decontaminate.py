@@ -39,8 +39,8 @@ SHORT_MASKS = {
 #: Every mask; its place here is its number.
 ALL_MASKS = tuple(dict.fromkeys(m for masks in (MASKS, *SHORT_MASKS.values()) for m in masks))
 SPAN = max(map(len, ALL_MASKS))
-#: Items of fewer words are left out, unless a caller asks for them.
-SHORTEST = 6
+#: Items of fewer words are left out; a caller may ask for longer ones only.
+SHORTEST = 1
 #: Words compared around a hit, and the share of them that must be equal.
 WINDOW, SHARE = 20, 0.8
 #: Words that are kept on either side of a hit for the comparison.
@@ -172,8 +172,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
 
     An item counts if in some window of 20 of its words (all of it, if it is shorter) at least 80 % are
     equal at their places; the row names the document's first such window's best. Items of fewer than
-    ``shortest`` words are left out; from one word on, all are found. Null and empty texts hold nothing. Repeated rows and repeated items give one row; rows without an id give a row with
-    a null id, items without an id likewise. Empty tables give no rows.
+    ``shortest`` words are left out; by default only those without a word. Null and empty texts hold
+    nothing. Repeated rows and repeated items give one row; rows without an id give a row with a null id,
+    items without an id likewise. Empty tables give no rows. Other columns of either table are ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").distinct()
@@ -209,7 +210,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that hold a benchmark item; rows without an id are kept or dropped by their text."""
+    """docs without the documents that hold a benchmark item, with all their columns.
+
+    Rows without an id are kept or dropped by their text, null and empty texts kept, repeated rows kept or
+    dropped together. An empty benchmark drops nothing.
+    """
     key = lambda: F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5("text")))
     keyed = docs.select("text", key().alias("doc_id"))
     bad = stored(contaminated(keyed, benchmark).select(F.col("doc_id").alias("__bad")).distinct())

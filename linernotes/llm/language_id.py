@@ -22,7 +22,9 @@ from pyspark.sql import Window
 
 from linernotes.llm.common import VOCABULARY, held_out, read_bounded, slices, spread_pieces, stored
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Digits and numerals that regular expressions take for letters: superscripts, fractions, Roman and circled ones.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 START = "▁"
 #: Longer words are summed a character at a time with rescaling, so that nothing underflows.
 SHORT = 32
@@ -225,8 +227,10 @@ def verdict(logs: np.ndarray | None, languages: list[str]) -> tuple[str, float]:
 def language_of(docs: DataFrame, settings: Fit = Fit(), vocabulary_path: str = VOCABULARY) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of each row of docs (doc_id, text, lang).
 
-    Text that is null or has no letter is ``und`` with score 0, as is all text where no language can be
-    learned. Repeated rows give repeated results; rows without an id are predicted but not learned from.
+    Text that is null or has no letter (numerals are none, whatever their form) is ``und`` with score 0, as
+    is all text where no language can be learned. Of equally likely languages the first by name counts.
+    Repeated rows give repeated results; rows without an id are predicted but not learned from. No rows: no
+    rows. Other columns are ignored.
     """
     model = learn(docs.select("doc_id", "text", "lang"), settings, vocabulary_path)
     return predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")

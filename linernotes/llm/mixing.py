@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from linernotes.llm.common import WORD, cut
+from linernotes.llm.common import WORD, cut, named
 
 #: Blocks of a source's permutation: three hex digits of its key. Fixed, so that a block is one of so many parts of a source of any size.
 BLOCK_DIGITS = 3
@@ -90,6 +90,12 @@ def source_name(source: Column | str = "source") -> Column:
     return F.coalesce(F.col(source).cast("string") if isinstance(source, str) else source, F.lit(""))
 
 
+def quota_of(share: float, total: float, own: int, budget: int | None) -> int:
+    """Tokens that a source gives; without a budget its first epoch is whole, whatever rounding makes of large counts."""
+    quota = math.floor(share * total + 1e-6)
+    return quota if budget is not None else max(quota, own)
+
+
 def order_key(seed: int, epoch: Column, doc_id: Column, text: Column) -> Column:
     """A document's place in an epoch of its source: hex digits, of which the first name the block."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), F.md5(text))), ))
@@ -115,7 +121,7 @@ def source_plan(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
         shares = weights(tokens, exponent_for(tokens, mixture))
         total = budget_of(tokens, shares, mixture.budget)
         for (name, own), share in zip(full, shares):
-            quota = math.floor(share * total + 1e-6)
+            quota = quota_of(share, total, own, mixture.budget)
             planned.append((name, own, share, quota // own, quota % own))
     plan = spark.createDataFrame(planned, "source string, tokens long, weight double, whole_epochs long, rest long")
 
@@ -169,6 +175,9 @@ def mixed(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
 
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
-    """The scheduled rows themselves, with the columns of docs; a document of a small source comes in several epochs."""
+    """The scheduled rows themselves, with the columns of docs; a document of a small source comes in several epochs.
+
+    Nulls, repeated rows and empty tables as in ``mixed``; other columns may have any names.
+    """
     plan = cut(source_plan(docs, mixture))
-    return schedule(docs, plan, mixture.seed).select(docs.columns)
+    return schedule(docs, plan, mixture.seed).select(named(docs))

@@ -32,7 +32,7 @@ WITH items AS MATERIALIZED (
     SELECT item_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
     FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))
 ), item_words AS MATERIALIZED (
-  SELECT item, win, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM items WHERE n_item >= 6
+  SELECT item, win, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM items
 ), docs AS MATERIALIZED (
   SELECT row_number() OVER () AS doc, doc_id, w, len(w) AS n_doc FROM (
     SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -99,7 +99,7 @@ WITH RECURSIVE words AS MATERIALIZED (
 ), weighted AS MATERIALIZED (
   SELECT source, tokens, pow(share, exponent) / sum(pow(share, exponent)) OVER () AS weight FROM shares, chosen
 ), quotas AS MATERIALIZED (
-  SELECT source, tokens, weight, floor(weight * max(tokens / weight) OVER () + 1e-6)::BIGINT AS quota FROM weighted
+  SELECT source, tokens, weight, greatest(tokens, floor(weight * max(tokens / weight) OVER () + 1e-6)::BIGINT) AS quota FROM weighted
 ), plan AS MATERIALIZED (
   SELECT source, weight, quota // tokens AS whole, quota % tokens AS rest FROM quotas
   UNION ALL SELECT source, 0, 1, 0 FROM sizes WHERE tokens = 0

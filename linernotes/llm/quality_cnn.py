@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linernotes.llm.common import held_out, slices, spread_pieces
+from linernotes.llm.common import held_out, named, slices, spread_pieces
 
 
 @dataclass(frozen=True)
@@ -210,7 +210,8 @@ def score(text: Column, net: Network, spark: SparkSession) -> Column:
 def quality_scores(docs: DataFrame, labels: DataFrame, settings: Fit = Fit(), threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs (doc_id, text).
 
-    Repeated rows give repeated results, rows without an id are scored too, no rows give none.
+    Repeated rows give repeated results, rows without an id are scored too, no rows give none. Very long
+    texts are scored whole, a chunk at a time. Other columns are ignored.
     Labels (doc_id, quality) without rows, or all alike, give every text the base rate.
     """
     net = learn(docs, labels, settings)
@@ -219,6 +220,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, settings: Fit = Fit(), th
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Fit = Fit(), threshold: float = 0.3) -> DataFrame:
-    """The rows of docs that the classifier doesn't reject, with all their columns."""
+    """The rows of docs that the classifier doesn't reject, with all their columns, whatever their names.
+
+    Null and empty texts are judged as texts without words, repeated rows alike, rows without an id too.
+    """
     net = learn(docs, labels, settings)
-    return docs.withColumn("__quality", score(F.col("text"), net, docs.sparkSession)).filter(F.col("__quality") >= threshold).select(docs.columns)
+    return docs.withColumn("__quality", score(F.col("text"), net, docs.sparkSession)).filter(F.col("__quality") >= threshold).select(named(docs))

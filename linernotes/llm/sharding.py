@@ -8,10 +8,14 @@ of the buckets before, plus the place in the own bucket. So no source, however l
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from linernotes.llm.common import named
+
 SHARDS, SEED = 40, 23
 #: Buckets of either ranking: three hex digits of the seeded key, or so many equal parts of 0 to 1.
 BUCKET_DIGITS, BUCKETS = 3, 4096
@@ -66,7 +70,7 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Data
 
     The law is ``rows``: shards' row counts are at most one apart. Null text counts as empty, null
     sources are one source, rows without an id are placed by their text, repeated rows each get a slot.
-    No rows: no rows.
+    No rows: no rows. Other columns are ignored.
     """
     return placed(docs, shards, seed).select(
         "doc_id", "source", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -74,7 +78,11 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Data
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """docs with shard and slot. The text is shuffled once; rows alike in id and text get their places in turn."""
+    """docs with shard and slot, in place of columns of these names. The text is shuffled once.
+
+    Rows alike in id and text get their places in turn, by a hash of all their columns, so that a repeated
+    task gives the same. Nulls, repeated rows and empty tables as in ``shard_table``.
+    """
     keys = ["__id", "__text"]
     id_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     places = (
@@ -82,6 +90,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) ->
         .agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
     )
     keyed = docs.withColumn("__id", id_key).withColumn("__text", F.xxhash64(F.col("text").cast("string")))
-    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    hashed = [c for c, f in zip(named(docs), docs.schema) if not re.search("map<|variant", f.dataType.simpleString())]
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*hashed)))
     joined = keyed.join(places, keys).withColumn("__place", F.element_at("__places", turn))
-    return joined.select(*docs.columns, F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"))
+    return joined.select(*named(docs, "shard", "slot"), F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"))

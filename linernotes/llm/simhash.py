@@ -19,8 +19,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from linernotes.llm.common import LOWER_BYTES, cut, stored
+from linernotes.llm.common import LOWER_BYTES, cut, named, stored
 
 #: Bits (first, count) of each tree's block.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
@@ -245,8 +246,10 @@ def simhash_groups(docs: DataFrame, bits: int = 4, shard_rows: int = SHARD_ROWS)
 
     Null, empty or blank text: fingerprint zero, which links like any other. Repeated rows give
     repeated results. A row whose doc_id is null has a fingerprint; its component is that of its
-    equals with an id, else null. No rows: no rows.
+    equals with an id, else null. No rows: no rows. doc_id must be of a whole-number type (TypeError).
     """
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("doc_id must be a whole number: a component is named by its smallest")
     marked = cut(fingerprints(docs))
     # Exact equals meet first, so that a group of copies is one node.
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node IS NOT NULL"))
@@ -262,8 +265,8 @@ def keep_one(docs: DataFrame, bits: int = 4) -> DataFrame:
     """
     lost = stored(simhash_groups(docs, bits).filter("doc_id <> component_id").select("doc_id").distinct())
     twice = stored(docs.groupBy("doc_id").count().filter("doc_id IS NOT NULL AND count > 1").select("doc_id"))
-    once = docs.join(lost.unionByName(twice), "doc_id", "left_anti").select(docs.columns)
+    once = docs.join(lost.unionByName(twice), "doc_id", "left_anti").select(named(docs))
     # Only rows whose id is repeated are put together by id, on the map side first.
     repeated = docs.join(twice, "doc_id", "left_semi").join(lost, "doc_id", "left_anti")
-    least = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias("__row")
+    least = F.min_by(F.struct(*named(docs)), F.struct("text")).alias("__row")
     return once.unionByName(repeated.groupBy("doc_id").agg(least).select("__row.*"))

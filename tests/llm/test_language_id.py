@@ -2,8 +2,9 @@ import itertools
 import zlib
 
 import numpy as np
+import pytest
 
-from linernotes.llm.language_id import START, Fit, Model, Pieces, fit, language_of, long_word, sample_ids, vocabulary
+from linernotes.llm.language_id import START, Fit, Model, Pieces, fit, language_of, long_word, sample_ids, verdict, vocabulary
 from tests.llm.conftest import SCHEMA, row
 
 PIECES = [START, START + "a", "a", "b", "ab", "ba", START + "ab"]
@@ -70,3 +71,14 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert language_of(no_docs).count() == 0
     nameless = spark.createDataFrame([row(1, "some words", None)], SCHEMA)
     assert [(r["lang_pred"], r["score"]) for r in language_of(nameless).collect()] == [("und", 0.0)]
+
+
+def test_numerals_are_no_letters(spark, no_docs):
+    texts = ["½ ²", "Ⅷ ⅷ", "①④", "٣ 12", "_", "", None, "½ word", "一"]
+    rows = [row(i, t) for i, t in enumerate(texts)] + [row(100 + i, "some plain words", "en") for i in range(9)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_of(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(len(texts))] == ["und"] * 7 + ["en"] * 2
+
+
+def test_ties_go_to_the_first_language():
+    assert verdict(np.zeros(3), ["a", "b", "c"]) == ("a", pytest.approx(1 / 3))

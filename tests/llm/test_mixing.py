@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from linernotes.llm.mixing import Mixture, budget_of, entropy, exponent_for, mix, mixed, weights
+from linernotes.llm.mixing import quota_of, Mixture, budget_of, entropy, exponent_for, mix, mixed, weights
 from tests.llm.conftest import SCHEMA, prose, row
 
 
@@ -70,6 +70,14 @@ def test_first_epochs_are_whole(spark):
     assert all(1 in epochs[i] for i, _, _ in docs)
 
 
+def test_large_first_epochs_stay_whole():
+    rng = random.Random(6)
+    tokens = [rng.randrange(2**33, 2**35) for _ in range(15_000)]
+    shares = [t / sum(tokens) for t in tokens]
+    total = max(t / s for t, s in zip(tokens, shares))
+    assert all(quota_of(s, total, t, None) // t >= 1 for s, t in zip(shares, tokens))
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = mixed(odd_docs).collect()
     assert {r["source"] for r in got} == {"", "a"}

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from linernotes.llm.common import table
 from linernotes.llm.decontaminate import contaminated
@@ -35,8 +37,11 @@ def test_run(spark):
 
 
 def test_empty_and_odd_documents(spark, odd_docs, no_docs):
-    for docs in (odd_docs.drop("shard"), no_docs.drop("shard")):
+    strange = odd_docs.withColumns({"a.b": F.lit(1), "slot": F.lit("own"), "`c d`": F.lit(2)})
+    for docs in (odd_docs, no_docs, strange):
+        names = docs.columns
         n = docs.count()
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         assert docs.count() <= 2 * n
+        assert docs.columns == [*[c for c in names if c not in ("shard", "slot")], "shard", "slot"]

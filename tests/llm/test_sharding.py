@@ -37,7 +37,7 @@ def test_documents_keep_their_columns(spark):
     docs = docs_of(300)
     rows = [row(i, t, "en", s) for i, t, s in docs]
     df = spark.createDataFrame(rows + rows[:50] + rows[:20], SCHEMA)
-    got = shard_documents(df.drop("shard"))
+    got = shard_documents(df)
     assert got.columns == [*df.drop("shard").columns, "shard", "slot"]
     got = got.collect()
     laws(got, 370)
@@ -46,7 +46,7 @@ def test_documents_keep_their_columns(spark):
 
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([row(1, "a text")], SCHEMA)
-    for made in (shard_table(df), shard_documents(df.drop("shard"))):
+    for made in (shard_table(df), shard_documents(df)):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
 
@@ -54,5 +54,5 @@ def test_no_python_in_the_plan(spark):
 def test_odd_rows(odd_docs, no_docs):
     got = shard_table(odd_docs).collect()
     laws(got, odd_docs.count())
-    laws(shard_documents(odd_docs.drop("shard")).collect(), odd_docs.count())
+    laws(shard_documents(odd_docs).collect(), odd_docs.count())
     assert shard_table(no_docs).count() == 0
