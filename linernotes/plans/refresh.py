@@ -76,13 +76,16 @@ def write_gold_from(
 
 def write_graph(graph: Graph, folder: str) -> None:
     """Write a graph to a folder of its own; an upsert reads one version and writes the next."""
-    jobs = [(n, df, SORT_KEYS.get(n, df.columns)) for n, df in {**graph.nodes, **graph.edges}.items()]
-    jobs += [
-        (f"{n}_by_album", df, ALBUM_ORDER[n])
-        for n, df in graph.edges.items() if set(ALBUM_ORDER.get(n, [""])) <= set(df.columns)
-    ]
+
+    def put(name: str, df: DataFrame) -> None:
+        write_sorted(df, f"{folder}/{name}", *SORT_KEYS.get(name, df.columns))
+        if name in graph.edges and set(ALBUM_ORDER.get(name, [""])) <= set(df.columns):
+            # From the written rows: the edges are made once for both orders.
+            written = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+            write_sorted(written, f"{folder}/{name}_by_album", *ALBUM_ORDER[name])
+
     with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
-        list(pool.map(lambda job: write_sorted(job[1], f"{folder}/{job[0]}", *job[2]), jobs))
+        list(pool.map(lambda t: put(*t), {**graph.nodes, **graph.edges}.items()))
 
 
 def read_graph(

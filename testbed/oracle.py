@@ -661,6 +661,7 @@ def sql() -> dict[str, str]:
       CASE WHEN label = lower(label) THEN cover_url END AS cover_url,
       CASE WHEN label = lower(label) THEN 2.5 ELSE 1 END::DOUBLE AS year FROM bronze WHERE label IS NOT NULL
       UNION ALL SELECT count(*), 'no readable record in the file', NULL, NULL, 0 FROM bronze WHERE label = lower(label)"""
+    q["l2_incremental_load"] = f"WITH {GRAPH} SELECT artist_id, album_id FROM plays_in"
     q["s15_batched_sink"] = f"WITH {GRAPH} SELECT artist_id, album_id FROM plays_in"
     q["s16_session"] = "SELECT o_orderstatus AS status, 'on' AS setting, count(*) AS rows FROM orders GROUP BY 1"
     return q
