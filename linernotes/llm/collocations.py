@@ -63,7 +63,7 @@ class Walks:
         self.size += len(self.steps[-1])
 
     def grams(self, last: bool, buckets: int) -> pa.RecordBatch | None:
-        """(bucket, words, grams, counts) of what was added; an unfinished piece's last two words stay, unless last."""
+        """(bucket, ones, twos, grams, counts) of what was added; an unfinished piece's last two words stay, unless last."""
         walk = np.concatenate([*self.steps, np.zeros(2, np.int64)]) if self.steps else np.zeros(2, np.int64)
         known = len(walk) - 2 if last or not self.size or walk[-3] == 0 else max(len(walk) - 4, 0)
         kept = walk[known:-2]
@@ -93,23 +93,27 @@ class Walks:
             mixed = (hashes[a] * np.uint64(0x9E3779B97F4A7C15) + hashes[b]) * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[c]
             mixed = (mixed ^ (mixed >> np.uint64(33))) * np.uint64(0x165667B19E3779F9)
         bucket = ((mixed >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
-        # One row a bucket and length in words: further on no gram has to be taken apart to tell it.
-        keyed = bucket * (LONGEST + 1) + 1 + (b > 0) + (c > 0)
-        by = np.argsort(keyed, kind="stable")
+        # By length within a bucket, with the places where the next length begins: no gram has to be taken apart to tell its own.
+        length = 1 + (b > 0) + (c > 0)
+        by = np.argsort(bucket * (LONGEST + 1) + length, kind="stable")
         spaced = pc.binary_join_element_wise(pa.scalar(b" ", pa.binary()), words, pa.scalar(b"", pa.binary()))  # a blank before each
         spaced = pa.concat_arrays([pa.array([b""], pa.binary()), spaced.slice(1)])  # nothing for the end of a piece
         texts = pc.binary_join_element_wise(words.take(pa.array(a[by])), spaced.take(pa.array(b[by])), spaced.take(pa.array(c[by])), pa.scalar(b"", pa.binary()))
-        filled, starts = np.unique(keyed[by], return_index=True)
+        filled, starts = np.unique(bucket[by], return_index=True)
         offsets = pa.array(np.append(starts, len(by)), pa.int32())
         joined = pc.binary_join(pa.ListArray.from_arrays(offsets, texts), pa.scalar(b"\n", pa.binary()))
         numbers = pa.ListArray.from_arrays(offsets, pa.array(counts[by], pa.int64()))
-        heads = [pa.array(filled // (LONGEST + 1), pa.int32()), pa.array(filled % (LONGEST + 1), pa.int32())]
-        return pa.RecordBatch.from_arrays([*heads, joined.cast(pa.string()), numbers], names=["bucket", "words", "grams", "counts"])
+        upto = [np.add.reduceat(length[by] <= k, starts, dtype=np.int32) for k in (1, 2)]
+        heads = [pa.array(filled, pa.int32()), *(pa.array(u, pa.int32()) for u in upto)]
+        return pa.RecordBatch.from_arrays([*heads, joined.cast(pa.string()), numbers], names=["bucket", "ones", "twos", "grams", "counts"])
 
 
 def counted_in_tasks(docs: DataFrame, buckets: int) -> DataFrame:
-    """(lang, bucket, words, grams, counts): grams, joined by line ends, that tasks counted in parts of the corpus."""
-    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("words", pa.int32()), ("grams", pa.string()), ("counts", pa.list_(pa.int64()))])
+    """(lang, bucket, ones, twos, grams, counts): grams, joined by line ends, that tasks counted in parts of the corpus.
+
+    Those of one word end before the place ones, those of two words before twos.
+    """
+    schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("ones", pa.int32()), ("twos", pa.int32()), ("grams", pa.string()), ("counts", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walks: dict[str, Walks] = {}
@@ -134,14 +138,16 @@ def counted_in_tasks(docs: DataFrame, buckets: int) -> DataFrame:
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    return narrow.mapInArrow(run, "lang string, bucket int, words int, grams string, counts array<long>")
+    return narrow.mapInArrow(run, "lang string, bucket int, ones int, twos int, grams string, counts array<long>")
 
 
 def longest_grams(docs: DataFrame) -> DataFrame:
     """(lang, words, gram, n): each edge with its weight, and the ends of walks with theirs."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = counted_in_tasks(docs, buckets).repartition("bucket")
-    rows = dealt.select("bucket", "lang", "words", F.explode(F.arrays_zip(F.split("grams", "\n").alias("gram"), F.col("counts").alias("n"))).alias("g"))
+    zipped = F.arrays_zip(F.split("grams", "\n").alias("gram"), F.col("counts").alias("n"))
+    words = F.when(F.col("at") < F.col("ones"), 1).when(F.col("at") < F.col("twos"), 2).otherwise(3).alias("words")
+    rows = dealt.select("bucket", "lang", "ones", "twos", F.posexplode(zipped).alias("at", "g")).select("bucket", "lang", words, "g")
     summed = rows.select("bucket", "lang", "words", F.col("g.gram").alias("gram"), F.col("g.n").alias("n")).groupBy("bucket", "lang", "words", "gram").agg(F.sum("n").alias("n"))
     return summed.drop("bucket")
 
