@@ -621,7 +621,10 @@ def l2_incremental_load(spark, sf_dir):
     base = ws.new_folder(spark, "graph_versions")
     few = "id % 1000 = 7"
     for part in (f"NOT ({few})", few):
-        gold = {n: ws.gold_of(spark, sf_dir, n, part) for n in ("albums", "artists", "album_artist")}
+        gold = {
+            n: g.TABLES[n](v.bronze(spark, sf_dir, *dict.fromkeys(("id", *g.INPUT[n], "_ingested_at"))).where(part))
+            for n in ("albums", "artists", "album_artist")
+        }
         graph, _ = gv.load(spark, base, gold, buckets=64)
     return graph.plays_in.select("artist_id", "album_id")
 
