@@ -17,13 +17,10 @@ from linernotes.functions.text import (
 )
 
 
-def albums(bronze: DataFrame) -> DataFrame:
-    """One row per album id: its first ingested record. Rows without an id are left out.
-
-    Without ingestion columns the least record in column order stands in for the first.
-    """
+def album_records(bronze: DataFrame) -> DataFrame:
+    """(album_id, album, when and whence it came) of each record with an id."""
     arrival = [c for c in ("_ingested_at", "_ingested_filename") if c in bronze.columns]
-    typed = bronze.where(F.col("id").isNotNull()).select(
+    return bronze.where(F.col("id").isNotNull()).select(
         F.col("id").alias("album_id"),
         F.struct(
             F.trim("artists").alias("ensemble"),
@@ -35,6 +32,15 @@ def albums(bronze: DataFrame) -> DataFrame:
         ).alias("album"),
         *arrival,
     )
+
+
+def albums(bronze: DataFrame) -> DataFrame:
+    """One row per album id: its first ingested record. Rows without an id are left out.
+
+    Without ingestion columns the least record in column order stands in for the first.
+    """
+    typed = album_records(bronze)
+    arrival = [c for c in typed.columns if c not in ("album_id", "album")]
     # A refused tie-break would make the row depend on partitioning, so the record itself is last.
     first = F.min_by("album", F.struct(*arrival, "album"))
     return typed.groupBy("album_id").agg(first.alias("album")).select("album_id", "album.*")
@@ -191,6 +197,12 @@ def tracks_from(titles: DataFrame) -> DataFrame:
     return named.select(_track_id(), "album_id", "name")
 
 
+def track_firsts(titles: DataFrame) -> DataFrame:
+    """(track_id, album_id, first): each title's position and name, of which a track shows the least."""
+    first = F.struct("pos", F.col("work_title").alias("name")).alias("first")
+    return titles.where("norm <> ''").select(_track_id(), "album_id", first)
+
+
 def _track_id() -> Column:
     return content_id(F.concat_ws("#", F.col("album_id").cast("string"), "norm")).alias("track_id")
 
