@@ -8,12 +8,17 @@ A bulk question would repeat an album's lists in every row that album is part of
 out unless asked with ``with_lists=True``, and its result is as long as the edges are; the lists are
 one ``album_cards`` row per album, or one ``album_names`` row per name for albums of any size.
 
-Hot keys (an artist on a third of all albums) meet in joins only, which adaptive execution splits.
+Rows are in order of year and title (nulls last), then album and label, so a limit keeps the same rows
+on every run. A ``limit`` holds for each id of a bulk question, too; the rows are chosen before any list
+is gathered.
+
+Hot keys (an artist on a third of all albums) meet in joins only, which adaptive execution splits, and in
+the choice of the first rows, which tasks make among their own rows first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linernotes import fixed_values as fv
 from linernotes.operators.graph import Graph
@@ -88,6 +93,11 @@ def album_lists(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     return _named_edges(graph, albums).groupBy("album_id").agg(*collected)
 
 
+def _no_null_lists() -> dict[str, Column]:
+    empty = F.array().cast("array<string>")
+    return {c: F.coalesce(c, empty) for c in LISTS}
+
+
 def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     """(album_id, label): the label nodes' names."""
     edges = _only(graph.released_by, albums).join(graph.labels, "label_id")
@@ -105,11 +115,10 @@ def album_cards(
     ids = albums if cut else None
     cards = (graph.albums if albums is None else albums).drop("label")
     cards = cards.join(album_labels(graph, ids), "album_id", "left")
-    lists: list[Column] = []
+    lists: list[str] = []
     if with_lists:
-        cards = cards.join(album_lists(graph, ids), "album_id", "left")
-        empty = F.array().cast("array<string>")
-        lists = [F.coalesce(c, empty).alias(c) for c in LISTS]
+        cards = cards.join(album_lists(graph, ids), "album_id", "left").withColumns(_no_null_lists())
+        lists = LISTS
     cover = F.col("cover_url").alias("cover")
     return cards.select("album_id", "ensemble", "title", *lists, "year", "label", cover)
 
@@ -123,12 +132,48 @@ def _asked(nodes: DataFrame, key: str, ids: str | DataFrame | None) -> DataFrame
     return F.broadcast(nodes.where(F.col(key) == ids))
 
 
-def _ordered(result: DataFrame, single: bool, title: str, limit: int | None) -> DataFrame:
-    """A single question's rows by year and title, nulls last; a bulk result stays unsorted."""
-    if not single:
-        return result
-    result = result.orderBy(F.asc_nulls_last("year"), F.asc_nulls_last(title))
-    return result if limit is None else result.limit(limit)
+def _order() -> list[Column]:
+    """Year and title, nulls last; album and label decide among equal ones."""
+    return [F.asc_nulls_last(c) for c in ("year", "title", "album_id", "label")]
+
+
+#: Up to this limit Spark's row-number filter keeps the first rows in each task before its shuffle.
+FEW = 1000
+PARTS = 64
+
+
+def _first(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """The first rows of each key, or of all where there is no key.
+
+    Spark cuts each task's rows to a few before they meet; of more than ``FEW`` the first of 64 parts of a
+    key are taken, then of those, so that no task sorts all rows of a hot key.
+    """
+    if not keys:
+        return rows.orderBy(*_order()).limit(limit)
+    part = F.pmod(F.xxhash64("album_id"), F.lit(PARTS))
+    for by in ([[*keys, part]] if limit > FEW else []) + [keys]:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*_order()))
+        rows = rows.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
+    return rows
+
+
+def _answer(
+    graph: Graph, mine: DataFrame, albums: DataFrame, keys: list[str], columns: list[str],
+    with_lists: bool, limit: int | None, cut: bool,
+) -> DataFrame:
+    """The cards of the albums in ``mine``; sorted where one id is asked for, that is without keys."""
+    if limit is not None and limit < 0:
+        raise ValueError(f"a limit can't be {limit}")
+    chosen = _only(albums, mine) if cut else albums
+    if limit is None:
+        rows = mine.join(album_cards(graph, chosen, with_lists, cut), "album_id")
+    else:
+        rows = _first(mine.join(album_cards(graph, chosen, False, cut), "album_id"), keys, limit)
+        if with_lists:
+            rows = rows.join(album_lists(graph, rows), "album_id", "left").withColumns(_no_null_lists())
+    rows = rows if keys else rows.orderBy(*_order())
+    shown = {"album_title": F.col("title").alias("album_title")}
+    return rows.select(*keys, *[shown.get(c, c) for c in _shown(columns, with_lists)])
 
 
 def _shown(columns: list[str], with_lists: bool) -> list[str]:
@@ -151,10 +196,8 @@ def _artist_albums(
     albums = in_years(graph.albums, year_min, year_max)
     # Where all artists are asked for, or no list is shown, there is nothing worth cutting down.
     cut = single or (with_lists and artist is not None)
-    cards = album_cards(graph, _only(albums, mine) if cut else albums, with_lists, cut)
     keys = [] if single else ["artist_id"]
-    result = mine.join(cards, "album_id").select(*keys, *_shown(columns, with_lists))
-    return _ordered(result, single, "title", limit)
+    return _answer(graph, mine, albums, keys, columns, with_lists, limit, cut)
 
 
 def artist_sessions(
@@ -205,9 +248,8 @@ def collab_albums(
         .agg(F.count_distinct("artist_id").alias("n"))
         .where(F.col("n") == len(wanted))
     )
-    chosen = _only(in_years(graph.albums, year_min, year_max), together)
-    cards = album_cards(graph, chosen).select(*COLLAB_COLUMNS)
-    return _ordered(cards, True, "title", limit)
+    albums = in_years(graph.albums, year_min, year_max)
+    return _answer(graph, together.select("album_id"), albums, [], COLLAB_COLUMNS, True, limit, True)
 
 
 def shared_albums(graph: Graph, requests: DataFrame) -> DataFrame:
@@ -247,14 +289,13 @@ def collab_albums_bulk(
     year_min: int | None = None,
     year_max: int | None = None,
     with_lists: bool = False,
+    limit: int | None = None,
 ) -> DataFrame:
     """Shared albums for many requests; requests of fewer than two artists give no row."""
     shared = shared_albums(graph, requests)
     albums = in_years(graph.albums, year_min, year_max)
     # Lists are worth cutting the edges down for; without them there is little to cut.
-    cards = album_cards(graph, _only(albums, shared) if with_lists else albums, with_lists, with_lists)
-    columns = ["request_id", *_shown(COLLAB_COLUMNS, with_lists)]
-    return shared.join(cards, "album_id").select(*columns)
+    return _answer(graph, shared, albums, ["request_id"], COLLAB_COLUMNS, with_lists, limit, with_lists)
 
 
 def album_detail(graph: Graph, album: int | DataFrame | None = None) -> DataFrame:
@@ -279,12 +320,9 @@ def work_appearances(
     mine = graph.contains.where(F.col("work_id") == work) if single else graph.contains
     mine = mine.join(_asked(graph.works, "work_id", work), "work_id")
     cut = single or (with_lists and work is not None)
-    cards = album_cards(graph, _only(graph.albums, mine) if cut else graph.albums, with_lists, cut)
-    cards = cards.withColumnRenamed("title", "album_title")
     keys = [] if single else ["work_id"]
     columns = ["work_title", "ensemble", "album_title", *LISTS, "year", "label", "cover"]
-    shown = mine.join(cards, "album_id").select(*keys, *_shown(columns, with_lists))
-    return _ordered(shown, single, "album_title", limit)
+    return _answer(graph, mine, graph.albums, keys, columns, with_lists, limit, cut)
 
 
 def led_sessions_of(graph: Graph, name: str) -> DataFrame:

@@ -377,7 +377,8 @@ WORK = hashlib.sha256(b"blue anvil").hexdigest()
 
 _CARD = "ensemble, title, tracks, leaders, participants, year, label, cover"
 # The place of a row in a single question's answer.
-_POS = "rank() OVER (ORDER BY year NULLS LAST, title NULLS LAST) AS pos"
+_ORDER = "year NULLS LAST, title NULLS LAST, album_id, label NULLS LAST"
+_POS = f"row_number() OVER (ORDER BY {_ORDER}) AS pos"
 _BARE_CARD = "ensemble, title, year, label, cover"
 _TEXTS = """
 texts AS (
@@ -551,6 +552,16 @@ def sql() -> dict[str, str]:
     q["l5_needed_columns"] = f"""WITH {GOLD}
       SELECT album_id, artist_id FROM album_artist"""
 
+    q["g9_incremental"] = f"""WITH {GOLD}
+      SELECT 'albums' AS kind, album_id::VARCHAR AS id, title AS shown FROM albums
+      UNION ALL SELECT 'labels', label_id, name FROM labels
+      UNION ALL SELECT 'artists', artist_id, name FROM artists
+      UNION ALL SELECT 'works', work_id, work_title FROM works
+      UNION ALL SELECT 'tracks', track_id, name FROM tracks
+      UNION ALL SELECT 'album_artist', album_id || '-' || artist_id, role FROM album_artist
+      UNION ALL SELECT 'album_work', album_id || '-' || work_id, NULL FROM album_work
+      UNION ALL SELECT 'album_label', album_id || '-' || label_id, NULL FROM album_label"""
+
     # Graph queries.
     for key, table, id_, name in [
         ("q1_suggest_artists", "artists", "artist_id", "name"),
@@ -567,6 +578,8 @@ def sql() -> dict[str, str]:
       WHERE artist_id = '{ARTIST}' AND year BETWEEN 1996 AND 1999"""
     q["q4_bulk"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, album_id, {_BARE_CARD}
       FROM plays_in JOIN artists USING (artist_id) JOIN cards USING (album_id)"""
+    q["q4_bulk_first"] = f"""{q["q4_bulk"]}
+      QUALIFY row_number() OVER (PARTITION BY artist_id ORDER BY {_ORDER}) <= 3"""
     q["q5_leader_sessions"] = f"""WITH {GRAPH} SELECT name AS artist, {_CARD}, {_POS}
       FROM leads JOIN artists USING (artist_id) JOIN cards USING (album_id)
       WHERE artist_id = '{ARTIST}'"""
@@ -574,7 +587,7 @@ def sql() -> dict[str, str]:
       FROM leads JOIN artists USING (artist_id) JOIN cards USING (album_id) WHERE year >= 1997"""
     q["q5_bulk_lists"] = f"""WITH {GRAPH} SELECT artist_id, name AS artist, {_CARD}
       FROM leads JOIN artists USING (artist_id) JOIN cards USING (album_id)
-      WHERE year >= 1997 AND artist_id < '8'"""
+      WHERE year >= 1997"""
     collab = "ensemble, title, leaders, participants, year, label, cover"
     q["q6_collab_albums"] = f"""WITH {GRAPH} SELECT album_id, {collab}, {_POS} FROM cards WHERE album_id IN (
       SELECT album_id FROM plays_in WHERE artist_id IN ('{ARTIST}', '{ARTIST_2}')
@@ -589,6 +602,8 @@ def sql() -> dict[str, str]:
         GROUP BY request_id, album_id)
       SELECT request_id, album_id, {_BARE_CARD} FROM hits JOIN sizes USING (request_id)
       JOIN cards USING (album_id) WHERE n = k"""
+    q["q6_bulk_first"] = q["q6_bulk"].replace(_BARE_CARD, collab) + f"""
+      QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY {_ORDER}) <= 2"""
     q["q7_album_detail"] = f"WITH {GRAPH} SELECT album_id, {_CARD} FROM cards WHERE album_id = 1"
     q["q7_bulk"] = f"WITH {GRAPH} SELECT album_id, {_CARD} FROM cards"
     q["q7_names"] = f"""WITH {GRAPH}

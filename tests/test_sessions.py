@@ -80,6 +80,39 @@ def test_bulk_forms_agree_with_single_ones(spark, graph):
     assert got == sorted(want)
 
 
+def test_limit_holds_for_each_id_and_equal_rows_have_an_order(spark, graph, monkeypatch):
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    twin = graph.albums.where("album_id = 1").withColumn("album_id", F.lit(50).cast("long"))
+    edges = {n: df.unionByName(df.where("album_id = 1").withColumn("album_id", F.lit(50).cast("long")))
+             for n, df in graph.edges.items()}
+    more = Graph({**graph.nodes, "albums": graph.albums.unionByName(twin)}, edges).map(lambda _, df: df.cache())
+    every = se.artist_sessions(more, ANA).collect()
+    assert [r.album_id for r in every] == [1, 50, 2]
+    for limit in (0, 1, 2, 9):
+        first = se.artist_sessions(more, graph.artists, limit=limit, with_lists=True).where(F.col("artist_id") == ANA)
+        assert rows(first.drop("artist_id")) == sorted(map(repr, every[:limit]))
+    monkeypatch.setattr(se, "FEW", 0)  # chosen among parts of a key first
+    first = se.artist_sessions(more, None, limit=2).where(F.col("artist_id") == ANA)
+    assert sorted(r.album_id for r in first.collect()) == [1, 50]
+    monkeypatch.undo()
+    assert [r.album_id for r in se.artist_sessions(more, ANA, limit=2).collect()] == [1, 50]
+    assert [r.title for r in se.leader_sessions(more, None, limit=1, year_min=1962).collect()] == ["Harbour"]
+    assert se.work_appearances(more, None, limit=1).count() == graph.contains.select("work_id").distinct().count()
+    requests = spark.createDataFrame([("r", ANA), ("r", BO)], "request_id STRING, artist_id STRING")
+    got = se.collab_albums_bulk(more, requests, limit=2, with_lists=True).collect()
+    assert sorted(r.album_id for r in got) == [1, 50] and got[0].leaders == ["Ana Sánchez"]
+    assert [r.album_id for r in se.collab_albums(more, [ANA, BO], limit=2).collect()] == [1, 50]
+    with pytest.raises(ValueError):
+        se.artist_sessions(more, None, limit=-1)
+
+
+def test_first_rows_are_cut_before_they_meet(graph):
+    plan = se.artist_sessions(graph, None, limit=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
 def test_all_and_a_table_of_all_agree(graph):
     def rows(df):
         return sorted(map(repr, df.collect()))
