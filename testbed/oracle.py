@@ -573,6 +573,8 @@ def sql() -> dict[str, str]:
           CASE WHEN starts_with(lower({name}), '{text}') THEN 0 ELSE 1 END AS rank,
           rank() OVER (ORDER BY CASE WHEN starts_with(lower({name}), '{text}') THEN 0 ELSE 1 END, lower({name}), {id_}) AS pos
           FROM {table} WHERE contains(lower({name}), '{text}')"""
+    for like in ("q1_suggest_artists", "q2_suggest_works", "q3_suggest_albums"):
+        q[f"{like[:2]}_indexed"] = q[like]
     q["q4_artist_sessions"] = f"""WITH {GRAPH} SELECT name AS artist, album_id, {_CARD}, {_POS}
       FROM plays_in JOIN artists USING (artist_id) JOIN cards USING (album_id)
       WHERE artist_id = '{ARTIST}' AND year BETWEEN 1996 AND 1999"""

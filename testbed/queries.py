@@ -526,6 +526,27 @@ def q3_suggest_albums(spark, sf_dir):
     return _ranked(spark, suggest.suggest_albums(ws.graph(spark, sf_dir), q), q)
 
 
+def _from_index(spark, sf_dir, like: str, table: str, key: str, name: str) -> DataFrame:
+    q, nodes = v.SUGGEST[like], ws.graph(spark, sf_dir).nodes[table]
+    folder = ws.search_index(spark, sf_dir, table, key, name)
+    return _ranked(spark, suggest.indexed_suggestions(nodes, key, name, folder, q), q)
+
+
+@query
+def q1_indexed(spark, sf_dir):
+    return _from_index(spark, sf_dir, "q1_suggest_artists", "artists", "artist_id", "name")
+
+
+@query
+def q2_indexed(spark, sf_dir):
+    return _from_index(spark, sf_dir, "q2_suggest_works", "works", "work_id", "work_title")
+
+
+@query
+def q3_indexed(spark, sf_dir):
+    return _from_index(spark, sf_dir, "q3_suggest_albums", "albums", "album_id", "title")
+
+
 @query
 def q4_artist_sessions(spark, sf_dir):
     found = se.artist_sessions(ws.graph(spark, sf_dir), ARTIST, 1996, 1999)

@@ -13,6 +13,7 @@ from linernotes.fixed_values import ALBUM_DDL
 from linernotes.operators import gold as g
 from linernotes.operators.curation import Catalogue
 from linernotes.operators.graph import Graph
+from linernotes.operators.suggest import write_index
 from linernotes.plans.refresh import (
     load_in_steps, read_gold_tables, read_graph, write_gold_from,
 )
@@ -68,6 +69,12 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
     return read_graph(spark, _once(spark, sf_dir, "graph", build))
 
 
+def search_index(spark: SparkSession, sf_dir: str, table: str, key: str, name: str) -> str:
+    """The folder of the index over a node table's names."""
+    nodes = graph(spark, sf_dir).nodes[table]
+    return _once(spark, sf_dir, f"index_{table}", lambda folder: write_index(nodes, key, name, folder))
+
+
 # Asking for just the bronze columns a table reads leaves out the joins of the others.
 GOLD_INPUT = g.INPUT
 

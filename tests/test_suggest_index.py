@@ -1,0 +1,47 @@
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+
+from linernotes.operators import suggest
+
+NAMES = ["Ann Lee", "lee Ann", "100% Ann", "a_b", "", None, "É", "ÉCOLE", "İstanbul", "ΟΔΟΣ", "🎷 Sax 🎷", "x", "aaaa", "Ann Lee", "naïve " * 400]
+
+
+@pytest.fixture(scope="module")
+def indexed(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("index"))
+    nodes = spark.createDataFrame([(i, n) for i, n in enumerate(NAMES)], "k LONG, n STRING").cache()
+    suggest.write_index(nodes, "k", "n", folder)
+    return nodes, folder
+
+
+@pytest.mark.parametrize("q", ["", "e", "%", "_", "ee", "LEE", "ann", "ann lee", "zz", "nnn", "É", "éc", "i", "İ", "ς", "σ", "Σ", "🎷", "🎷 s", "aaa", "aaaaa", "ve naïve"])
+def test_the_index_answers_as_the_scan(indexed, q):
+    nodes, folder = indexed
+    want = suggest.suggestions(nodes, "k", "n", q).collect()
+    assert suggest.indexed_suggestions(nodes, "k", "n", folder, q).collect() == want
+
+
+def test_a_limit_and_an_empty_table(spark, indexed, tmp_path):
+    nodes, folder = indexed
+    assert [r.id for r in suggest.indexed_suggestions(nodes, "k", "n", folder, "ann", 2).collect()] == [0, 13]
+    none = nodes.where("k < 0")
+    suggest.write_index(none, "k", "n", str(tmp_path / "none"))
+    assert suggest.indexed_suggestions(none, "k", "n", str(tmp_path / "none"), "a").isEmpty()
+
+
+def test_a_search_reads_few_row_groups_and_few_rows(spark, tmp_path):
+    nodes = spark.range(3000).selectExpr("id AS k", "concat(substr(md5(cast(id AS string)), 1, 12), ' name') AS n").cache()
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2000")
+    try:
+        suggest.write_index(nodes, "k", "n", str(tmp_path / "i"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    q = nodes.first().n[2:7] + "name"[:0]
+    rows = suggest.index_rows(nodes, "k", "n", str(tmp_path / "i"), q)
+    assert 0 < rows.count() < 60 and "PushedFilters: [IsNotNull(gram), EqualTo(gram," in rows._jdf.queryExecution().executedPlan().toString()
+    gram = suggest.search_index(nodes.where("k = 0"), "k", "n").where("length(gram) = 3").first().gram
+    spans = [(s.min, s.max) for f in glob.glob(f"{tmp_path}/i/names/*.parquet")
+             for s in [pq.ParquetFile(f).metadata.row_group(0).column(0).statistics]]
+    assert len(spans) > 20 and sum(lo <= gram <= hi for lo, hi in spans) <= 2
