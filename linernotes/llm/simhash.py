@@ -1,18 +1,24 @@
 """SimHash near-duplicates found with vantage-point trees.
 
-Fingerprints lie so far apart (32 bits give or take 4) that a tree over all 64 bits must enter both
-branches at most nodes: searching n fingerprints costs about n ** 1.8. So five trees are kept. Tree b
-routes by the Hamming distance on block b of the bits: two fingerprints within four bits agree on
-one of five blocks at least, and there the triangle bound is zero, so equal block values meet in one
-branch and no pair is lost. Below that, a branch is dealt to shards by rings of the full Hamming
-distance to a vantage point; fingerprints near a ring's lower boundary are also sent, as guests, to
-the ring below, for a pair differs by at most four in that distance. Inside a shard a vantage-point
-tree splits by distance and enters two branches together only within the bound.
+A tree over all 64 bits has to enter both branches at most nodes: fingerprints lie 32 bits apart give or
+take 4, and the bound is 4 as well. So there is a tree for each choice of blocks of the bits, which measures
+the Hamming distance on its blocks only. Two fingerprints within four bits agree on all blocks of at least
+one choice; in that tree both are as far from any vantage point, the triangle bound is zero, and a node's
+branches (one for each pair of distances to its two vantage points) never have to be entered together.
+A node's vantage points are taken from its own rows and kept in a table, and rows go down the tree by
+joins with it, until a node holds few enough rows or its rows differ in other blocks only. Such a node,
+where it is large, is cut by rings of the whole distance, and fingerprints within the bound of a ring's
+lower boundary are also sent, as guests, to the ring below. Inside a leaf a vantage-point tree splits by
+the whole distance and enters two branches together only within the bound.
+
+The more fingerprints there are, the more blocks a choice has, so that leaves stay small: one of five blocks
+(5 trees) up to some millions, two of six (15), three of seven (35), four of eight (70).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -23,13 +29,16 @@ from pyspark.sql.types import IntegralType
 
 from linernotes.llm.common import LOWER_BYTES, cut, named, stored
 
-#: Bits (first, count) of each tree's block.
-BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 #: The vantage point of the rings, an arbitrary fixed point, and the rings' width.
 VANTAGE, RING = 0x5BD1E995C2B2AE35, 8
+#: A tree's node of more rows is split, if its rows differ on the tree's blocks.
+LEAF_ROWS = 512
 #: Rows of a shard that one task compares at a time; larger shards are compared in blocks.
 SHARD_ROWS = 20_000
+#: Rows that the tree inside a leaf compares in pairs.
 LEAF = 48
+#: Blocks that a tree measures: up to four of eight.
+MOST_BLOCKS = 4
 
 
 def fingerprint(data: bytes | None, words_a_shingle: int = 4) -> int:
@@ -70,9 +79,12 @@ class Shard:
     def __init__(self, fps: np.ndarray, bits: int):
         self.fps, self.bits = fps, bits
         self.label = np.arange(len(fps))
+        #: Distances computed so far, to other rows and to vantage points.
+        self.compared = 0
 
     def link(self, a: np.ndarray, b: np.ndarray) -> None:
         """Compares all of a with all of b, indexes of few rows each."""
+        self.compared += len(a) * len(b)
         close = np.bitwise_count(self.fps[a][:, None] ^ self.fps[b][None, :]) <= self.bits
         close &= self.label[a][:, None] != self.label[b][None, :]
         while close.any():
@@ -83,6 +95,7 @@ class Shard:
 
     def parts(self, ids: np.ndarray, vantage: np.uint64, radius: int) -> tuple[np.ndarray, ...]:
         """Inside, outside, and of either what lies close enough to the boundary to have links across."""
+        self.compared += len(ids)
         d = np.bitwise_count(self.fps[ids] ^ vantage).astype(int)
         inner = d <= radius
         return ids[inner], ids[~inner], ids[inner & (d > radius - self.bits)], ids[~inner & (d <= radius + self.bits)]
@@ -145,30 +158,81 @@ def shard_links(nodes: np.ndarray, fps: np.ndarray, role: np.ndarray, bits: int)
     return nodes[moved], nodes[shard.label[moved]]
 
 
-def links(nodes: DataFrame, bits: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def tree_masks(bits: int, blocks: int) -> list[int]:
+    """The bits of each tree: any two fingerprints within ``bits`` agree on all bits of one of these masks.
+
+    Of ``bits`` + ``blocks`` blocks of the 64 bits at most ``bits`` differ, so ``blocks`` of them agree.
+    """
+    edges = [64 * i // (bits + blocks) for i in range(bits + blocks + 1)]
+    parts = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
+    return [sum(chosen) for chosen in combinations(parts, blocks)]
+
+
+def blocks_for(count: int, bits: int, leaf_rows: int = LEAF_ROWS) -> int:
+    """The fewest blocks a tree for which evenly spread fingerprints would leave leaves of at most ``leaf_rows``."""
+    for blocks in range(1, MOST_BLOCKS):
+        if count <= leaf_rows << min(m.bit_count() for m in tree_masks(bits, blocks)):
+            return blocks
+    return MOST_BLOCKS
+
+
+def leaves(nodes: DataFrame, bits: int = 4, leaf_rows: int = LEAF_ROWS, blocks: int | None = None) -> DataFrame:
+    """(node, fp, tree, leaf): each row once in every tree. Rows that agree on a tree's bits share its leaf.
+
+    A round splits all nodes above ``leaf_rows`` whose rows differ on the tree's bits; a node's row at distance
+    zero of itself parts from some other, so the rounds end. Two nodes whose hashed names meet are one.
+    """
+    if not 0 <= bits <= 64 - MOST_BLOCKS:
+        raise ValueError(f"no trees for links within {bits} bits")
+    if blocks is None:
+        blocks = blocks_for(nodes.count(), bits, leaf_rows)
+    trees = F.array(*[F.struct(F.lit(i).alias("tree"), F.lit(signed(m)).alias("mask")) for i, m in enumerate(tree_masks(bits, blocks))])
+    rows = nodes.select("node", "fp", F.explode(trees).alias("t")).select("node", "fp", "t.tree", "t.mask", F.lit(0).cast("long").alias("leaf"))
+    part = F.col("fp").bitwiseAND(F.col("mask"))
+
+    def distance(point: str) -> Column:
+        return F.bit_count(F.col("fp").bitwiseXOR(F.col(point)).bitwiseAND(F.col("mask")))
+
+    while True:
+        seen = rows.groupBy("tree", "leaf").agg(
+            F.count("*").alias("n"), F.min(part).alias("least"), F.max(part).alias("most"),
+            F.min_by("fp", F.xxhash64(F.lit(1), "fp")).alias("one"), F.min_by("fp", F.xxhash64(F.lit(2), "fp")).alias("two"),
+        )
+        vantage = stored(seen.filter((F.col("n") > leaf_rows) & (F.col("least") != F.col("most"))).select("tree", "leaf", "one", "two"))
+        if vantage.isEmpty():
+            return rows.drop("mask")
+        branch = F.xxhash64("leaf", distance("one"), distance("two"))
+        rows = rows.join(vantage, ["tree", "leaf"], "left").select(
+            "node", "fp", "tree", "mask", F.when(F.col("one").isNull(), F.col("leaf")).otherwise(branch).alias("leaf")
+        )
+
+
+def links(nodes: DataFrame, bits: int = 4, shard_rows: int = SHARD_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Links (u, v), u > v, that connect all of nodes (node long, fp long, one row a fingerprint) within ``bits``."""
-    if bits >= len(BLOCKS):
-        raise ValueError(f"{len(BLOCKS)} blocks find pairs within {len(BLOCKS) - 1} bits")
-    fp = F.col("fp")
-    trees = F.array(*[
-        F.lit(i << 13) + F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << count) - 1)) for i, (first, count) in enumerate(BLOCKS)
-    ])
-    signed = VANTAGE - (1 << 64) if VANTAGE >> 63 else VANTAGE
-    distance = F.bit_count(fp.bitwiseXOR(F.lit(signed)))
+    if bits > RING:
+        raise ValueError(f"rings find pairs within {RING} bits")
+    routed = cut(leaves(nodes, bits, leaf_rows))
+    # Rows that agree on a tree's bits and are still many: the tree goes on by the whole distance.
+    solid = routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") > min(4 * leaf_rows, shard_rows))
+    distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(VANTAGE))))
     ring = F.floor(distance / RING).cast("int")
-    places = F.when(
-        (distance % RING < bits) & (ring > 0),
-        F.array(F.struct(ring.alias("ring"), F.lit(0).alias("role")), F.struct((ring - 1).alias("ring"), F.lit(1).alias("role"))),
-    ).otherwise(F.array(F.struct(ring.alias("ring"), F.lit(0).alias("role"))))
+    whole = F.array(F.struct(F.lit(-1).alias("ring"), F.lit(0).alias("role")))
+    home, guest = F.struct(ring.alias("ring"), F.lit(0).alias("role")), F.struct((ring - 1).alias("ring"), F.lit(1).alias("role"))
+    ringed = F.when((distance % RING < bits) & (ring > 0), F.array(home, guest)).otherwise(F.array(home))
     dealt = (
-        nodes.select("node", "fp", F.explode(trees).alias("branch"), places.alias("places"))
-        .select("node", "fp", "branch", F.explode("places").alias("p"))
-        .select("node", "fp", (F.col("branch") * 16 + F.col("p.ring")).alias("shard"), F.col("p.role").alias("role"))
+        routed.join(stored(solid.select("tree", "leaf", F.lit(True).alias("solid"))), ["tree", "leaf"], "left")
+        .select("node", "fp", "tree", "leaf", F.explode(F.when(F.col("solid"), ringed).otherwise(whole)).alias("p"))
+        .select("node", "fp", "tree", "leaf", "p.ring", "p.role")
     )
     # A shard over the limit is compared in pairs of blocks, by as many tasks.
-    large = dealt.groupBy("shard").agg(F.count("*").alias("n")).filter(F.col("n") > shard_rows)
-    large = large.select("shard", F.ceil(F.col("n") * 2 / shard_rows).cast("int").alias("cuts"))
-    placed = dealt.join(cut(large), "shard", "left")
+    shard = ["tree", "leaf", "ring"]
+    large = dealt.filter("ring >= 0").groupBy(*shard).agg(F.count("*").alias("n")).filter(F.col("n") > shard_rows)
+    large = large.select(*shard, F.ceil(F.col("n") * 2 / shard_rows).cast("int").alias("cuts"))
+    placed = dealt.join(stored(large), shard, "left")
     own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("cuts") - 1),
@@ -178,18 +242,18 @@ def links(nodes: DataFrame, bits: int = 4, shard_rows: int = SHARD_ROWS) -> Data
         ),
     )
     one = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.col("role").alias("role")))
+    keys = [*shard, "i", "j"]
     jobs = placed.withColumn("job", F.explode(F.when(F.col("cuts").isNull(), one).otherwise(pairs))).select(
-        "shard", "job.i", "job.j", "job.role", "node", "fp"
+        *shard, "job.i", "job.j", "job.role", "node", "fp"
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for shard in runs_of(frames, ["shard", "i", "j"]):
-            if len(shard) > 1:
-                u, v = shard_links(shard["node"].to_numpy(), shard["fp"].to_numpy(), shard["role"].to_numpy(), bits)
+        for group in runs_of(frames, keys):
+            if len(group) > 1:
+                u, v = shard_links(group["node"].to_numpy(), group["fp"].to_numpy(), group["role"].to_numpy(), bits)
                 if len(u):
                     yield pd.DataFrame({"u": np.maximum(u, v), "v": np.minimum(u, v)})
 
-    keys = ["shard", "i", "j"]
     return jobs.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "u long, v long")
 
 

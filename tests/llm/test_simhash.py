@@ -73,6 +73,82 @@ def test_tree_finds_every_link(flips):
         assert (shard.label[linked] == shard.label[i]).all()
 
 
+def test_masks_of_every_number_of_blocks():
+    """Whatever bits are flipped, some tree sees none of them."""
+    rng = random.Random(5)
+    for blocks in (1, 2, 3, 4):
+        masks = simhash.tree_masks(4, blocks)
+        for _ in range(3000):
+            flipped = sum(1 << b for b in rng.sample(range(64), rng.randrange(5)))
+            assert any(not flipped & m for m in masks)
+    assert [simhash.blocks_for(n, 4) for n in (0, 10**6, 10**8, 10**10, 10**14)] == [1, 1, 2, 3, 4]
+
+
+def near_and_far(spark, n, spread, copies):
+    """Fingerprints at random or in clusters (``spread`` bits about few centres), each with a near copy at times."""
+    rng = np.random.default_rng(n)
+    fps = rng.integers(0, 2**64, n, dtype=np.uint64)
+    if spread:
+        fps = fps[rng.integers(0, 6, n)]
+        for _ in range(spread):
+            fps ^= np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)
+    near = fps[:copies].copy()
+    for _ in range(4):
+        near ^= np.uint64(1) << rng.integers(0, 64, copies, dtype=np.uint64)
+    fps = np.unique(np.concatenate([fps, near]))
+    return fps, spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps.view(np.int64))], "node long, fp long")
+
+
+def linked(fps):
+    """Each fingerprint's group by all pairs, named by its smallest."""
+    label = np.arange(len(fps))
+    for i in range(len(fps)):
+        near = np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 4)
+        for other in np.unique(label[near]):
+            label[label == other] = label[near].min()
+    least = {}
+    for i, one in enumerate(label):
+        least.setdefault(one, i)
+    return [least[one] for one in label]
+
+
+@pytest.mark.parametrize("spread, leaf_rows, shard_rows", [(0, 64, 20_000), (8, 32, 20_000), (14, 16, 40), (2, 8, 20)])
+def test_links_against_all_pairs(spark, spread, leaf_rows, shard_rows):
+    fps, nodes = near_and_far(spark, 1500, spread, 400)
+    found = components(simhash.links(nodes, 4, shard_rows, leaf_rows))
+    group = {r["node"]: r["component"] for r in found.collect()}
+    assert [group.get(i, i) for i in range(len(fps))] == linked(fps)
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3])
+def test_near_fingerprints_share_a_leaf(spark, blocks):
+    fps, nodes = near_and_far(spark, 600, 0, 300)
+    at = {}
+    for r in simhash.leaves(nodes, 4, 8, blocks).collect():
+        at.setdefault(r["node"], {})[r["tree"]] = r["leaf"]
+    assert {len(trees) for trees in at.values()} == {len(simhash.tree_masks(4, blocks))}
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 4):
+            assert any(at[i][t] == at[j][t] for t in at[i])
+
+
+@pytest.mark.parametrize("spread", [0, 14])
+def test_trees_prune(spark, spread):
+    """Distances computed, routing included, are far fewer than all pairs; leaves are large, and pruned inside."""
+    fps, nodes = near_and_far(spark, 20_000, spread, 1000)
+    routed = simhash.leaves(nodes, 4, 512).toPandas()
+    compared, inside, sizes = 0, 0, []
+    for _, leaf in routed.groupby(["tree", "leaf"]):
+        shard = Shard(leaf["fp"].to_numpy().view(np.uint64), 4)
+        shard.within(np.arange(len(leaf)))
+        compared += shard.compared
+        inside += len(leaf) ** 2
+        sizes.append(len(leaf))
+    pairs = len(fps) * (len(fps) - 1) / 2
+    assert compared + 2 * 3 * len(routed) < 0.1 * pairs
+    assert max(sizes) > simhash.LEAF and compared < 0.6 * inside
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i + 1, i) for i in range(10, 40)]
     star = [(100 + i, 100) for i in range(1, 30)]
