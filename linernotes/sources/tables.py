@@ -34,16 +34,17 @@ def open_tables(
 
 
 def read_bronze(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
-    """Bronze rows. Columns added by later batches are null in the earlier ones.
+    """Bronze rows, compacted or not. Columns added by later batches are null in the earlier ones.
 
     With a schema, configured or learned, that costs nothing; without one the footers of all files are
     merged.
     """
+    from linernotes.sources.compacted import with_runs
     from linernotes.streaming.schemas import bronze_schema
 
     schema, reader = bronze_schema(spark, cfg), spark.read.format(cfg.format)
     reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
-    return reader.load(cfg.path)
+    return with_runs(spark, cfg, reader.load(cfg.path))
 
 
 def register(
@@ -86,10 +87,12 @@ def register(
 
 def registered_batches(spark: SparkSession, cfg: BronzeConfig, ingest: str) -> set[int] | None:
     """The batches of an ingest that the catalog shows; None if it does not know the table."""
-    database = cfg.table.split(".")[0]
-    if cfg.format == "delta" or not spark.catalog.databaseExists(database) or not spark.catalog.tableExists(cfg.table):
+    from linernotes.sources.compacted import live_table
+
+    database, table = cfg.table.split(".")[0], live_table(spark, cfg)
+    if cfg.format == "delta" or not spark.catalog.databaseExists(database) or not spark.catalog.tableExists(table):
         return None
-    shown = spark.sql(f"SHOW PARTITIONS {cfg.table} PARTITION ({fv.INGEST_COLUMN}='{ingest}')")
+    shown = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({fv.INGEST_COLUMN}='{ingest}')")
     batch = F.regexp_extract("partition", f"{fv.BATCH_COLUMN}=([0-9]+)", 1).cast("long")
     return {r["b"] for r in shown.select(batch.alias("b")).distinct().collect()}
 
@@ -104,12 +107,17 @@ def ensure_bronze(
 
     ``batches`` are the (ingest, batch) partitions to add, None if they are not known.
     """
+    from linernotes.sources import compacted
+
     if open_table(spark, cfg.path, cfg.format) is not None:
         new = None
         if batches is not None and not cfg.partition_by and cfg.mode == "append":
             new = [f"{fv.INGEST_COLUMN}='{i}', {fv.BATCH_COLUMN}={b}" for i, b in batches]
         schema = None if cfg.partition_by else schema
-        register(spark, cfg.table, cfg.path, cfg.format, cfg.format != "delta", new, schema)
+        table = compacted.live_table(spark, cfg)
+        register(spark, table, cfg.path, cfg.format, cfg.format != "delta", new, schema)
+        if table != cfg.table and schema is not None:
+            compacted.show(spark, cfg, schema)
     return cfg.table, cfg.path, cfg.format
 
 

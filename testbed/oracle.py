@@ -656,7 +656,7 @@ def sql() -> dict[str, str]:
       UNION ALL SELECT NULL, NULL, 'no id' FROM range((SELECT greatest(8, (count(*) + 999) // 1000) FROM documents))"""
     q["s2b_repaired_files"] = """SELECT doc_id AS id, text AS title,
       (SELECT count(*) FROM documents WHERE lang = 'en')::INTEGER AS set_aside, 0::INTEGER AS "left" FROM documents"""
-    q["s8_broken_run"] = f"WITH {RECORDS} SELECT id, title, year FROM bronze"
+    q["s8_broken_run"] = q["s5_compacted"] = f"WITH {RECORDS} SELECT id, title, year FROM bronze"
     record = f"WITH {RECORDS} SELECT {_FLAT_RECORD} FROM bronze"
     for key in ("s2_json_stream", "s6_incremental", "s7_append", "s9_bronze_scan", "s14_album_json"):
         q[key] = record

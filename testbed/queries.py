@@ -16,6 +16,7 @@ from linernotes.operators import suggest
 from linernotes.plans import gold_versions as gov, graph_versions as gv
 from linernotes.plans.refresh import load_in_steps, read_gold_tables, read_graph
 from linernotes.session import build_session
+from linernotes.sources.compacted import compact
 from linernotes.sources import landing as ld, tables as tb
 from linernotes.sources.delivery import deliver
 from linernotes.streaming import bronze as br
@@ -908,6 +909,25 @@ def s8_broken_run(spark, sf_dir):
     return spark.table(table).select("id", "title", "year")
 
 
+@query
+def s5_compacted(spark, sf_dir):
+    """Many small batches made one run, all of them replayed with other rows, then new batches and a second run."""
+    cfg = ws.bronze_config(spark, ws.new_folder(spark, "landing"), max_files_per_trigger=2, database=f"packed_{uuid.uuid4().hex[:8]}")
+    rows = v.bronze(spark, sf_dir, "id", "title", "year")
+    part = F.when(F.col("id") % 7 == 0, "late").when(F.col("id") % 7 == 1, "last").otherwise("early")
+    for name in ("early", "late", "last"):
+        rows.where(part == name).repartition(4).write.json(f"{cfg.landing}/{name}")
+        br.run_bronze(spark, cfg)
+        if name == "early":
+            compact(spark, cfg)
+            ingest, again = br.ingest_id(spark, cfg), rows.where("id % 7 = 0").transform(ws.as_landed)
+            for batch in range(2):
+                br.append_batch(again, batch, cfg, ingest)
+        elif name == "late":
+            compact(spark, cfg)
+    return spark.table(cfg.table).select("id", "title", "year")
+
+
 @query
 def s2b_repaired_files(spark, sf_dir):
     """Documents as JSON lines, those in English cut off; then the same files whole, read again."""

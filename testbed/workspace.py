@@ -6,7 +6,8 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from linernotes.config import BronzeConfig, GoldConfig
 from linernotes.fixed_values import ALBUM_DDL
@@ -105,6 +106,13 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def as_landed(rows: DataFrame) -> DataFrame:
+    """Rows as a batch of the stream has them: all landed columns, null where not given, and the ingestion columns."""
+    columns = StructType.fromDDL(ALBUM_DDL)
+    landed = [(F.col(c.name) if c.name in rows.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in columns]
+    return rows.select(F.current_timestamp().alias("_ingested_at"), F.lit("by hand").alias("_ingested_filename"), *landed)
+
+
 def bronze_config(spark: SparkSession, landed: str, **settings) -> BronzeConfig:
     folder = new_folder(spark, "lake")
     return BronzeConfig(
