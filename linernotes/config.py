@@ -45,6 +45,11 @@ class BronzeConfig:
     max_files_per_trigger: int = fv.MAX_FILES_PER_TRIGGER
     # Landed files older than the newest one seen by more than this are never read.
     max_file_age: str = fv.MAX_FILE_AGE
+    # Where landed files are moved to when their batch is committed; None leaves them in the landing folder.
+    # Not below the landing folder.
+    archive: str | None = None
+    # Folder of files stored before, at any depth: landed files of the same names are not read. May be the archive.
+    stored: str | None = None
     format: str = "parquet"
     mode: str = "append"
     partition_by: tuple[str, ...] = ()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from linernotes.sources.tables import open_table
+
 JSON_FILES = "*.[jJ][sS][oO][nN]"
 
 
@@ -34,6 +36,19 @@ def new_files(landed: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     return admitted.join(known, "name", "left_anti")
 
 
+def not_stored(rows: DataFrame, path: str, folder: str) -> DataFrame:
+    """Rows whose file, named by a column of paths, has no namesake below a folder of stored files.
+
+    The column holds paths as a listing gives them (``path``), or else as rows' metadata do, with signs escaped.
+    """
+    files = open_table(rows.sparkSession, folder, "binaryFile", recursiveFileLookup="true")
+    if files is None:
+        return rows
+    same = F.col("path") if path == "path" else F.col("_metadata.file_path")
+    known = files.select(file_name(same).alias("__stored")).distinct()
+    return rows.join(known, file_name(rows[path]) == F.col("__stored"), "left_anti")
+
+
 def write_albums(albums: DataFrame, folder: str) -> None:
     """Album records as JSON lines, many to a file; non-ASCII text is kept as it is."""
     albums.write.option("ignoreNullFields", False).json(folder)

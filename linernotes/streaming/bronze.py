@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from linernotes import fixed_values as fv
 from linernotes.config import BronzeConfig
-from linernotes.sources.landing import JSON_FILES
+from linernotes.sources.landing import JSON_FILES, not_stored
 from linernotes.sources.tables import ensure_bronze, open_table, registered_batches
 from linernotes.streaming import quarantine, schemas
 
@@ -45,13 +45,16 @@ def with_corrupt(schema: str | StructType) -> str | StructType:
 def _landed(spark: SparkSession, cfg: BronzeConfig, format: str) -> DataStreamReader:
     if cfg.source_format.lower() != "json":
         raise ValueError(f"only json can be read, not {cfg.source_format!r}")
-    return (
+    reader = (
         spark.readStream.format(format)
         .options(**json_options(cfg))
         .option("fileNameOnly", True)
         .option("maxFilesPerTrigger", cfg.max_files_per_trigger)
         .option("maxFileAge", cfg.max_file_age)
     )
+    if cfg.archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", cfg.archive)
+    return reader
 
 
 def read_landing(spark: SparkSession, cfg: BronzeConfig) -> DataFrame:
@@ -135,10 +138,18 @@ def start_bronze(
     Each batch's bad records are set aside. With a configured schema records are streamed; without one
     the stream is of file names, at most ``max_files_per_trigger`` a batch, and each batch is read by what
     its files add to the schema. The partitions of the batches are added to ``written``.
+
+    With an ``archive`` Spark moves a batch's files there, under their own paths, after the batch is committed;
+    those of a run's last batch when the next run begins its first. So no batch that may be repeated misses a
+    file. Files whose name is ``stored`` already are left out of their batch, and go to the archive with it.
     """
     own_id = cache(lambda: ingest_id(spark, cfg))
 
+    path = "path" if cfg.schema is None else "_ingested_filename"
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        if cfg.stored is not None:
+            batch = not_stored(batch, path, cfg.stored)
         if cfg.schema is None:
             paths = [r["path"] for r in batch.select("path").distinct().collect()]
             if not paths:

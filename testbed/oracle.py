@@ -652,6 +652,8 @@ def sql() -> dict[str, str]:
         SELECT path, string_split(path, '/')[-1] AS name FROM paths WHERE lower(path) LIKE '%.json')
       WHERE name NOT IN (SELECT string_split(path, '/')[-1] FROM raw_paths) GROUP BY name"""
     q["s1_listed_files"] = "SELECT s_suppkey || '.json' AS name FROM supplier WHERE s_suppkey % 2 = 1"
+    q["s1_archived_stream"] = """SELECT c_custkey AS id, c_name AS title, TRUE AS archived FROM customer
+      WHERE c_custkey % (SELECT greatest(8, (count(*) + 999) // 1000) FROM customer) % 4 <> 3"""
     q["s2b_multi_line"] = """SELECT doc_id AS id, text AS title, lang AS label FROM documents
       UNION ALL SELECT NULL, NULL, 'no id' FROM range((SELECT greatest(8, (count(*) + 999) // 1000) FROM documents))"""
     q["s2b_repaired_files"] = """SELECT doc_id AS id, text AS title,

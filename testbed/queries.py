@@ -716,6 +716,31 @@ def s1_listed_files(spark, sf_dir):
     return ld.new_files(listed["landed"], listed["raw"]).select("name")
 
 
+@query
+def s1_archived_stream(spark, sf_dir):
+    """Landed files go to an archive once read; files of names stored before, or read before, are not admitted."""
+    customers = v.table(spark, sf_dir, "customer")
+    files = max(8, -(-customers.count() // 1000))  # a file of about a thousand records is one row here
+    file = F.pmod("c_custkey", F.lit(files)).alias("file")
+    record = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("title")))
+    contents = customers.groupBy(file).agg(F.array_join(F.collect_list(record), "\n").alias("lines"))
+    landing, stored = ws.new_folder(spark, "landing"), ws.new_folder(spark, "stored")
+
+    def put(folder: str, rows: DataFrame) -> None:
+        send = ws.send_files(folder, lambda rows: f"{rows[0]['file']}.json", lambda rows: rows[0]["lines"].encode())
+        deliver(rows, send, batch_rows=1)
+
+    cfg = ws.bronze_config(spark, landing, archive=ws.new_folder(spark, "archive"), stored=stored, database=f"archived_{uuid.uuid4().hex[:8]}")
+    put(stored, contents.where("file % 4 = 3"))
+    put(f"{landing}/first", contents.where("file % 2 = 1"))
+    br.run_bronze(spark, cfg)
+    put(f"{landing}/again", contents.where("file % 4 = 1"))
+    put(f"{landing}/second", contents.where("file % 2 = 0"))
+    br.run_bronze(spark, cfg)
+    archived = ld.list_files(spark, cfg.archive).where(F.contains("path", F.lit("/first/"))).count()
+    return spark.table(cfg.table).select("id", "title", F.lit(2 * archived >= files // 2).alias("archived"))
+
+
 def _bronze(spark, sf_dir) -> DataFrame:
     return tb.read_bronze(spark, ws.ingested(spark, sf_dir))
 
