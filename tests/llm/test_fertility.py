@@ -6,7 +6,7 @@ from collections import Counter
 import sentencepiece
 
 from linernotes.llm.common import VOCABULARY, read_bounded
-from linernotes.llm.fertility import BLOCK, Bands, Fertility, profile, quality_rules
+from linernotes.llm.fertility import BLOCK, STEPS, Bands, Fertility, profile, quality_rules
 from tests.llm.conftest import SCHEMA, prose, row
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,6 +66,63 @@ def test_rare_languages_are_held_to_the_bands_of_all(spark):
     assert got[500] and got[501]
 
 
+def brute_kept(docs, settings, model):
+    """(base_failed, kept) of each (doc_id, text, lang), bands by sorting every passing document's measures."""
+    seen = {}
+    for i, text, lang in docs:
+        n, _, _, _, repeated = brute_counts(text)
+        failed = n < settings.min_words or 100 * repeated > settings.max_repeat_percent * n
+        seen[i] = failed, lang, brute_measures(text, model)
+
+    def band(measures):
+        sides = []
+        for m in range(3):
+            steps = sorted(math.floor(x[m] * STEPS + 0.5) for x in measures)
+            q1, q3 = (steps[max(0, math.ceil(len(steps) * q) - 1)] / STEPS for q in (0.25, 0.75))
+            unit = max(q3 - q1, settings.least[m])
+            sides.append((q1 - settings.below[m] * unit, q3 + settings.above[m] * unit))
+        return sides
+
+    passing = {}
+    for failed, lang, measures in seen.values():
+        if not failed:
+            passing.setdefault(lang, []).append(measures)
+    general = band([m for of_lang in passing.values() for m in of_lang])
+    own = {lang: band(ms) for lang, ms in passing.items() if len(ms) >= settings.min_docs}
+    return {
+        i: (failed, not failed and all(low <= x <= high for x, (low, high) in zip(m, own.get(lang, general))))
+        for i, (failed, lang, m) in seen.items()
+    }
+
+
+def test_bands_and_verdicts_against_brute_force(spark):
+    rng = random.Random(7)
+    letters = "абвгдежзиклмнопрстуфхцчшщ"
+    docs = []
+    for i in range(260):
+        lang = ["en", "en", "ru", "de", "xx"][i % 5] if i < 250 else "rare"
+        if lang == "ru":
+            text = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(40, 130)))
+        else:
+            text = prose(rng, rng.randint(40, 160))
+        if rng.random() < 0.2:  # of odd measures, more or less of them
+            words = text.split()
+            for _ in range(rng.randint(1, 120)):
+                words.insert(rng.randrange(len(words)), rng.choice(["###", "日本語漢字", "🙂🙂", "qzxj%kw", "aaaaaaaaaaaaaaaa"]))
+            text = " ".join(words)
+        if rng.random() < 0.05:
+            text = " ".join(["same three words"] * 40)
+        docs.append((i, text, lang))
+    df = spark.createDataFrame([row(i, t, lang) for i, t, lang in docs], SCHEMA).repartition(4)
+    model = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    tight = Bands(below=(0.7, 1.0, 0.8), above=(0.9, 1.0, 0.6), min_docs=30)
+    for settings in (Bands(), tight):
+        got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules(df, settings).collect()}
+        want = brute_kept(docs, settings, model)
+        assert got == want
+    assert 20 < sum(k for _, k in want.values()) < 220
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = quality_rules(odd_docs).collect()
     assert len(got) == odd_docs.count()

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from linernotes.llm.quality_cnn import SHAPE, Fit, Network, chunks_of, fit, keep_good, quality_scores
+from linernotes.llm.quality_cnn import SHAPE, Fit, Network, chunks_of, fit, keep_good, learn, quality_scores
 from tests.llm.conftest import SCHEMA, prose, row
 
 FAST = Fit(sample_rows=500, steps=120)
@@ -27,6 +27,44 @@ def test_chunks_cover_every_byte():
         assert back.rstrip(b"\0") == data
 
 
+def brute_score(text, net):
+    """The network's formula, a byte, a chunk and a window at a time, in double precision."""
+    data = (text or "").encode()
+    w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    filters = w["filters"].reshape(SHAPE.width, SHAPE.embedded, SHAPE.filters)
+    pooled, start = [], 0
+    while True:
+        chunk = data[start : start + SHAPE.chunk].ljust(SHAPE.chunk, b"\0")
+        best = np.full(SHAPE.filters, -np.inf)
+        for at in range(0, SHAPE.chunk - SHAPE.width + 1, SHAPE.stride):
+            answer = w["bias"].copy()
+            for k in range(SHAPE.width):
+                answer += w["embedding"][chunk[at + k]] @ filters[k]
+            best = np.maximum(best, answer)
+        pooled.append(np.maximum(best, 0))
+        if start + SHAPE.chunk >= len(data):
+            break
+        start += SHAPE.step
+    features = np.concatenate([np.max(pooled, axis=0), np.mean(pooled, axis=0)])
+    return 1 / (1 + np.exp(-float(features @ w["combine"] + w["offset"][0])))
+
+
+def test_scores_against_brute_force(spark):
+    docs, labels = labelled(spark, 80)
+    rng = random.Random(9)
+    more = [None, "", "x", "é" * 100, prose(rng, 2) + "\0" + prose(rng, 30), prose(rng, 900), "$$$ " * 700, "y" * (SHAPE.chunk + 1)]
+    more += ["z" * n for n in (SHAPE.width - 1, SHAPE.chunk - 1, SHAPE.chunk, SHAPE.chunk + SHAPE.step, SHAPE.chunk + SHAPE.step + 1)]
+    docs = docs.unionByName(spark.createDataFrame([row(1000 + i, t) for i, t in enumerate(more)], SCHEMA)).repartition(3)
+    net = learn(docs, labels, FAST)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = quality_scores(docs, labels, FAST).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = brute_score(texts[r["doc_id"]], net)
+        assert abs(r["score"] - want) < 1e-5
+        assert r["predicted"] == int(r["score"] >= 0.3)
+
+
 def test_gradients():
     rng = np.random.default_rng(3)
     net = Network.fresh(0.6, 1)
