@@ -51,6 +51,7 @@ class BronzeConfig:
     # Folder of files stored before, at any depth: landed files of the same names are not read. May be the archive.
     stored: str | None = None
     format: str = "parquet"
+    # With "overwrite" each micro-batch replaces all before it: only the last one's rows stay.
     mode: str = "append"
     partition_by: tuple[str, ...] = ()
     writer_options: dict[str, str] = field(default_factory=dict)
