@@ -22,9 +22,8 @@ from pyspark.sql import Window
 
 from linernotes.llm.common import VOCABULARY, held_out, read_bounded, slices, spread_pieces, stored
 
-#: Digits and numerals that regular expressions take for letters: superscripts, fractions, Roman and circled ones.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+#: Runs of letters, digits of no decimal system and numerals; ``words`` keeps their letters.
+RUNS = re.compile(r"[^\W\d_]+")
 START = "▁"
 #: Longer words are summed a character at a time with rescaling, so that nothing underflows.
 SHORT = 32
@@ -45,11 +44,23 @@ class Fit:
     unknown: float = 1e-8
 
 
+def letters(run: str) -> list[str]:
+    """A run's words: parted at numerals, which regular expressions take for letters (superscripts, fractions, Roman ones)."""
+    return [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
+
+
+def words(text: str) -> list[str]:
+    """The runs of letters of a text."""
+    found = RUNS.findall(text)
+    # Hardly any text has a numeral: one look at all of its runs.
+    return found if "".join(found).isalpha() else [w for run in found for w in letters(run)]
+
+
 def vocabulary(path: str = VOCABULARY) -> list[str]:
     """The vocabulary's pieces of lower-case letters, some with the mark of a word's start."""
     model = sentencepiece.SentencePieceProcessor(model_proto=read_bounded(path))
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in pieces if LETTERS.fullmatch(p.removeprefix(START) or "a") and p == p.lower()})
+    return sorted({p for p in pieces if (p.removeprefix(START) or "a").isalpha() and p == p.lower()})
 
 
 class Pieces:
@@ -129,16 +140,16 @@ def fit(samples: list[tuple[str, list[str]]], vocabulary_pieces: list[str], sett
     counts: dict[str, Counter] = defaultdict(Counter)
     for lang, texts in samples:
         for text in texts:
-            counts[lang].update(w for w in LETTERS.findall(text.lower()) if len(w) < SHORT)
+            counts[lang].update(w for w in words(text.lower()) if len(w) < SHORT)
     languages = sorted(counts)
     own = Pieces(vocabulary_pieces)
-    words = sorted({w for c in counts.values() for w in c})
-    weight = np.array([[counts[lang][w] for lang in languages] for w in words], float).reshape(len(words), len(languages))
+    known = sorted({w for c in counts.values() for w in c})
+    weight = np.array([[counts[lang][w] for lang in languages] for w in known], float).reshape(len(known), len(languages))
     groups = []
-    for n, at in by_length(words).items():
+    for n, at in by_length(known).items():
         for i in range(0, len(at), 8192):
             some = at[i : i + 8192]
-            groups.append((n, own.table([START + words[j] for j in some], n), weight[some]))
+            groups.append((n, own.table([START + known[j] for j in some], n), weight[some]))
 
     def probabilities(expected: np.ndarray) -> np.ndarray:
         p = expected + settings.prior
@@ -205,13 +216,13 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
         for texts in series:
             rows = []
             for part in slices(texts, 1 << 22):
-                found = [LETTERS.findall((t or "").lower()) for t in part]
+                found = [words((t or "").lower()) for t in part]
                 if len(at) > REMEMBERED:
                     at, logs = {}, logs[:0]
                 new = sorted(set().union(*found).difference(at))
                 at.update(zip(new, range(len(logs), len(logs) + len(new))))
                 logs = np.concatenate([logs, model.fill(own, new, np.empty((len(new), len(model.languages))))])
-                rows += [verdict(logs[[at[w] for w in words]].sum(axis=0) if words else None, model.languages) for words in found]
+                rows += [verdict(logs[[at[w] for w in of_text]].sum(axis=0) if of_text else None, model.languages) for of_text in found]
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
     return docs.select("doc_id", F.pandas_udf(run, "lang_pred string, score double")("text").alias("r")).select("doc_id", "r.*")
