@@ -64,13 +64,15 @@ def _only(rows: DataFrame, albums: DataFrame | None) -> DataFrame:
     return rows if albums is None else rows.join(albums.select("album_id"), "album_id", "left_semi")
 
 
-def _named_edges(graph: Graph, albums: DataFrame | None) -> DataFrame:
+def _named_edges(graph: Graph, albums: DataFrame | None, lists: list[str] = LISTS) -> DataFrame:
     people = graph.of_albums("leads").select(
         "album_id", "artist_id", F.lit("leaders").alias("kind")
     ).unionByName(
         graph.of_albums("plays_in").select("album_id", "artist_id", F.lit("participants").alias("kind"))
     )
     people = _only(people, albums).join(graph.artists, "artist_id")
+    if "tracks" not in lists:
+        return people.select("album_id", "kind", "name")
     titles = _only(graph.of_albums("contains"), albums).join(graph.works, "work_id")
     return people.select("album_id", "kind", "name").unionByName(
         titles.select(
@@ -84,18 +86,18 @@ def album_names(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
     return _named_edges(graph, albums).distinct()
 
 
-def album_lists(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
-    """Per album its three lists of names; albums without any edge have no row."""
+def album_lists(graph: Graph, albums: DataFrame | None = None, lists: list[str] = LISTS) -> DataFrame:
+    """Per album its lists of names, three or those asked for; albums without an edge of these have no row."""
     collected = [
         F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.col("name")))).alias(k)
-        for k in LISTS
+        for k in lists
     ]
-    return _named_edges(graph, albums).groupBy("album_id").agg(*collected)
+    return _named_edges(graph, albums, lists).groupBy("album_id").agg(*collected)
 
 
-def _no_null_lists() -> dict[str, Column]:
+def _no_null_lists(lists: list[str] = LISTS) -> dict[str, Column]:
     empty = F.array().cast("array<string>")
-    return {c: F.coalesce(c, empty) for c in LISTS}
+    return {c: F.coalesce(c, empty) for c in lists}
 
 
 def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
@@ -105,20 +107,21 @@ def album_labels(graph: Graph, albums: DataFrame | None = None) -> DataFrame:
 
 
 def album_cards(
-    graph: Graph, albums: DataFrame | None = None, with_lists: bool = True, cut: bool = True
+    graph: Graph, albums: DataFrame | None = None, with_lists: bool = True, cut: bool = True,
+    asked: list[str] = LISTS,
 ) -> DataFrame:
     """The cards of the given albums (rows of the album node table), or of all.
 
-    With ``cut`` the edges are cut down to those albums first; leave it off for most of the albums.
-    Columns: album_id, ensemble, title, tracks, leaders, participants, year, label, cover.
+    With ``cut`` the edges are cut down to those albums first; leave it off for most of the albums. Edges of
+    lists that are not ``asked`` for are not read. Columns: album_id, ensemble, title, tracks, leaders, participants, year, label, cover.
     """
     ids = albums if cut else None
     cards = (graph.albums if albums is None else albums).drop("label")
     cards = cards.join(album_labels(graph, ids), "album_id", "left")
     lists: list[str] = []
     if with_lists:
-        cards = cards.join(album_lists(graph, ids), "album_id", "left").withColumns(_no_null_lists())
-        lists = LISTS
+        lists = asked
+        cards = cards.join(album_lists(graph, ids, lists), "album_id", "left").withColumns(_no_null_lists(lists))
     cover = F.col("cover_url").alias("cover")
     return cards.select("album_id", "ensemble", "title", *lists, "year", "label", cover)
 
@@ -165,12 +168,13 @@ def _answer(
     if limit is not None and limit < 0:
         raise ValueError(f"a limit can't be {limit}")
     chosen = _only(albums, mine) if cut else albums
+    lists = [c for c in LISTS if c in columns]
     if limit is None:
-        rows = mine.join(album_cards(graph, chosen, with_lists, cut), "album_id")
+        rows = mine.join(album_cards(graph, chosen, with_lists, cut, lists), "album_id")
     else:
         rows = _first(mine.join(album_cards(graph, chosen, False, cut), "album_id"), keys, limit)
         if with_lists:
-            rows = rows.join(album_lists(graph, rows), "album_id", "left").withColumns(_no_null_lists())
+            rows = rows.join(album_lists(graph, rows, lists), "album_id", "left").withColumns(_no_null_lists(lists))
     rows = rows if keys else rows.orderBy(*_order())
     shown = {"album_title": F.col("title").alias("album_title")}
     return rows.select(*keys, *[shown.get(c, c) for c in _shown(columns, with_lists)])
