@@ -55,7 +55,8 @@ class BronzeConfig:
     mode: str = "append"
     partition_by: tuple[str, ...] = ()
     writer_options: dict[str, str] = field(default_factory=dict)
-    # None lets Spark choose files of its advisory size; a number puts every batch into so many tasks.
+    # None lets Spark choose files of its advisory size; a number puts every batch into so many tasks. 0 lets the
+    # tasks that read landed files write them, without a shuffle: for landed files of good size.
     files_per_batch: int | None = None
     # Whether a refresh goes on when a landed file holds no readable record at all.
     allow_unreadable_files: bool = False

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from linernotes.sources.tables import open_table
 
 JSON_FILES = "*.[jJ][sS][oO][nN]"
+PACKED_RECORDS = 1_000_000
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,6 +50,12 @@ def not_stored(rows: DataFrame, path: str, folder: str) -> DataFrame:
     return rows.join(known, file_name(rows[path]) == F.col("__stored"), "left_anti")
 
 
-def write_albums(albums: DataFrame, folder: str) -> None:
-    """Album records as JSON lines, many to a file; non-ASCII text is kept as it is."""
-    albums.write.option("ignoreNullFields", False).json(folder)
+def write_albums(albums: DataFrame, folder: str, compression: str = "none") -> None:
+    """Album records as JSON lines, many to a file; non-ASCII text is kept as it is.
+
+    With a ``compression`` file names end in that of the codec: a stream of them needs a ``pathGlobFilter`` of its own.
+    Such a file is read by one task, so none has more than ``PACKED_RECORDS``.
+    """
+    most = 0 if compression == "none" else PACKED_RECORDS
+    writer = albums.write.option("ignoreNullFields", False).option("maxRecordsPerFile", most)
+    writer.option("compression", compression).json(folder)

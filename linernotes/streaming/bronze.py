@@ -105,7 +105,7 @@ def append_batch(
     """
     if cfg.files_per_batch is None:
         batch = batch.hint("rebalance")
-    else:
+    elif cfg.files_per_batch:
         # Not coalesce: that would also read the batch with so few tasks.
         batch = batch.repartition(cfg.files_per_batch)
     started = started or batch_id > 0 or open_table(batch.sparkSession, cfg.path, cfg.format) is not None

@@ -4,10 +4,13 @@ import os
 
 import pytest
 
+from linernotes.config import BronzeConfig
 from linernotes.operators import sessions as se
 from linernotes.operators.graph import Graph
 from linernotes.plans import gold_versions as gov
-from linernotes.sources.tables import write_sorted
+from linernotes.sources import landing
+from linernotes.sources.tables import read_bronze, write_sorted
+from linernotes.streaming.bronze import append_batch
 from testbed import views, workspace as ws
 
 
@@ -89,3 +92,29 @@ def test_a_first_load_of_gold_joins_nothing_with_itself(spark, tables, tmp_path)
     assert {n: sorted(map(str, df.collect())) for n, df in gov.changed(spark, base, 0).items()} == {n: sorted(map(str, df.select(*gov.changed(spark, base, 0)[n].columns).collect())) for n, df in gov.read(spark, base).items()}
     # Links that came are the changed rows: they are written once beside the buckets.
     assert not {"album_artist", "album_work", "album_label"} & set(os.listdir(f"{base}/_incoming"))
+
+
+def test_packed_records_are_the_landed_records(spark, tables):
+    plain, packed = (spark.read.schema(ws.ALBUM_DDL).json(ws.landing(spark, tables, p)) for p in (False, True))
+    assert packed.count() == 4 and sorted(map(str, packed.collect())) == sorted(map(str, plain.collect()))
+    assert all(f.endswith(".json.gz") for f in packed.inputFiles()) and all(f.endswith(".json") for f in plain.inputFiles())
+    streamed = [read_bronze(spark, ws.ingested(spark, tables, p)).select(*plain.columns) for p in (False, True)]
+    assert [sorted(map(str, df.collect())) for df in streamed] == [sorted(map(str, plain.collect()))] * 2
+
+
+def test_packed_files_are_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PACKED_RECORDS", 10)
+    landing.write_albums(spark.range(35).coalesce(1), f"{tmp_path}/packed", "gzip")
+    landing.write_albums(spark.range(35).coalesce(1), f"{tmp_path}/plain")
+    assert [len(spark.read.json(f"{tmp_path}/{n}").inputFiles()) for n in ("packed", "plain")] == [4, 1]
+
+
+def test_a_batch_can_be_written_by_the_tasks_that_read_it(spark, tmp_path):
+    batch = ws.as_landed(spark.range(40).repartition(3))
+    files = {}
+    for n in (None, 0):
+        cfg = BronzeConfig(landing="", bronze=f"{tmp_path}/{n}", checkpoint="", files_per_batch=n)
+        append_batch(batch, 0, cfg)
+        files[n] = len(read_bronze(spark, cfg).inputFiles())
+        assert read_bronze(spark, cfg).count() == 40
+    assert files == {None: 1, 0: 3}
