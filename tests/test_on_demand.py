@@ -3,11 +3,13 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from linernotes.config import BronzeConfig
-from linernotes.operators import sessions as se
+from linernotes.operators import graph as gr, sessions as se
 from linernotes.operators.graph import Graph
 from linernotes.plans import gold_versions as gov
+from linernotes.plans.refresh import write_graph
 from linernotes.sources import landing
 from linernotes.sources.tables import read_bronze, write_sorted
 from linernotes.streaming.bronze import append_batch
@@ -118,3 +120,50 @@ def test_a_batch_can_be_written_by_the_tasks_that_read_it(spark, tmp_path):
         files[n] = len(read_bronze(spark, cfg).inputFiles())
         assert read_bronze(spark, cfg).count() == 40
     assert files == {None: 1, 0: 3}
+
+
+def test_edges_in_album_order_are_written_alone(spark, tables):
+    first = ws.graph(spark, tables, "contains_by_album", "leads_by_album")
+    assert set(os.listdir(folder(first, "albums"))) == {"albums", "works", "artists", "contains_by_album", "leads_by_album"}
+    assert first.contains.collect() == first.of_albums("contains").collect()
+    whole = ws.graph(spark, f"{tables}/")
+    for name in ("contains", "leads"):
+        assert sorted(first.edges[name].collect()) == sorted(whole.edges[name].select(first.edges[name].columns).collect())
+    later = ws.graph(spark, tables, "contains", "leads_by_album")
+    assert sorted(later.contains.collect()) == sorted(whole.contains.collect()) and "/contains/" in later.contains.inputFiles()[0]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_links_whose_ends_are_there_are_not_joined(spark, tmp_path):
+    nodes = {"albums": spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "album_id long, title string"),
+             "works": spark.createDataFrame([("x", "X"), ("y", "Y")], "work_id string, work_title string")}
+    spec = next(s for s in gr.EDGES if s.name == "contains")
+    for i, (more, joins) in enumerate([([], 0), ([(3, "x")], 1), ([(3, "z")], 2)]):
+        gold = {"album_work": spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (None, "x"), (1, None), *more], "album_id long, work_id string")}
+        loaded = gr.load(gold, Graph(nodes, {}), [], [spec], to_write=True).edges
+        assert plan_of(loaded["contains"]).count("Join LeftSemi") == joins
+        write_graph(Graph({}, loaded), f"{tmp_path}/{i}")
+        for name in ("contains", "contains_by_album"):
+            assert sorted(spark.read.parquet(f"{tmp_path}/{i}/{name}").collect()) == [(1, "x"), (2, "y")]
+        assert sorted(gr.load(gold, Graph(nodes, {}), [], [spec]).contains.collect()) == [(1, "x"), (2, "y")]
+
+
+def shuffles(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum(line.strip(" :+-").startswith("Exchange") for line in text.splitlines())
+
+
+def test_nodes_to_write_meet_in_the_order_they_are_written_in(spark, tmp_path):
+    rows = spark.range(300).selectExpr("id % 100 AS album_id", "concat('t', id) AS title").repartition(3).localCheckpoint()
+    spec = gr.NodeSpec("albums", "albums", "album_id", ("title",))
+    by_key, ranged = (gr.load({"albums": rows}, None, [spec], [], to_write=w) for w in (False, True))
+    assert sorted(ranged.albums.collect()) == sorted(by_key.albums.collect()) and ranged.albums.count() == 100
+    assert shuffles(ranged.albums) == 1
+    write_graph(ranged, f"{tmp_path}/graph", nodes_in_ranges=True)
+    files = spark.read.parquet(f"{tmp_path}/graph/albums").groupBy(F.col("_metadata.file_path")).agg(F.min("album_id"), F.max("album_id"))
+    ends = sorted(tuple(r)[1:] for r in files.collect())
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and ends[-1][1] == 99
