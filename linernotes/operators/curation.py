@@ -277,7 +277,8 @@ def member_leaders(
 ) -> DataFrame:
     """Adds ``members_found``: members of the group that its own name mentions.
 
-    Needs ``group_name`` and ``group_url``; rows not wanted are not looked up.
+    Needs ``group_name`` and ``group_url``; rows not wanted are not looked up. Where several documents have a group's
+    URL there is a row for each of them; of equal ones the members are compared once, before the rows are repeated.
     """
     asked = F.length("group_name") > 0
     if wanted is not None:
@@ -285,13 +286,15 @@ def member_leaders(
     row_id = F.xxhash64("group_name", "group_url", *[c for c in ("id", "url") if c in groups.columns])
     details = artist_details.select(
         F.col("url").alias("_url"), F.transform("members", lambda m: m["name"]).alias("_members")
-    )
-    return (
+    ).groupBy("_url", "_members").agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    found = (
         groups.withColumn("_key", _or_unmatched(F.when(asked, F.col("group_url")), row_id))
         .join(details, F.col("_key") == F.col("_url"), "left")
         .withColumn("members_found", cr.members_named_in(F.col("group_name"), F.col("_members")))
         .drop("_key", "_url", "_members")
     )
+    copies = F.array_repeat(F.lit(True), F.coalesce("_copies", F.lit(1)))
+    return found.withColumn("_copies", F.explode(copies)).drop("_copies")
 
 
 def album_leaders(albums: DataFrame, artist_details: DataFrame) -> DataFrame:

@@ -207,3 +207,16 @@ def test_album_listing(spark, bronze):
     assert rows[2].musicians == "- Bo Lind\n- Cy Young\n- Ana Sánchez"
     assert rows[3].tracklist == "(Not available)"
     assert rows[1].leaders == "Ana Sánchez"
+
+
+def test_equal_details_are_compared_once_and_give_a_row_each(spark):
+    members = "array(named_struct('name', 'Ann'), named_struct('name', 'Bob'))"
+    details = spark.range(4).selectExpr("'u' AS url", f"CASE WHEN id < 3 THEN {members} END AS members")
+    groups = spark.createDataFrame([("a", "Ann Trio", "u"), ("b", "Ann Trio", "v"), ("c", None, "u")], "url string, group_name string, group_url string")
+    found = cu.member_leaders(groups, details)
+    leaders = sorted((r["url"], tuple(r["members_found"] or ())) for r in found.collect())
+    assert leaders == [("a", ()), ("a", ("Ann",)), ("a", ("Ann",)), ("a", ("Ann",)), ("b", ()), ("c", ())]
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # The rows are repeated last, above the comparison and the join.
+    first = {w: next(i for i, x in enumerate(lines) if x.strip(" :+-").startswith(w)) for w in ("Generate", "Join")}
+    assert first["Generate"] < first["Join"]
