@@ -133,20 +133,31 @@ def release_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per distinct (order, line number, part, supplier): id, names, first ship date.
 
     The window orders only a line's first releases: Spark cuts each partition's rows of a line down to these
-    before they meet.
+    before they meet. The others come after a line's last one with a place. There is at most one such for each 999
+    rows, so all tasks get them, and only line items of such lines move a second time.
     """
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = table(spark, sf_dir, "lineitem").groupBy(*keys).agg(
-        F.min("l_returnflag").alias("flag"), F.year(F.min("l_shipdate")).alias("ship_year")
+    line, release = ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]
+
+    def distinct(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*line, *release).agg(
+            F.min("l_returnflag").alias("flag"), F.year(F.min("l_shipdate")).alias("ship_year")
+        )
+
+    items = table(spark, sf_dir, "lineitem")
+    place = F.row_number().over(Window.partitionBy(*line).orderBy(*release))
+    first = distinct(items).withColumn("place", place).where(F.col("place") < RELEASES_A_LINE)
+    last = first.where(F.col("place") == RELEASES_A_LINE - 1).select(
+        *[F.col(c).alias(f"_{c}") for c in line], F.struct(*release).alias("_last")
     )
-    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey"))
-    first = lines.select(*keys, place.alias("place")).where(F.col("place") < RELEASES_A_LINE)
+    same_line = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line]
+    others = distinct(items.join(F.broadcast(last), same_line).where(F.struct(*release) > F.col("_last")))
+    numbered = first.unionByName(others.withColumn("place", F.lit(None).cast("int")))
     rid = f"""coalesce((l_orderkey * 10 + l_linenumber) * {RELEASES_A_LINE} + place,
-                      -1 - (xxhash64({", ".join(keys)}) & {(1 << 63) - 1}))"""
+                      -1 - (xxhash64({", ".join([*line, *release])}) & {(1 << 63) - 1}))"""
     return (
-        lines.join(first, keys, "left").withColumn("rid", F.expr(rid)).drop("place")
+        numbered.withColumn("rid", F.expr(rid)).drop("place")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumnRenamed("p_brand", "brand")

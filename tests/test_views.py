@@ -2,7 +2,7 @@
 
 import pytest
 
-from testbed import views
+from testbed import views, workspace as ws
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +41,46 @@ def test_masters_meet_their_own_releases(spark, tables):
 def test_a_large_line_is_cut_down_before_it_is_sorted(spark, tables):
     plan = views.release_rows(spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def releases_of(spark, tables, folder, lines):
+    """(order, line, part, supplier, rid) over other line items."""
+    for name in ("part", "supplier"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    line = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string"
+    spark.createDataFrame(lines, line).selectExpr("*", "timestamp'1997-01-01' AS l_shipdate").write.parquet(f"{folder}/lineitem.parquet")
+    rows = views.release_rows(spark, str(folder))
+    return rows, [tuple(r[c] for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "rid", "flag")) for r in rows.collect()]
+
+
+def test_releases_after_the_numbered_ones_come_once(spark, tables, tmp_path):
+    keys = [(o, n, p, s) for o, n in ((1, 1), (None, 1), (5, 3)) for p in range(1, 151) for s in range(1, 11)]
+    keys = [k for k in keys if k[0] != 5 or k[2] < 100] + [(5, 3, 100, s) for s in range(1, 10)]  # line 3 of order 5: 999
+    nulls = [(1, 1, None, 1), (2, None, 1, 1), (3, 1, None, 2), (3, 1, 2, None), (3, 1, 2, 2)]
+    _, rows = releases_of(spark, tables, tmp_path, [(*k, f) for k in keys + nulls for f in "RA"])
+    assert sorted(map(str, (r[:4] for r in rows))) == sorted(map(str, [*keys, (2, None, 1, 1), (3, 1, 2, 2)]))
+    assert {r[5] for r in rows} == {"A"}
+    ids = {r[:4]: r[4] for r in rows}
+    # A release without part takes a place, but is none.
+    assert (ids[1, 1, 1, 1], ids[3, 1, 2, 2], ids[5, 3, 100, 9]) == (11002, 31003, 53999)
+    assert sum(i < 0 for k, i in ids.items() if k[0] == 1) == 502 and ids[1, 1, 100, 8] == 11999
+    assert all(i < 0 for k, i in ids.items() if k[0] is None or k[1] is None)
+    assert len(set(ids.values())) == len(rows)
+
+
+def test_line_items_of_small_lines_meet_once(spark, tables, tmp_path):
+    rows, found = releases_of(spark, tables, tmp_path, [(o, n, 1, 1, "N") for o in range(1, 301) for n in (1, 2)])
+    assert len(found) == 600
+    done = rows.select("rid")
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_document_table_read_once_is_not_written(spark, tables):
+    from testbed.queries import QUERIES
+
+    spark.range(1, 4).selectExpr("id AS c_custkey", "'BUILDING' AS c_mktsegment").write.mode("overwrite").parquet(f"{tables}/customer.parquet")
+    for name in ("c3_valid_year", "c7_release_label", "c8_label_number", "c12_clean_tracks", "c19_drop_compilations"):
+        assert QUERIES[name](spark, tables).count() > 0
+    assert not [purpose for _, sf_dir, purpose in ws._built if sf_dir == tables]
