@@ -84,3 +84,15 @@ def test_a_document_table_read_once_is_not_written(spark, tables):
     for name in ("c3_valid_year", "c7_release_label", "c8_label_number", "c12_clean_tracks", "c19_drop_compilations"):
         assert QUERIES[name](spark, tables).count() > 0
     assert not [purpose for _, sf_dir, purpose in ws._built if sf_dir == tables]
+
+
+def test_a_line_without_a_number_takes_the_last_texts(spark, tables, tmp_path):
+    from testbed.queries import QUERIES
+
+    releases_of(spark, tables, tmp_path, [(1, None, 1, 1, "N"), (1, 1, 1, 1, "N")])
+    shown = {r["url"]: r["tracklist"] for r in QUERIES["c12_clean_tracks"](spark, str(tmp_path)).collect()}
+    players = {r["url"]: r["players"] for r in QUERIES["c13_players"](spark, str(tmp_path)).collect()}
+    (unnumbered,) = [url for url in shown if "/-" in url]
+    assert len(shown) == 2 and shown[unnumbered] == "part 1 Opus|part 1|part 1 (take) end" and players[unnumbered] == "Supplier#1 (2)"
+    written = ws.documents(spark, str(tmp_path), "releases").collect()
+    assert {r["url"]: [x["title"] for x in r["tracklist"]][3] for r in written}[unnumbered] == "Band #3: part 1 (take) end"
