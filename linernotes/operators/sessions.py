@@ -256,35 +256,45 @@ def collab_albums(
     return _answer(graph, together.select("album_id"), albums, [], COLLAB_COLUMNS, True, limit, True)
 
 
+def request_sets(requests: DataFrame) -> DataFrame:
+    """(request_id, set_id, artists) of requests of at least two artists; ``set_id`` is the least request of that set.
+
+    A request without an id, or for an artist without one, has no shared albums and is left out.
+    """
+    wanted = requests.select("request_id", "artist_id").where(F.col("request_id").isNotNull()).distinct()
+    lists = wanted.groupBy("request_id").agg(
+        F.sort_array(F.collect_set("artist_id")).alias("artists"), F.count(F.lit(1)).alias("_size")
+    )
+    asked = lists.where((F.size("artists") == F.col("_size")) & (F.col("_size") >= 2)).drop("_size")
+    sets = asked.groupBy("artists").agg(F.min("request_id").alias("set_id"))
+    return asked.join(sets, "artists").select("request_id", "set_id", "artists")
+
+
 def shared_albums(graph: Graph, requests: DataFrame) -> DataFrame:
     """(request_id, album_id) for requests (request_id, artist_id) of at least two artists.
 
-    Each request starts from its artist with the fewest albums, and those albums are then
-    checked for the others: an artist on a third of all albums costs a request nothing extra
-    unless all its artists are like that.
+    Requests for the same artists are answered once. Each set of artists starts from its artist with the
+    fewest albums, and those albums are then checked for the others: an artist on a third of all albums
+    costs a request nothing extra unless all its artists are like that.
     """
-    wanted = requests.select("request_id", "artist_id").distinct()
+    asked = request_sets(requests)
+    sets = asked.where(F.col("request_id") == F.col("set_id"))
+    wanted = sets.select("set_id", F.size("artists").alias("size"), F.explode("artists").alias("artist_id"))
     known = wanted.select("artist_id").distinct()
     plays = graph.plays_in.join(known, "artist_id", "left_semi")
     albums_of = plays.groupBy("artist_id").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min_by("artist_id", F.struct(F.coalesce("n", F.lit(0)), "artist_id"))
-    starts = (
-        wanted.join(albums_of, "artist_id", "left")
-        .groupBy("request_id")
-        .agg(rarest.alias("artist_id"), F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") >= 2)
-    )
-    candidates = starts.join(plays, "artist_id").select(
-        "request_id", "album_id", "size", F.col("artist_id").alias("start")
-    )
-    others = candidates.join(wanted, "request_id").where(F.col("artist_id") != F.col("start"))
-    present = others.join(plays, ["album_id", "artist_id"], "left_semi")
-    return (
-        present.groupBy("request_id", "album_id", "size")
+    starts = wanted.join(albums_of, "artist_id", "left").groupBy("set_id").agg(rarest.alias("start"))
+    others = starts.join(wanted, "set_id").where(F.col("artist_id") != F.col("start"))
+    begun = plays.select(F.col("artist_id").alias("start"), "album_id")
+    candidates = others.join(begun, "start").select("set_id", "album_id", "size", "artist_id")
+    present = candidates.join(plays, ["album_id", "artist_id"], "left_semi")
+    shared = (
+        present.groupBy("set_id", "album_id", "size")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") == F.col("size") - 1)
-        .select("request_id", "album_id")
     )
+    return shared.join(asked.drop("artists"), "set_id").select("request_id", "album_id")
 
 
 def collab_albums_bulk(

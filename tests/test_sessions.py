@@ -176,3 +176,35 @@ def test_suggest_over_graph(graph):
     assert [r.name for r in suggest.suggest_artists(graph, "lind").collect()] == ["Bo Lind"]
     assert [r.name for r in suggest.suggest_works(graph, "SEA").collect()] == ["Sea Song"]
     assert [r.id for r in suggest.suggest_albums(graph, "night").collect()] == [3]
+
+
+def longest_step(df):
+    """The rows of the longest intermediate result of a query that has run."""
+    def steps(plan):
+        kind = plan.getClass().getSimpleName()
+        inner = plan.executedPlan() if kind == "AdaptiveSparkPlanExec" else plan.plan() if kind.endswith("QueryStageExec") else None
+        if inner is not None:
+            return steps(inner)
+        metric, children = plan.metrics().get("numOutputRows"), plan.children()
+        below = [n for i in range(children.length()) for n in steps(children.apply(i))]
+        return [metric.get().value(), *below] if metric.isDefined() else below
+
+    return max(steps(df._jdf.queryExecution().executedPlan()))
+
+
+def test_equal_requests_are_answered_once(spark):
+    """Two artists on 200 albums each but one album shared, asked for 300 times."""
+    ids, n = [sha("a"), sha("b")], 300
+    plays = spark.createDataFrame([(a, 200 * j + i) for j, a in enumerate(ids) for i in range(200 + (not j))], "artist_id STRING, album_id LONG")
+    asked = [(r, a) for r in range(n) for a in ids]
+    requests = spark.createDataFrame([*asked, *asked[:50]], "request_id LONG, artist_id STRING")
+    shared = se.shared_albums(Graph({}, {"plays_in": plays}), requests)
+    assert sorted(map(tuple, shared.collect())) == [(r, 200) for r in range(n)]
+    assert longest_step(shared) <= 650  # not 300 requests times 200 albums
+
+
+def test_requests_with_missing_ids_share_nothing(spark):
+    plays = spark.createDataFrame([(a, 1) for a in ("a", "b")], "artist_id STRING, album_id LONG")
+    pairs = [(1, "a"), (1, "b"), (1, None), (2, "b"), (2, "a"), (None, "a"), (None, "b"), (3, "a"), (3, "a"), (4, "a"), (4, "x")]
+    requests = spark.createDataFrame(pairs, "request_id LONG, artist_id STRING")
+    assert se.shared_albums(Graph({}, {"plays_in": plays}), requests).collect() == [(2, 1)]
