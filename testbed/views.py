@@ -98,7 +98,8 @@ def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         orders = table(spark, sf_dir, "orders")
         if "customer" in needed:  # before the line items, of which there are several an order
             orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        rows = orders.join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        # Line items are never broadcast, however small the files of the columns asked for.
+        rows = orders.join(rows.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     else:
         rows = rows.withColumn("o_orderkey", F.lit(None).cast("long"))
     for name, key, own in [

@@ -208,3 +208,16 @@ def test_requests_with_missing_ids_share_nothing(spark):
     pairs = [(1, "a"), (1, "b"), (1, None), (2, "b"), (2, "a"), (None, "a"), (None, "b"), (3, "a"), (3, "a"), (4, "a"), (4, "x")]
     requests = spark.createDataFrame(pairs, "request_id LONG, artist_id STRING")
     assert se.shared_albums(Graph({}, {"plays_in": plays}), requests).collect() == [(2, 1)]
+
+
+def test_plays_are_not_broadcast_for_shared_albums(spark):
+    """Plays in order are next to nothing in a file: Spark would send them all to the driver."""
+    import re
+
+    plays = spark.range(6).selectExpr("cast(id % 3 AS string) AS artist_id", "id DIV 3 AS album_id")
+    asked = spark.range(4).selectExpr("id DIV 2 AS request_id", "cast(id % 2 AS string) AS artist_id")
+    shared = se.shared_albums(Graph({}, {"plays_in": plays}), asked)
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[album_id\S+ artist_id\S+ \[album_id\S+ artist_id\S+ LeftSemi", plan)
+    assert "SortMergeJoin [start" in plan
+    assert sorted(map(tuple, shared.collect())) == [(0, 0), (0, 1), (1, 0), (1, 1)]
