@@ -151,10 +151,20 @@ def upsert_edges(
     return edges.distinct() if distinct else edges
 
 
+#: Nodes above this number are not sent to the driver and all executors for a join. Spark goes by the size of
+#: files, of which sorted ids in sequence take hardly anything, while each takes some 38 bytes in a broadcast.
+FEW_NODES = 500_000
+
+
 def all_present(links: DataFrame, key: str, nodes: DataFrame) -> bool:
-    """Whether every link's end exists, links without one aside. Each task sends its different keys, not its links."""
+    """Whether every link's end exists, links without one aside. Each task sends its different keys, not its links.
+
+    Keys meet by a shuffle, as the different ones of the links lie by key already: nodes of any number stay
+    off the driver. Spark would move an anti-join in front of the distinct, so it is an outer one.
+    """
     ends = links.select(key).where(F.col(key).isNotNull()).distinct()
-    return ends.join(nodes.select(key), key, "left_anti").isEmpty()
+    there = nodes.select(key, F.lit(True).alias("_there")).hint("merge")
+    return ends.join(there, key, "left").where(F.col("_there").isNull()).isEmpty()
 
 
 def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
@@ -186,16 +196,24 @@ def load(
 
     Of a graph ``to_write`` nodes come in ranges of their key. The ends of a link table (gold and nodes are written
     then) are looked up first, and its links are joined with nodes only where an end is missing; ``write_graph``
-    takes out repeats.
+    takes out repeats. The same is done for ends of more than ``FEW_NODES`` nodes, which are never broadcast.
     """
     skipped: dict[str, str] = {}
+    sources = {n: [df] for n, df in existing.nodes.items()} if existing else {}
+    large: dict[str, bool] = {}
     found: dict[tuple[str, str, str], bool] = {}
 
+    def many(table: str) -> bool:
+        if table not in large:  # the rows that nodes are made from are in files, so counted without reading these
+            large[table] = sum(df.count() for df in sources[table]) > FEW_NODES
+        return large[table]
+
     def present(spec: EdgeSpec) -> list[str]:
-        for key, table in (spec.source, spec.target):
+        looked_up = [end for end in (spec.source, spec.target) if to_write or many(end[1])]
+        for key, table in looked_up:
             if (spec.table, key, table) not in found:
                 found[spec.table, key, table] = all_present(gold[spec.table], key, new_nodes[table])
-        return [key for key, table in (spec.source, spec.target) if found[spec.table, key, table]]
+        return [key for key, table in looked_up if found[spec.table, key, table]]
 
     new_nodes = dict(existing.nodes) if existing else {}
     new_edges = dict(existing.edges) if existing else {}
@@ -205,6 +223,7 @@ def load(
             skipped[spec.name] = why
             continue
         new_nodes[spec.name] = upsert_nodes(rows, spec.key, spec.props, new_nodes.get(spec.name), to_write)
+        sources.setdefault(spec.name, []).append(rows)
     for spec in edges:
         rows, why = rows_or_skip(gold.get(spec.table), spec.columns)
         if rows is not None and any(t not in new_nodes for _, t in (spec.source, spec.target)):
@@ -212,8 +231,10 @@ def load(
         if rows is None:
             skipped[spec.name] = why
             continue
-        known = present(spec) if to_write else ()
-        new_edges[spec.name] = upsert_edges(rows, spec, new_nodes, new_edges.get(spec.name), known, not to_write)
+        known = present(spec)
+        ends = {t: new_nodes[t] for key, t in (spec.source, spec.target) if key not in known}
+        ends = {t: df.hint("merge") if many(t) else df for t, df in ends.items()}
+        new_edges[spec.name] = upsert_edges(rows, spec, ends, new_edges.get(spec.name), known, not to_write)
     return Graph(new_nodes, new_edges, skipped)
 
 

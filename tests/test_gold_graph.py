@@ -157,3 +157,36 @@ def test_row_counts(bronze):
 def test_without_nulls(bronze):
     got = {r.id: r.record for r in report.without_nulls(bronze.select("id", "year", "title"), "id").collect()}
     assert got[4] == '{"id":4,"title":"Empty"}'
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ends_are_looked_up_without_a_broadcast_of_nodes(spark, monkeypatch):
+    """Album ids in sequence are next to nothing in a file: Spark would send all nodes to the driver."""
+    links, nodes = spark.range(3).select(F.col("id").alias("album_id")), spark.range(4).select(F.col("id").alias("album_id"))
+    assert gr.all_present(links, "album_id", nodes) and not gr.all_present(nodes, "album_id", links)
+    plans = []
+    monkeypatch.setattr(type(links), "isEmpty", lambda df: plans.append(plan_of(df)) or True)
+    gr.all_present(links, "album_id", nodes)
+    assert "BroadcastHashJoin" not in plans[0]
+    assert 0 < plans[0].index("SortMergeJoin [album_id") < plans[0].index("HashAggregate(keys=[album_id")
+
+
+def test_links_meet_many_nodes_without_a_broadcast(spark, monkeypatch):
+    gold = {
+        "albums": spark.range(3).selectExpr("id AS album_id", "'t' AS title"),
+        "labels": spark.range(2).selectExpr("cast(id AS string) AS label_id", "'n' AS name"),
+    }
+    nodes = [gr.NodeSpec("albums", "albums", "album_id", ("title",)), gr.NodeSpec("labels", "labels", "label_id", ("name",))]
+    edges = [gr.EdgeSpec("released_by", "album_label", ("album_id", "albums"), ("label_id", "labels"))]
+    for last, kept in ((3, [(0, "0"), (1, "1"), (2, "0")]), (5, [(0, "0"), (1, "1"), (2, "0")])):
+        gold["album_label"] = spark.range(last).selectExpr("id AS album_id", "cast(id % 2 AS string) AS label_id")
+        monkeypatch.setattr(gr, "FEW_NODES", 500_000)
+        few = gr.load(gold, None, nodes, edges).released_by
+        assert "BroadcastHashJoin [album_id" in plan_of(few)
+        monkeypatch.setattr(gr, "FEW_NODES", 2)
+        many = gr.load(gold, None, nodes, edges).released_by
+        assert "BroadcastHashJoin [album_id" not in plan_of(many) and "BroadcastHashJoin [label_id" in plan_of(many)
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == kept
