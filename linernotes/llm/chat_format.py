@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,22 +77,41 @@ def encoder(data: bytes):
     return made
 
 
+#: Characters of the conversations that a task has as Python objects at a time.
+SLICE = 1 << 18
+
+
+def parts(chars: pa.Array, size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """(first, number) of rows of about ``size`` characters together, as a batch has up to 10 000 rows of any length."""
+    sums, at = np.asarray(chars).cumsum(), 0
+    while at < len(sums):
+        before = sums[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(sums, before + size, "right")))
+        yield at, to - at
+        at = to
+
+
 def example(turns: Column, tokenizer: str = TOKENIZER) -> Column:
     """The example of an array of (turn, role, text), as a struct of FORMATTED."""
     data = read_bounded(tokenizer)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         encode = encoder(data).encode
-        for batch in batches:
-            rows = []
-            for conversation in batch:
-                text, spans = rendered([(t["role"] or "", t["text"] or "") for t in conversation])
+        for part in (batch.slice(*p) for batch, chars in batches for p in parts(chars)):
+            columns: list[list] = [[], [], [], [], []]
+            for conversation in part:
+                text, spans = rendered([(t["role"] or "", t["text"] or "") for t in conversation.as_py()])
                 found = encode(text, add_special_tokens=False)
                 places = np.array(found.offsets, dtype=np.int32).reshape(-1, 2)
-                rows.append((text, found.ids, places[:, 0], places[:, 1], mask_of(places[:, 0], spans)))
-            yield pd.DataFrame(rows, columns=["formatted", "token_ids", "token_starts", "token_ends", "loss_mask"])
+                row = text, np.array(found.ids, dtype=np.int32), places[:, 0].copy(), places[:, 1].copy(), mask_of(places[:, 0], spans)
+                for column, value in zip(columns, row):
+                    column.append(value)
+            kinds = [pa.string(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.bool_())]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.StructArray.from_arrays(arrays, ["formatted", "token_ids", "token_starts", "token_ends", "loss_mask"])
 
-    return F.pandas_udf(run, FORMATTED)(turns)
+    chars = F.aggregate(turns, F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.length(t["text"]), F.lit(0)) + 50)
+    return F.arrow_udf(run, FORMATTED)(turns, chars)
 
 
 def conversations_of(rows: DataFrame) -> DataFrame:
@@ -122,14 +141,19 @@ DIGESTS = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 strin
 def digests(made: DataFrame) -> DataFrame:
     """conv_id and DIGESTS of examples, read back from their text, tokens' places and mask."""
 
-    @F.pandas_udf(DIGESTS)
-    def read(formatted: pd.Series, starts: pd.Series, ends: pd.Series, mask: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, *places in zip(formatted, starts, ends, mask):
-            turns, learned = read_back(text, *places)
-            said = "".join(f"{role}\n{words}\n" for role, words in turns)
-            loss = "".join(learned)
-            rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-        return pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    return made.select("conv_id", read("formatted", "token_starts", "token_ends", "loss_mask").alias("d")).select("conv_id", "d.*")
+    @F.arrow_udf(DIGESTS)
+    def read(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for *columns, chars in batches:
+            for part in parts(chars):
+                rows = []
+                for text, *places in zip(*[c.slice(*part) for c in columns]):
+                    text, places = text.as_py(), [p.values.to_numpy(zero_copy_only=False) for p in places]
+                    turns, learned = read_back(text, *places)
+                    said = "".join(f"{role}\n{words}\n" for role, words in turns)
+                    loss = "".join(learned)
+                    rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+                names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+                yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return made.select("conv_id", read("formatted", "token_starts", "token_ends", "loss_mask", F.length("formatted")).alias("d")).select("conv_id", "d.*")

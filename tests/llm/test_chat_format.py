@@ -95,3 +95,24 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert sorted(map(tuple, c.digests(c.formatted(df)).collect()), key=repr) == brute(rows)
     assert c.digests(c.formatted(df.limit(0))).count() == 0
+
+
+def test_a_batch_of_any_size_is_taken_in_parts():
+    import pyarrow as pa
+
+    assert list(c.parts(pa.array([3, 3, 3, 20, 0, 1], pa.int32()), 7)) == [(0, 2), (2, 1), (3, 1), (4, 2)]
+    assert list(c.parts(pa.array([], pa.int32()))) == []
+
+
+def test_examples_leave_the_task_in_parts(spark, monkeypatch):
+    """Six conversations of one Arrow batch come as six batches: none waits for the others."""
+    from pyspark.sql import functions as F
+
+    made = []
+    monkeypatch.setattr(c.F, "arrow_udf", lambda f, kind: made.append(f) or (lambda *a: F.lit(None)))
+    import pyarrow as pa
+
+    c.example(F.lit(None).cast("array<struct<turn: long, role: string, text: string>>"))
+    turns = pa.array([[{"turn": 0, "role": "assistant", "text": "word " * 60_000}]] * 6)
+    sizes = [len(part) for part in made[0](iter([(turns, pa.array([300_050] * 6))]))]
+    assert sizes == [1] * 6
