@@ -89,6 +89,10 @@ BRONZE = {
 }
 
 
+#: Line items that Spark may send to the driver and all executors for a join; they are counted from footers.
+FEW_LINES = 500_000
+
+
 def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Album records with the given columns (default all), joining only what those need."""
     columns = columns or tuple(BRONZE)
@@ -98,8 +102,9 @@ def bronze(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         orders = table(spark, sf_dir, "orders")
         if "customer" in needed:  # before the line items, of which there are several an order
             orders = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        # Line items are never broadcast, however small the files of the columns asked for.
-        rows = orders.join(rows.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        # Many line items are not broadcast, however small the files of the columns asked for.
+        rows = rows.hint("merge") if rows.count() > FEW_LINES else rows
+        rows = orders.join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     else:
         rows = rows.withColumn("o_orderkey", F.lit(None).cast("long"))
     for name, key, own in [

@@ -173,7 +173,8 @@ def joins_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_line_items_are_not_broadcast_for_their_orders(spark, tables):
+def test_many_line_items_are_not_broadcast_for_their_orders(spark, tables, monkeypatch):
+    monkeypatch.setattr(views, "FEW_LINES", 2)
     assert "SortMergeJoin [o_orderkey" in joins_of(views.bronze(spark, tables, "id", "title"))
 
 
